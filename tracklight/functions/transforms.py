@@ -26,6 +26,6 @@ def parse_tags(text) -> Column:
     """Tag text to ``array<string>``: comma-separated or a bracketed list of quoted words; null gives []."""
     c = F.col(text) if isinstance(text, str) else text
     quoted = F.regexp_extract_all(c, F.lit(r"""['"]([^'"]*)['"]"""), F.lit(1))
-    plain = F.filter(F.transform(F.split(c, ","), F.trim), lambda t: t != "")
+    plain = F.filter(F.transform(F.split(c, ","), lambda t: F.trim(t)), lambda t: t != "")
     bracketed = F.trim(c).startswith("[") & F.trim(c).endswith("]")
     return F.when(c.isNull(), F.array().cast("array<string>")).when(bracketed, quoted).otherwise(plain)

@@ -159,7 +159,7 @@ def reconstructed_rows(users: DataFrame, tracks: DataFrame, width: int) -> DataF
     through = F.array(*[dot("vector", as_array(gram[i])) for i in range(width)])
     return users.select(
         USER,
-        F.lit(total["n"]).alias("n"),
+        F.lit(total["n"]).cast("bigint").alias("n"),
         dot("vector", as_array([total[f"s_{i}"] for i in range(width)])).alias("row_sum"),
         dot("vector", through).alias("row_squares"),
     )

@@ -14,7 +14,7 @@ def count_per_key(df: DataFrame, key: str, out: str = "n") -> DataFrame:
 
 
 def keep_in(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    return df.join(keys, on, "left_semi")
+    return df.join(keys, on, "left_semi").select(*df.columns)
 
 
 def active_users(df: DataFrame, min_user_rows: int = 50, min_track_rows: int = 2) -> DataFrame:

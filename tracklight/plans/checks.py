@@ -179,7 +179,7 @@ PARTS: dict[str, tuple[list[str], str]] = {
              count(h.rank) / u.n_truth::DOUBLE AS recall, CASE WHEN count(h.rank) > 0 THEN 1.0 ELSE 0.0 END AS hit,
              coalesce(sum(1 / log2(h.rank + 1)), 0) / any_value(b.dcg) AS ndcg,
              coalesce(sum(h.score / log2(h.rank + 1)), 0) / any_value(i.graded) AS ndcg_graded,
-             coalesce(sum(1 / greatest(log2(h.rank), 1)), 0) / any_value(f.dcg_flat) AS ndcg_flat,
+             sum(CASE WHEN h.rank IS NULL THEN 0 ELSE 1 / greatest(log2(h.rank), 1) END) / any_value(f.dcg_flat) AS ndcg_flat,
              coalesce(sum(h.hit_no / h.rank::DOUBLE), 0) / u.n_truth AS ap,
              coalesce(sum(h.hit_no / h.rank::DOUBLE), 0) / least(u.n_truth, u.k) AS ap_at_k
            FROM users_k u LEFT JOIN hits h ON h.user_id = u.user_id AND h.rank <= u.k

@@ -293,12 +293,13 @@ def reconstruction_error(spark, folder):
     "softmax_rec",
     sql(
         """SELECT user_id, track_id, round(exp(z - total), 9) AS prediction, CAST(rank AS INTEGER) AS rank FROM (
-             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY z DESC, track_id DESC) AS rank FROM (
-               SELECT s.*, l.total FROM z s JOIN (SELECT user_id, max(z) + ln(sum(exp(z - m))) AS total FROM (SELECT *, max(z) OVER (PARTITION BY user_id) AS m FROM z) GROUP BY 1) l ON l.user_id = s.user_id)
-             WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = z.user_id AND t.track_id = z.track_id)) WHERE rank <= 25""".replace("z.user_id AND", "user_id AND"),
+             SELECT c.*, n.total, row_number() OVER (PARTITION BY c.user_id ORDER BY z DESC, c.track_id DESC) AS rank
+             FROM logits c JOIN (SELECT user_id, any_value(top) + ln(sum(exp(z - top))) AS total
+                                 FROM (SELECT *, max(z) OVER (PARTITION BY user_id) AS top FROM logits) GROUP BY 1) n ON n.user_id = c.user_id
+             WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = c.user_id AND t.track_id = c.track_id)) WHERE rank <= 25""",
         "pvec",
         "tvec",
-        z="SELECT p.user_id, t.track_id, round(list_dot_product(p.vec, t.vec), 9) AS z FROM pvec p CROSS JOIN tvec t",
+        logits="SELECT p.user_id, t.track_id, round(list_dot_product(p.vec, t.vec), 9) AS z FROM pvec p CROSS JOIN tvec t",
     ),
 )
 def softmax_rec(spark, folder):

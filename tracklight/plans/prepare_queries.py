@@ -200,10 +200,10 @@ def clip_prediction(spark, folder):
     return lists.select(USER, TRACK, transforms.clip(F.col(PREDICTION), 1.0, 2.5).alias(PREDICTION))
 
 
-@query("relevance_share", sql("SELECT user_id, track_id, round(score, 6) AS score FROM shares", "shares"))
+@query("relevance_share", sql("SELECT user_id, track_id, round(score, 9) AS score FROM shares", "shares"))
 def relevance_share(spark, folder):
     shares = features.relevance(train_test(spark, folder)[1])
-    return shares.select(USER, TRACK, F.round("score", 6).alias("score"))
+    return shares.select(USER, TRACK, F.round("score", 9).alias("score"))
 
 
 @query("sample_bernoulli", sql(f"SELECT * FROM inter WHERE {hash48(PAIR + " || '-sample-0'")} < 0.005 * 281474976710656", "inter"))
@@ -480,21 +480,21 @@ def prediction_stats(spark, folder):
 
 
 def _profile(long_rows: DataFrame) -> DataFrame:
-    return long_rows.where(F.col("feature_idx") >= 0).select(USER, "feature_idx", F.round("value", 6).alias("value"))
+    return long_rows.where(F.col("feature_idx") >= 0).select(USER, "feature_idx", F.round("value", 9).alias("value"))
 
 
-@query("profile_mean", sql("SELECT user_id, feature_idx::INTEGER AS feature_idx, round(value, 6) AS value FROM pcells WHERE value <> 0", "pcells"))
+@query("profile_mean", sql("SELECT user_id, feature_idx::INTEGER AS feature_idx, round(value, 9) AS value FROM pcells WHERE value <> 0", "pcells"))
 def profile_mean(spark, folder):
     return _profile(features.profile_means(train_test(spark, folder)[0], shared.encoded(spark, folder)[0]))
 
 
-@query("profile_median", sql("SELECT t.user_id, c.feature_idx::INTEGER AS feature_idx, round(median(c.value), 6) AS value FROM train t JOIN tcells c ON c.track_id = t.track_id GROUP BY 1, 2 HAVING median(c.value) <> 0", "train", "tcells"))
+@query("profile_median", sql("SELECT t.user_id, c.feature_idx::INTEGER AS feature_idx, round(median(c.value), 9) AS value FROM train t JOIN tcells c ON c.track_id = t.track_id GROUP BY 1, 2 HAVING median(c.value) <> 0", "train", "tcells"))
 def profile_median(spark, folder):
     return _profile(features.profile_medians(train_test(spark, folder)[0], shared.encoded(spark, folder)[0]))
 
 
 def _weighted_sql(divide: str) -> str:
-    return f"""SELECT user_id, feature_idx::INTEGER AS feature_idx, round(sum(w * value) / {divide}, 6) AS value FROM (
+    return f"""SELECT user_id, feature_idx::INTEGER AS feature_idx, round(sum(w * value) / {divide}, 9) AS value FROM (
       SELECT t.user_id, c.feature_idx, c.value, t.playcount::DOUBLE / sum(t.playcount) OVER (PARTITION BY t.user_id, c.feature_idx) AS w
       FROM train t JOIN tcells c ON c.track_id = t.track_id) GROUP BY 1, 2 HAVING sum(w * value) <> 0"""
 
