@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+UNROLLED = 32
+
 
 def _col(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
@@ -15,6 +19,22 @@ def dot(a, b) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
 
 
+def dot_of(a, b, width: int) -> Column:
+    """Dot product of vectors of known width; short ones are written out, which compiles to plain arithmetic."""
+    if width > UNROLLED:
+        return dot(a, b)
+    return reduce(Column.__add__, [_col(a)[i] * _col(b)[i] for i in range(width)])
+
+
+def map_of(width: int, function, *vectors) -> Column:
+    """``function`` of the elements at each place of vectors of known width."""
+    if width > UNROLLED:
+        if len(vectors) == 1:
+            return F.transform(_col(vectors[0]), function)
+        return F.zip_with(_col(vectors[0]), _col(vectors[1]), function)
+    return F.array(*[function(*[_col(v)[i] for v in vectors]) for i in range(width)])
+
+
 def norm(a) -> Column:
     return F.sqrt(dot(a, a))
 

@@ -18,13 +18,12 @@ def list_distance(recs: DataFrame, vectors: DataFrame, metric: str = "cosine", v
     length of the vector sum less the sum of squared lengths. Euclidean distances are summed within
     the row of a list, which ``MAX_LIST`` bounds.
     """
-    joined = recs.select(USER, TRACK, RANK).join(vectors.select(TRACK, F.col(vector).alias("v")), TRACK)
     if metric == "cosine":
         width = vectors.agg(F.max(F.size(vector))).first()[0] or 1
-        sums = joined.select(USER, unit("v").alias("u")).groupBy(USER).agg(
-            sum_of("u", width).alias("total"),
-            F.count(F.lit(1)).alias("n"),
-            F.sum((norm("u") > 0).cast("int")).alias("with_length"),
+        # scaled per track, before a track is repeated for every list that holds it
+        units = vectors.select(TRACK, unit(vector).alias("u"), (norm(vector) > 0).cast("int").alias("has_length"))
+        sums = recs.select(USER, TRACK).join(units, TRACK).groupBy(USER).agg(
+            sum_of("u", width).alias("total"), F.count(F.lit(1)).alias("n"), F.sum("has_length").alias("with_length")
         )
         pairs = F.col("n") * (F.col("n") - 1)
         similarity = F.try_divide(dot("total", "total") - F.col("with_length"), pairs)
@@ -33,6 +32,7 @@ def list_distance(recs: DataFrame, vectors: DataFrame, metric: str = "cosine", v
         longest = recs.agg(F.max(RANK)).first()[0] or 0
         if longest > MAX_LIST:
             raise ValueError(f"lists of more than {MAX_LIST} tracks: cut them to k first")
+        joined = recs.select(USER, TRACK, RANK).join(vectors.select(TRACK, F.col(vector).alias("v")), TRACK)
         lists = joined.groupBy(USER).agg(F.array_sort(F.collect_list(F.struct(RANK, "v"))).alias("vs"))
         size = F.size("vs")
         rest = lambda i: F.slice(F.col("vs"), i + 2, F.greatest(size - i - 1, F.lit(0)))

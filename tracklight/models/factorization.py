@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklight.functions.transforms import clip
-from tracklight.functions.vectors import dot, random_vector, sum_of
+from tracklight.functions.vectors import dot, dot_of, map_of, random_vector, sum_of
 from tracklight.models import als
 from tracklight.operators.scoring import best_unseen, block_rows, matrix
 from tracklight.runtime import stage
@@ -50,11 +50,11 @@ def predict(pairs: DataFrame, users: DataFrame, tracks: DataFrame) -> DataFrame:
 
 def _stepped(cells: DataFrame, key: str, own: str, other: str, width: int, rate: float, reg: float) -> DataFrame:
     """Factors of ``key`` after one batch step: v + rate * sum(2 * error * other - reg * v)."""
-    push = F.transform(F.col(other), lambda x: 2.0 * F.col("error") * x)
+    push = map_of(width, lambda x: 2.0 * F.col("error") * x, other)
     summed = cells.select(key, push.alias("push"), F.col(own)).groupBy(key).agg(
         sum_of("push", width).alias("push"), F.count(F.lit(1)).alias("n"), F.first(own).alias("v")
     )
-    moved = F.zip_with("v", "push", lambda v, p: v + rate * (p - reg * F.col("n") * v))
+    moved = map_of(width, lambda v, p: v + rate * (p - reg * F.col("n") * v), "v", "push")
     return summed.select(key, moved.alias("vector"))
 
 
@@ -62,7 +62,7 @@ def gradient_step(
     ratings: DataFrame, users: DataFrame, tracks: DataFrame, width: int, rate: float = 0.001, reg: float = 0.04
 ) -> tuple[DataFrame, DataFrame]:
     """One batch step on the observed cells: squared error plus ``reg / 2`` of the factor norms per cell."""
-    cells = with_factors(ratings, users, tracks).withColumn("error", F.col(RATING) - dot("u", "v"))
+    cells = with_factors(ratings, users, tracks).withColumn("error", F.col(RATING) - dot_of("u", "v", width))
     return (
         _stepped(cells, USER, "u", "v", width, rate, reg),
         _stepped(cells, TRACK, "v", "u", width, rate, reg),

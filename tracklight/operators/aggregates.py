@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklight.schema import PREDICTION, TRACK, USER
 
 LEAF_VALUES = 100_000
-CUTS = 1000
+ACCURACY = 10_000
 
 
 def dataset_stats(df: DataFrame) -> DataFrame:
@@ -48,45 +50,70 @@ def candidate_counts(train: DataFrame) -> DataFrame:
     return seen.select(USER, n_tracks.alias("n_candidates"), "n_seen", (n_tracks - F.col("n_seen")).alias("n_unseen"))
 
 
-def _order_statistic(df: DataFrame, column: str, position: int, leaf_values: int) -> float:
-    """The value at 0-based ``position`` in sorted order, by narrowing an open interval pass by pass."""
-    inside = df.where(F.col(column).isNotNull())
-    while True:
-        rows = inside.count()
-        if rows <= leaf_values:
-            return float(sorted(r[0] for r in inside.select(column).collect())[position])
-        quantiles = [i / CUTS for i in range(1, CUTS)]
-        cuts = sorted(set(inside.agg(F.percentile_approx(column, quantiles, 10 * CUTS)).first()[0]))
-        cut_values = F.array(*[F.lit(float(c)) for c in cuts])
-        # slot 2i holds the values between two cuts, slot 2i + 1 the cut itself
-        slot = 2 * F.size(F.filter(cut_values, lambda c: c < F.col(column))) + F.array_contains(
-            cut_values, F.col(column).cast("double")
-        ).cast("int")
-        sizes = dict(inside.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect())
-        for i in range(2 * len(cuts) + 1):
-            if position < sizes.get(i, 0):
-                break
-            position -= sizes.get(i, 0)
-        if i % 2:
-            return float(cuts[i // 2])
-        if i:
-            inside = inside.where(F.col(column) > cuts[i // 2 - 1])
-        if i // 2 < len(cuts):
-            inside = inside.where(F.col(column) < cuts[i // 2])
+def _order_statistics(df: DataFrame, column: str, positions: list[int], rows: int, leaf: int, reach: float) -> dict:
+    """Values at the given 0-based positions in sorted order.
+
+    Approximate quantiles on both sides of a position bracket its value; exact counts tell whether the
+    value is an end of the bracket or lies inside, and only the rows inside are looked at again.
+    """
+    c = F.col(column)
+    if rows <= leaf:
+        values = sorted(r[0] for r in df.select(column).collect())
+        return {p: float(values[p]) for p in positions}
+    ends = [end for p in positions for end in (max(0.0, p / rows - reach), min(1.0, p / rows + reach))]
+    cuts = [float(v) for v in df.agg(F.percentile_approx(column, ends, ACCURACY)).first()[0]]
+    brackets = {p: (cuts[2 * i], cuts[2 * i + 1]) for i, p in enumerate(positions)}
+    counts = df.agg(
+        *[
+            F.count_if(test).alias(f"{name}_{p}")
+            for p, (low, high) in brackets.items()
+            for name, test in (
+                ("below", c < low),
+                ("low", c == low),
+                ("inside", (c > low) & (c < high)),
+                ("high", (c == high) & F.lit(high > low)),
+            )
+        ]
+    ).first()
+    found, inside, missed = {}, {}, []
+    for p, (low, high) in brackets.items():
+        below, at_low, between, at_high = (counts[f"{n}_{p}"] for n in ("below", "low", "inside", "high"))
+        place = p - below
+        if place < 0 or place >= at_low + between + at_high:
+            missed.append(p)
+        elif place < at_low:
+            found[p] = low
+        elif place < at_low + between:
+            inside[p] = (place - at_low, between)
+        else:
+            found[p] = high
+    if missed:
+        found.update(_order_statistics(df, column, missed, rows, leaf, 4 * reach))
+    between = {p: (c > brackets[p][0]) & (c < brackets[p][1]) for p in inside}
+    if inside and sum(n for _, n in inside.values()) <= leaf:
+        values = sorted(r[0] for r in df.where(reduce(Column.__or__, between.values())).select(column).collect())
+        for p, (place, _) in inside.items():
+            low, high = brackets[p]
+            found[p] = float([v for v in values if low < v < high][place])
+        return found
+    for p, (place, n) in inside.items():
+        found[p] = _order_statistics(df.where(between[p]), column, [place], n, leaf, reach)[place]
+    return found
 
 
 def exact_quantiles(df: DataFrame, column: str, probabilities: list[float], leaf_values: int = LEAF_VALUES) -> list:
     """Exact quantiles with linear interpolation, without holding a column in one buffer."""
-    rows = df.where(F.col(column).isNotNull()).count()
+    df = df.where(F.col(column).isNotNull())
+    rows = df.count()
     if not rows:
         return [None] * len(probabilities)
+    places = [p * (rows - 1) for p in probabilities]
+    positions = sorted({int(x) for x in places} | {min(int(x) + 1, rows - 1) for x in places})
+    values = _order_statistics(df, column, positions, rows, leaf_values, 2.0 / ACCURACY)
     results = []
-    for p in probabilities:
-        place = p * (rows - 1)
-        low = _order_statistic(df, column, int(place), leaf_values)
-        part = place - int(place)
-        high = _order_statistic(df, column, int(place) + 1, leaf_values) if part else low
-        results.append(low + (high - low) * part)
+    for x in places:
+        low = values[int(x)]
+        results.append(low + (values[min(int(x) + 1, rows - 1)] - low) * (x - int(x)))
     return results
 
 

@@ -12,7 +12,7 @@ from tracklight.models import baseline, factorization
 from tracklight.operators import aggregates, dictionary, features, filters, ranking, skew, splits
 from tracklight.plans import shared
 from tracklight.plans.checks import hash48, sql
-from tracklight.runtime import new_path
+from tracklight.runtime import new_path, stage
 from tracklight.schema import INTERACTIONS, PLAYS, PREDICTION, RANK, RAW_INTERACTIONS, TRACK, USER
 from tracklight.sources import io
 from tracklight.sources.tables import catalogue, history, interactions, raw_interactions, table, train_test
@@ -582,7 +582,7 @@ def intersect_users(spark, folder):
 
 @query("split_per_user", sql("SELECT user_id, track_id, playcount, split FROM splits", "splits"))
 def split_per_user(spark, folder):
-    return splits.split_per_user(filters.active_users(interactions(spark, folder)))
+    return splits.split_per_user(stage(filters.active_users(interactions(spark, folder)), "active"))
 
 
 @query("split_random_ratio", sql(f"SELECT *, CASE WHEN {hash48(PAIR + " || '-ratio-42'")} < 0.8 * 281474976710656 THEN 'train' ELSE 'test' END AS split FROM inter", "inter"))

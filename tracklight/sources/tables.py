@@ -51,7 +51,8 @@ def history(spark: SparkSession, folder: str) -> DataFrame:
     """Active users' history with its ``split``, written once per session and read by every model."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _staged:
-        split = split_per_user(active_users(interactions(spark, folder)))
+        # staged first: the split counts rows per user before it ranks them
+        split = split_per_user(stage(active_users(interactions(spark, folder)), "active"))
         _staged[key] = stage(split, "history", partition_by="split")
     return _staged[key]
 
