@@ -66,65 +66,59 @@ def novelty(recs: DataFrame, train: DataFrame, ks: list[int]) -> DataFrame:
     )
 
 
-def list_pairs(recs: DataFrame, top: int) -> DataFrame:
-    """Unordered pairs of tracks that share a list: ``(user, track_a < track_b, rank)``.
+def list_pairs(recs: DataFrame, top: int, carry: list[str] | None = None) -> DataFrame:
+    """Unordered pairs of tracks that share a list: ``(user, n, track_a < track_b, rank)``.
 
-    ``rank`` is the later rank of the two, i.e. the shortest list that holds both. A list has at most
-    ``top`` tracks and its pairs are formed within its own row.
+    ``n`` is the length of the list and ``rank`` the later rank of the two, i.e. the shortest list that
+    holds both; columns to ``carry`` come out once per track. A list has at most ``top`` tracks and its
+    pairs are formed within its own row.
     """
     if top > MAX_LIST:
         raise ValueError(f"lists of more than {MAX_LIST} tracks")
-    lists = recs.where(F.col(RANK) <= top).groupBy(USER).agg(F.array_sort(F.collect_list(F.struct(TRACK, RANK))).alias("l"))
-    first = lists.select(USER, "l", F.posexplode("l").alias("i", "a"))
+    carry = carry or []
+    lists = recs.where(F.col(RANK) <= top).groupBy(USER).agg(F.array_sort(F.collect_list(F.struct(TRACK, RANK, *carry))).alias("l"))
+    first = lists.select(USER, "l", F.size("l").alias("n"), F.posexplode("l").alias("i", "a"))
     tail = F.slice("l", F.col("i") + 2, F.greatest(F.size("l") - F.col("i") - 1, F.lit(0)))
-    pairs = first.select(USER, "a", F.explode(tail).alias("b"))
+    pairs = first.select(USER, "n", "a", F.explode(tail).alias("b"))
     return pairs.select(
         USER,
-        F.col(f"a.{TRACK}").alias("track_a"),
-        F.col(f"b.{TRACK}").alias("track_b"),
+        "n",
+        *[F.col(f"{side}.{c}").alias(f"{name}_{side}") for c, name in [(TRACK, "track"), *zip(carry, carry)] for side in ("a", "b")],
         F.greatest(f"a.{RANK}", f"b.{RANK}").alias(RANK),
     )
 
 
-def pair_cosines(pairs: DataFrame, train: DataFrame) -> DataFrame:
-    """``(track_a, track_b, cosine)`` of the given distinct pairs that some train user heard together.
-
-    The listeners of the rarer track of each pair are looked up among those of the other one, so a
-    pair costs as many rows as its rarer track has and one popular track adds at most one pass over
-    train. Pairs nobody heard together are left out; their cosine is 0.
-    """
-    heard = train.select(USER, TRACK).distinct()
-    sizes = heard.groupBy(TRACK).agg(F.count(F.lit(1)).alias("n"))
-    sized = pairs.join(sizes.withColumnsRenamed({TRACK: "track_a", "n": "n_a"}), "track_a").join(
-        sizes.withColumnsRenamed({TRACK: "track_b", "n": "n_b"}), "track_b"
-    )
-    a_is_rarer = F.col("n_a") <= F.col("n_b")
-    sided = sized.withColumn(TRACK, F.when(a_is_rarer, F.col("track_a")).otherwise(F.col("track_b"))).withColumn(
-        "other", F.when(a_is_rarer, F.col("track_b")).otherwise(F.col("track_a"))
-    )
-    listeners = sided.join(heard, TRACK).drop(TRACK).withColumnRenamed("other", TRACK)
-    together = listeners.join(heard, [TRACK, USER], "left_semi")
-    counted = together.groupBy("track_a", "track_b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("n_ab"))
-    cosine = F.col("n_ab") / F.sqrt(F.col("n_a").cast("double") * F.col("n_b"))
-    return counted.select("track_a", "track_b", cosine.alias("cosine"))
-
-
 def collaborative_diversity(recs: DataFrame, train: DataFrame, ks: list[int]) -> DataFrame:
     """Per k: 1 less the mean over users of the mean co-listening cosine of the pairs in their list.
 
-    Every pair carries the sum of its weights 1 / (pairs of the list) over all lists and k, so pairs
-    are joined once, however many lists hold them.
+    ``train`` has one row per user and track. The cosine n_ab / sqrt(n_a n_b) of a pair is a sum over
+    the users who heard both. So every pair that occurs in some list, once with the sum of its weights
+    1 / (pairs of the list), is joined to the listeners of its rarer track, those who also heard the
+    other one remain, and their weights add up. A pair costs as many rows as its rarer track has; one
+    popular track adds at most one pass over train.
     """
-    recs = recs.where(F.col(RANK) <= max(ks))
-    lengths = recs.groupBy(USER).agg(F.max(RANK).cast("bigint").alias("n"))
+    top = max(ks)
+    recs = recs.where(F.col(RANK) <= top).select(USER, TRACK, RANK)
+    heard = train.select(USER, TRACK)
+    listeners = heard.groupBy(TRACK).agg(F.count(F.lit(1)).alias("listeners"))
+    sized = recs.join(listeners, TRACK, "left").na.fill(0, ["listeners"])
     weight = lambda k: F.when(
         F.col(RANK) <= k,
         2.0 / (F.least(F.col("n"), F.lit(k)) * (F.least(F.col("n"), F.lit(k)) - 1)),
     ).otherwise(0.0)
-    pairs = list_pairs(recs, max(ks)).join(lengths, USER)
-    weights = pairs.groupBy("track_a", "track_b").agg(*[F.sum(weight(k)).alias(f"k{k}") for k in ks])
-    known = weights.join(pair_cosines(weights.select("track_a", "track_b"), train), ["track_a", "track_b"])
-    users = lengths.where(F.col("n") > 1).agg(F.count(F.lit(1))).scalar()
-    totals = known.agg(*[F.coalesce(F.sum(F.col("cosine") * F.col(f"k{k}")), F.lit(0.0)).alias(f"k{k}") for k in ks])
+    ends = ["track_a", "track_b", "listeners_a", "listeners_b"]
+    weighted = list_pairs(sized, top, ["listeners"]).groupBy(*ends).agg(*[F.sum(weight(k)).alias(f"k{k}") for k in ks])
+
+    a_is_rarer = F.col("listeners_a") <= F.col("listeners_b")
+    length = F.sqrt(F.col("listeners_a").cast("double") * F.col("listeners_b"))
+    sided = weighted.where((F.col("listeners_a") > 0) & (F.col("listeners_b") > 0)).select(
+        F.when(a_is_rarer, F.col("track_a")).otherwise(F.col("track_b")).alias(TRACK),
+        F.when(a_is_rarer, F.col("track_b")).otherwise(F.col("track_a")).alias("other"),
+        *[(F.col(f"k{k}") / length).alias(f"k{k}") for k in ks],
+    )
+    of_rarer = sided.join(heard, TRACK).drop(TRACK).withColumnRenamed("other", TRACK)
+    of_both = of_rarer.join(heard, [TRACK, USER], "left_semi")
+    totals = of_both.agg(*[F.coalesce(F.sum(f"k{k}"), F.lit(0.0)).alias(f"k{k}") for k in ks])
+    users = recs.where(F.col(RANK) == 2).agg(F.count(F.lit(1))).scalar()
     by_k = F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"k{k}").alias("similar")) for k in ks]))
     return totals.select(by_k).select("k", (1.0 - F.try_divide("similar", users)).alias("diversity"))

@@ -10,80 +10,65 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracklight.operators.features import relevance
 from tracklight.operators.skew import rank_in_group
-from tracklight.schema import RANK, TRACK, USER
+from tracklight.schema import PLAYS, RANK, TRACK, USER
 
 
 def _discounted_ranks(upto):
-    return F.when(
-        upto > 0,
-        F.aggregate(
-            F.sequence(F.lit(1).cast("bigint"), upto.cast("bigint")),
-            F.lit(0.0),
-            lambda s, i: s + 1.0 / F.log2(i + F.lit(1.0)),
-        ),
-    ).otherwise(F.lit(0.0))
+    """1 / log2(i + 1) summed over i = 1..upto, where ``upto`` is at most k."""
+    ranks = F.sequence(F.lit(1).cast("bigint"), upto)
+    return F.aggregate(ranks, F.lit(0.0), lambda s, i: s + 1.0 / F.log2(i + F.lit(1.0)))
 
 
-def user_metrics(recs: DataFrame, truth: DataFrame, ks: list[int]) -> DataFrame:
-    """One row per (user, k) for users with both recommendations and relevant tracks."""
-    top = max(ks)
-    recs = recs.where(F.col(RANK) <= top)
-    shares = relevance(truth)
-    each_k = F.explode(F.array(*[F.lit(k) for k in ks])).alias("k")
+def _total(array, value):
+    """Sum of ``value(element, place)`` over a short array."""
+    return F.aggregate(F.transform(array, value), F.lit(0.0), lambda s, x: s + x)
 
-    hits = recs.select(USER, TRACK, RANK).join(shares, [USER, TRACK])
-    in_order = Window.partitionBy(USER).orderBy(RANK)
-    hits = hits.withColumn("hit_no", F.row_number().over(in_order))
-    rank = F.col(RANK).cast("double")
-    per_k = (
-        hits.select(USER, RANK, "score", "hit_no", each_k)
-        .where(F.col(RANK) <= F.col("k"))
-        .groupBy(USER, "k")
-        .agg(
-            F.count(F.lit(1)).alias("hits"),
-            F.sum(1.0 / F.log2(rank + 1)).alias("dcg"),
-            F.sum(1.0 / F.greatest(F.log2(rank), F.lit(1.0))).alias("dcg_flat"),
-            F.sum(F.col("score") / F.log2(rank + 1)).alias("dcg_graded"),
-            F.sum(F.col("hit_no") / rank).alias("precision_sum"),
-        )
-    )
 
-    listed = recs.groupBy(USER).agg(F.count(F.lit(1)).alias("n_recs"))
-    relevant = truth.groupBy(USER).agg(F.count(F.lit(1)).alias("n_truth"))
-    users = (
-        listed.join(relevant, USER)
-        .select(USER, "n_recs", "n_truth", each_k)
-        .withColumn("n_list", F.least("n_recs", F.col("k").cast("bigint")))
-    )
+def user_metrics(recs: DataFrame, truth: DataFrame, ks: list[int]) -> DataFrame:
+    """One row per (user, k) for users with both recommendations and relevant tracks.
 
-    by_share = Window.partitionBy(USER).orderBy(F.col("score").desc(), TRACK)
-    best = shares.withColumn("place", F.row_number().over(by_share)).where(F.col("place") <= top)
-    ideal = (
-        best.join(users.select(USER, "k", "n_list"), USER)
-        .where(F.col("place") <= F.col("n_list"))
-        .groupBy(USER, "k")
-        .agg(F.sum(F.col("score") / F.log2(F.col("place") + F.lit(1.0))).alias("ideal_graded"))
+    Per user three short rows meet: the hits of the list, the size of the truth and its most played
+    tracks, each at most max(ks) long. The relevance of a track is its share of the user's held-out
+    plays; the graded NDCG is a ratio in which the plays themselves give the same value.
+    """
+    top = max(ks)
+    held = truth.select(USER, TRACK, F.col(PLAYS).cast("double").alias("plays"))
+    listed = recs.where(F.col(RANK) <= top).select(USER, TRACK, F.col(RANK).cast("double").alias("rank"))
+    hit = F.when(F.col("plays").isNotNull(), F.struct("rank", "plays"))
+    found = (
+        listed.join(held, [USER, TRACK], "left")
+        .groupBy(USER)
+        .agg(F.count(F.lit(1)).alias("n_recs"), F.array_sort(F.collect_list(hit)).alias("all_hits"))
     )
+    sizes = truth.groupBy(USER).agg(F.count(F.lit(1)).alias("n_truth"))
+    by_plays = Window.partitionBy(USER).orderBy(F.col("plays").desc(), TRACK)
+    best = held.withColumn("place", F.row_number().over(by_plays)).where(F.col("place") <= top)
+    best = best.groupBy(USER).agg(F.sort_array(F.collect_list("plays"), asc=False).alias("best"))
 
-    found = users.join(per_k, [USER, "k"], "left").join(ideal, [USER, "k"], "left").na.fill(0)
-    cut = F.least("n_truth", F.col("k").cast("bigint"))
-    return found.select(
+    each_k = F.explode(F.array(*[F.lit(k) for k in ks])).alias("k")
+    users = found.join(sizes, USER).join(best, USER).select("*", each_k)
+    users = users.withColumn("n_list", F.least("n_recs", F.col("k").cast("bigint")))
+    users = users.withColumn("found", F.filter("all_hits", lambda h: h["rank"] <= F.col("k")))
+    hits, cut = F.size("found").cast("bigint"), F.least("n_truth", F.col("k").cast("bigint"))
+    graded = _total("found", lambda h, i: h["plays"] / F.log2(h["rank"] + 1.0))
+    ideal = _total(F.slice("best", 1, F.col("n_list").cast("int")), lambda p, i: p / F.log2(i + 2.0))
+    precisions = _total("found", lambda h, i: (i + 1.0) / h["rank"])
+    return users.select(
         USER,
         "k",
         "n_list",
         "n_truth",
-        "hits",
-        (F.col("hits") / F.col("n_list")).alias("precision_list"),
-        (F.col("hits") / F.col("k")).alias("precision_at_k"),
-        (F.col("hits") / F.col("n_truth")).alias("recall"),
-        (F.col("hits") > 0).cast("double").alias("hit"),
-        (F.col("dcg") / _discounted_ranks(cut)).alias("ndcg"),
-        F.coalesce(F.try_divide("dcg_graded", "ideal_graded"), F.lit(0.0)).alias("ndcg_graded"),
-        "dcg_flat",
-        (F.col("precision_sum") / F.col("n_truth")).alias("ap"),
-        (F.col("precision_sum") / cut).alias("ap_at_k"),
+        hits.alias("hits"),
+        (hits / F.col("n_list")).alias("precision_list"),
+        (hits / F.col("k")).alias("precision_at_k"),
+        (hits / F.col("n_truth")).alias("recall"),
+        (hits > 0).cast("double").alias("hit"),
+        (_total("found", lambda h, i: 1.0 / F.log2(h["rank"] + 1.0)) / _discounted_ranks(cut)).alias("ndcg"),
+        F.coalesce(F.try_divide(graded, ideal), F.lit(0.0)).alias("ndcg_graded"),
+        _total("found", lambda h, i: 1.0 / F.greatest(F.log2(h["rank"]), F.lit(1.0))).alias("dcg_flat"),
+        (precisions / F.col("n_truth")).alias("ap"),
+        (precisions / cut).alias("ap_at_k"),
     )
 
 

@@ -19,7 +19,7 @@ from tracklight.functions.transforms import clip
 from tracklight.functions.vectors import dot, dot_of, map_of, random_vector, sum_of
 from tracklight.models import als
 from tracklight.operators.scoring import best_unseen, block_rows, matrix
-from tracklight.runtime import stage
+from tracklight.runtime import Relay, stage
 from tracklight.schema import PLAYS, PREDICTION, TRACK, USER
 
 RATING = "rating"
@@ -125,11 +125,12 @@ def fit_gradient(
     """Factors after ``steps`` batch steps, with the pairwise spread of tracks if it has a weight."""
     ratings = stage(ratings, "ratings")
     users, tracks = start_factors(ratings, width, seed)
+    user_steps, track_steps = Relay(ratings.sparkSession, "users"), Relay(ratings.sparkSession, "tracks")
     for _ in range(steps):
-        users, tracks = gradient_step(ratings, users, tracks, width, rate, reg)
-        users, tracks = stage(users, "users"), stage(tracks, "tracks")
+        moved_users, moved_tracks = gradient_step(ratings, users, tracks, width, rate, reg)
+        users, tracks = user_steps.write(moved_users), track_steps.write(moved_tracks)
         if diversity_weight:
-            tracks = stage(spread_step(tracks, width, rate, diversity_weight), "tracks")
+            tracks = track_steps.write(spread_step(tracks, width, rate, diversity_weight))
     return users, tracks
 
 
@@ -212,12 +213,13 @@ def fit_weighted(
     """Weighted factorization over all cells: observed ones weigh 1, the others have target 0 and weight ``missing``."""
     ratings = stage(ratings, "ratings")
     users, tracks = start_factors(ratings, width, seed)
-    tracks = stage(tracks, "tracks")
+    user_steps, track_steps = Relay(ratings.sparkSession, "users"), Relay(ratings.sparkSession, "tracks")
+    tracks = track_steps.write(tracks)
     n_users = ratings.select(USER).distinct().count()
     n_tracks = tracks.count()
     for _ in range(iterations):
-        users = stage(_solve_side(ratings, USER, TRACK, tracks, width, missing, reg / 2 * n_tracks), "users")
-        tracks = stage(_solve_side(ratings, TRACK, USER, users, width, missing, reg / 2 * n_users), "tracks")
+        users = user_steps.write(_solve_side(ratings, USER, TRACK, tracks, width, missing, reg / 2 * n_tracks))
+        tracks = track_steps.write(_solve_side(ratings, TRACK, USER, users, width, missing, reg / 2 * n_users))
     return users, tracks
 
 

@@ -7,11 +7,12 @@ user only where a model needs them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklight.functions.transforms import parse_tags
 from tracklight.operators.dictionary import build_dictionary, build_tag_dictionary
+from tracklight.runtime import stage
 from tracklight.schema import PLAYS, TRACK, USER
 
 NUMERIC = ["size", "price"]
@@ -118,16 +119,18 @@ def profile_means(train: DataFrame, features: DataFrame, weighted: bool = False,
     sums = joined.groupBy(USER, "feature_idx").agg(
         F.sum(contribution).alias("total"), F.sum(plays).alias("plays"), F.count(F.lit(1)).alias("n")
     )
-    totals = sums.where(F.col("feature_idx") == COUNT).select(
-        USER, F.col("plays").alias("user_plays"), F.col("n").alias("user_rows")
+    # a user has one row per feature here, so the window holds no more rows than there are features
+    own = Window.partitionBy(USER)
+    is_count = F.col("feature_idx") == COUNT
+    sums = sums.withColumn("user_plays", F.max(F.when(is_count, F.col("plays"))).over(own)).withColumn(
+        "user_rows", F.max(F.when(is_count, F.col("n"))).over(own)
     )
     divisor = F.lit(1.0)
     if weighted:
         divisor = divisor * F.col("user_plays")
     if not (weighted and normalised):
         divisor = divisor * F.col("user_rows")
-    cells = sums.select(USER, "feature_idx", "total").join(totals, USER)
-    return cells.select(USER, "feature_idx", F.try_divide(F.col("total"), divisor).alias("value")).where(F.col("value") != 0)
+    return sums.select(USER, "feature_idx", F.try_divide(F.col("total"), divisor).alias("value")).where(F.col("value") != 0)
 
 
 def profile_medians(train: DataFrame, features: DataFrame) -> DataFrame:
@@ -136,7 +139,8 @@ def profile_medians(train: DataFrame, features: DataFrame) -> DataFrame:
     Equal values are counted first, so the median reads value counts and not rows.
     """
     joined = train.select(USER, TRACK).join(features, TRACK)
-    counts = joined.groupBy(USER, "feature_idx", "value").agg(F.count(F.lit(1)).alias("n"))
+    # read three times below; without the write the join would run three times
+    counts = stage(joined.groupBy(USER, "feature_idx", "value").agg(F.count(F.lit(1)).alias("n")), "counts")
     totals = counts.where(F.col("feature_idx") == COUNT).select(USER, F.col("n").alias("user_rows"))
     zeros = (
         counts.groupBy(USER, "feature_idx")

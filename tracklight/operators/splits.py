@@ -62,7 +62,7 @@ def draw_unseen(train: DataFrame, n: int, seed: int = 42) -> DataFrame:
     if n_tracks == 0:
         return train.select(USER, TRACK).withColumn("draw", F.lit(0).cast("bigint"))
     prime = next_prime(n_tracks)
-    seen = train.select(USER, TRACK).distinct()
+    seen = train.select(USER, TRACK)
     walks = count_per_key(seen, USER, "n_seen").select(
         USER,
         (1 + F.pmod(hash48(F.col(USER), "stride", seed), F.lit(max(1, prime - 1)))).alias("stride"),

@@ -378,7 +378,7 @@ def semi_known_tracks(spark, folder):
 
 @query("self_pairs", sql("SELECT user_id, track_a, track_b, rank FROM listpairs WHERE rank <= 10", "listpairs"))
 def self_pairs(spark, folder):
-    return list_pairs(shared.random_lists(spark, folder), 10)
+    return list_pairs(shared.random_lists(spark, folder), 10).drop("n")
 
 
 @query(

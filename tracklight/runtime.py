@@ -40,6 +40,24 @@ def stage(df: DataFrame, label: str = "stage", partition_by: str | None = None)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Relay:
+    """Two folders that hold the last two versions of a table that changes with every iteration.
+
+    A version may be computed from the one before it; the one before that is overwritten, so an
+    iteration of any length keeps two versions on disk.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.paths = [new_path(spark, label), new_path(spark, label)]
+        self.turn = 0
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path = self.paths[self.turn % 2]
+        self.turn += 1
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """Hint a broadcast only when the measured size allows it; otherwise leave the join to the optimizer."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df

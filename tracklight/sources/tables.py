@@ -15,7 +15,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def interactions(spark: SparkSession, folder: str) -> DataFrame:
+_staged: dict[tuple, DataFrame] = {}
+
+
+def _once(spark: SparkSession, folder: str, name: str, build, **options) -> DataFrame:
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _staged:
+        _staged[key] = stage(build(), name, **options)
+    return _staged[key]
+
+
+def collect_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per customer and part, from one join of the two largest tables."""
     orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").cast("int").alias(USER))
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", F.col("l_partkey").cast("int").alias(TRACK), "l_quantity"
@@ -24,6 +35,11 @@ def interactions(spark: SparkSession, folder: str) -> DataFrame:
     return joined.groupBy(USER, TRACK).agg(F.sum("l_quantity").cast("bigint").alias(PLAYS))
 
 
+def interactions(spark: SparkSession, folder: str) -> DataFrame:
+    """The indexed interactions, written once per session: counts and filters read them several times."""
+    return _once(spark, folder, "interactions", lambda: collect_interactions(spark, folder))
+
+
 def catalogue(spark: SparkSession, folder: str) -> DataFrame:
     part = table(spark, folder, "part")
     return part.select(
@@ -44,17 +60,10 @@ def raw_interactions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_staged: dict[tuple, DataFrame] = {}
-
-
 def history(spark: SparkSession, folder: str) -> DataFrame:
     """Active users' history with its ``split``, written once per session and read by every model."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _staged:
-        # staged first: the split counts rows per user before it ranks them
-        split = split_per_user(stage(active_users(interactions(spark, folder)), "active"))
-        _staged[key] = stage(split, "history", partition_by="split")
-    return _staged[key]
+    build = lambda: split_per_user(stage(active_users(interactions(spark, folder)), "active"))
+    return _once(spark, folder, "history", build, partition_by="split")
 
 
 def train_test(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
