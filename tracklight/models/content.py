@@ -14,7 +14,7 @@ from tracklight.operators.features import (
     to_vectors,
     track_features,
 )
-from tracklight.operators.scoring import TIE, _block, _unit_rows, best_unseen, cosine_scores, dot_scores, matrix, to_cells
+from tracklight.operators.scoring import TIE, block_of, best_unseen, cosine_scores, dot_scores, grid_shape, matrix, unit_rows
 from tracklight.runtime import stage
 from tracklight.schema import PREDICTION, RANK, TRACK, USER
 
@@ -68,18 +68,18 @@ def _truncated(users: DataFrame, vectors: DataFrame, train: DataFrame, test: Dat
 def _tracks_before(users: DataFrame, vectors: DataFrame, candidates: DataFrame) -> DataFrame:
     """``(user, track, before)``: how many of all tracks rank before each candidate, counted per block and summed."""
     user_type, track_type = (candidates.schema[c].dataType.simpleString() for c in (USER, TRACK))
-    user_blocks, track_blocks = to_cells(users, vectors, "vector", "vector")
+    user_blocks, track_blocks = grid_shape(users, vectors)
     cells, grid = user_blocks * track_blocks, ["track_block", "user_block"]
     listed = candidates.groupBy(USER).agg(F.collect_list(F.struct(TRACK, PREDICTION)).alias("l"))
     left = (
-        vectors.select(_block(TRACK, track_blocks).alias("track_block"), F.col(TRACK).cast("bigint"), F.col("vector").cast("array<double>"))
+        vectors.select(block_of(TRACK, track_blocks).alias("track_block"), F.col(TRACK).cast("bigint"), F.col("vector").cast("array<double>"))
         .withColumn("user_block", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))))
         .repartition(cells, *grid)
     )
     right = (
         users.join(listed, USER)
         .select(
-            _block(USER, user_blocks).alias("user_block"),
+            block_of(USER, user_blocks).alias("user_block"),
             F.col(USER).cast("bigint"),
             F.col("vector").cast("array<double>"),
             F.col(f"l.{TRACK}").cast("array<bigint>").alias("ids"),
@@ -136,18 +136,18 @@ def spread_out(
     """
     if band is not None:
         return _spread_shortlist(similar_in_range(users, vectors, n, *band), vectors, n)
-    user_blocks, track_blocks = to_cells(users, vectors, "vector", "vector", rows_per_block)
+    user_blocks, track_blocks = grid_shape(users, vectors, rows=rows_per_block)
     grid = ["track_block", "user_block"]
     cells = user_blocks * track_blocks
     user_type, track_type = (df.schema[c].dataType.simpleString() for df, c in ((users, USER), (vectors, TRACK)))
     left = (
-        vectors.select(_block(TRACK, track_blocks).alias("track_block"), F.col(TRACK).cast("bigint").alias(TRACK), F.col("vector").cast("array<double>"))
+        vectors.select(block_of(TRACK, track_blocks).alias("track_block"), F.col(TRACK).cast("bigint").alias(TRACK), F.col("vector").cast("array<double>"))
         .withColumn("user_block", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))))
         .repartition(cells, *grid)
     )
     empty = F.array().cast("array<array<double>>")
     state = users.select(
-        _block(USER, user_blocks).alias("user_block"),
+        block_of(USER, user_blocks).alias("user_block"),
         F.col(USER).cast("bigint").alias(USER),
         F.col("vector").cast("array<double>").alias("vector"),
         F.array().cast("array<bigint>").alias("chosen"),
@@ -161,15 +161,15 @@ def spread_out(
             ids = track_rows[TRACK].to_numpy()
             order = np.argsort(ids)[::-1]
             ids, raw = ids[order], matrix(track_rows["vector"])[order]
-            v = _unit_rows(raw)
-            u = _unit_rows(matrix(user_rows["vector"]))
+            v = unit_rows(raw)
+            u = unit_rows(matrix(user_rows["vector"]))
             chosen, chosen_vectors = user_rows["chosen"].to_pylist(), user_rows["chosen_vectors"].to_pylist()
             place = {t: p for p, t in enumerate(ids)}
             for row, user in enumerate(user_rows[USER].to_pylist()):
                 match = np.round(v @ u[row], TIE)
                 largest = np.full(len(ids), -np.inf)
                 if chosen_vectors[row]:
-                    largest = (v @ _unit_rows(np.array(chosen_vectors[row])).T).max(axis=1)
+                    largest = (v @ unit_rows(np.array(chosen_vectors[row])).T).max(axis=1)
                 taken = [place[t] for t in chosen[row] if t in place]
                 for step in range(steps):
                     if len(taken) == len(ids):
@@ -243,7 +243,7 @@ def _spread_shortlist(shortlist: DataFrame, vectors: DataFrame, n: int) -> DataF
         for batch in batches:
             users, tracks, scores, ranks = [], [], [], []
             for user, ids, match, vs in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                v = _unit_rows(np.array(vs, dtype=float))
+                v = unit_rows(np.array(vs, dtype=float))
                 largest = np.full(len(ids), -np.inf)
                 for rank in range(1, len(ids) + 1):
                     pick = int(np.argmin(np.round(largest, TIE)))

@@ -136,7 +136,8 @@ def profile_means(train: DataFrame, features: DataFrame, weighted: bool = False,
 def profile_medians(train: DataFrame, features: DataFrame) -> DataFrame:
     """Element-wise exact median of the feature vectors of a user's tracks, without zeros, plus COUNT rows.
 
-    Equal values are counted first, so the median reads value counts and not rows.
+    Equal values are counted first and the counts added up in value order, so a group holds distinct
+    values of one feature and not rows, and passes through sorted without being held in memory.
     """
     joined = train.select(USER, TRACK).join(features, TRACK)
     # read three times below; without the write the join would run three times
@@ -149,8 +150,13 @@ def profile_medians(train: DataFrame, features: DataFrame) -> DataFrame:
         .where(F.col("nonzero") < F.col("user_rows"))
         .select(USER, "feature_idx", F.lit(0.0).alias("value"), (F.col("user_rows") - F.col("nonzero")).alias("n"))
     )
-    median = F.percentile("value", F.lit(0.5), F.col("n")).alias("value")
-    return counts.unionByName(zeros).groupBy(USER, "feature_idx").agg(median).where(F.col("value") != 0)
+    cells = Window.partitionBy(USER, "feature_idx")
+    upto = cells.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = counts.unionByName(zeros).withColumn("upto", F.sum("n").over(upto)).withColumn("rows", F.sum("n").over(cells))
+    holds = lambda place: (F.col("upto") > place) & (F.col("upto") - F.col("n") <= place)
+    at = lambda place: F.max(F.when(holds(place), F.col("value")))
+    median = (at(F.expr("(rows - 1) div 2")) + at(F.expr("rows div 2"))) / 2
+    return counted.groupBy(USER, "feature_idx").agg(median.alias("value")).where(F.col("value") != 0)
 
 
 def relevance(df: DataFrame) -> DataFrame:

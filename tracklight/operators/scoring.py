@@ -22,6 +22,7 @@ from tracklight.schema import PREDICTION, RANK, TRACK, USER
 BLOCK_BYTES = 64 * 1024 * 1024
 MAX_BLOCK_ROWS = 65_536
 CHUNK_CELLS = 8_000_000
+CELL_PAIRS = 5_000_000
 TIE = 9  # scores equal to nine places are ties, decided by track id
 
 
@@ -36,13 +37,13 @@ def dot_scores(users: np.ndarray, tracks: np.ndarray) -> np.ndarray:
     return users @ tracks.T
 
 
-def _unit_rows(m: np.ndarray) -> np.ndarray:
+def unit_rows(m: np.ndarray) -> np.ndarray:
     length = np.sqrt((m * m).sum(axis=1, keepdims=True))
     return np.divide(m, length, out=np.zeros_like(m), where=length > 0)
 
 
 def cosine_scores(users: np.ndarray, tracks: np.ndarray) -> np.ndarray:
-    return _unit_rows(users) @ _unit_rows(tracks).T
+    return unit_rows(users) @ unit_rows(tracks).T
 
 
 def _log_norm(scores: np.ndarray) -> np.ndarray:
@@ -76,19 +77,26 @@ def _shape(df: DataFrame, vector: str) -> tuple[int, int]:
     return row["n"], row["width"] or 1
 
 
-def to_cells(users: DataFrame, tracks: DataFrame, users_vector: str, tracks_vector: str, rows: int | None = None):
-    """Block counts and a function that lays any user-keyed or track-keyed table over the grid."""
-    n_users, width = _shape(users, users_vector)
-    n_tracks, _ = _shape(tracks, tracks_vector)
+def grid_shape(
+    users: DataFrame, tracks: DataFrame, seen: DataFrame | None = None, vector: str = "vector", rows: int | None = None
+) -> tuple[int, int]:
+    """Numbers of user blocks and track blocks.
+
+    A cell holds at most ``rows`` users and tracks, on average at most CELL_PAIRS seen pairs, and there
+    are enough cells for all task slots. Ids are hashed, so a user with very many seen tracks spreads
+    over all track blocks and a track seen by many over all user blocks.
+    """
+    n_users, width = _shape(users, vector)
+    n_tracks, _ = _shape(tracks, vector)
     rows = rows or block_rows(width)
     track_blocks = max(1, math.ceil(n_tracks / rows))
     slots = users.sparkSession.sparkContext.defaultParallelism
-    user_blocks = max(math.ceil(n_users / rows), math.ceil(2 * slots / track_blocks))
-    user_blocks = max(1, min(user_blocks, n_users))
-    return user_blocks, track_blocks
+    pairs = seen.count() if seen is not None else 0
+    wanted = (n_users / rows, 2 * slots / track_blocks, pairs / (CELL_PAIRS * track_blocks))
+    return max(1, min(math.ceil(max(wanted)), n_users)), track_blocks
 
 
-def _block(key: str, blocks: int):
+def block_of(key: str, blocks: int):
     return F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(blocks)).cast("int")
 
 
@@ -113,27 +121,27 @@ def best_unseen(
     """
     user_type = users.schema[USER].dataType.simpleString()
     track_type = tracks.schema[TRACK].dataType.simpleString()
-    user_blocks, track_blocks = to_cells(users, tracks, vector, vector, rows_per_block)
+    user_blocks, track_blocks = grid_shape(users, tracks, seen, vector, rows_per_block)
     cells = user_blocks * track_blocks
     grid = ["track_block", "user_block"]
 
     as_vector = F.col(vector).cast("array<double>").alias("vector")
     left = (
-        tracks.select(_block(TRACK, track_blocks).alias("track_block"), F.col(TRACK).cast("bigint").alias(TRACK), as_vector)
+        tracks.select(block_of(TRACK, track_blocks).alias("track_block"), F.col(TRACK).cast("bigint").alias(TRACK), as_vector)
         .withColumn("user_block", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))))
         .repartition(cells, *grid)
     )
     right = (
-        users.select(_block(USER, user_blocks).alias("user_block"), F.col(USER).cast("bigint").alias(USER), as_vector)
+        users.select(block_of(USER, user_blocks).alias("user_block"), F.col(USER).cast("bigint").alias(USER), as_vector)
         .withColumn("track_block", F.explode(F.sequence(F.lit(0), F.lit(track_blocks - 1))))
         .withColumn(TRACK, F.lit(None).cast("bigint"))
     )
     if seen is not None:
         pairs = seen.where(F.col(USER).isNotNull() & F.col(TRACK).isNotNull()).select(
-            _block(USER, user_blocks).alias("user_block"),
+            block_of(USER, user_blocks).alias("user_block"),
             F.col(USER).cast("bigint").alias(USER),
             F.lit(None).cast("array<double>").alias("vector"),
-            _block(TRACK, track_blocks).alias("track_block"),
+            block_of(TRACK, track_blocks).alias("track_block"),
             F.col(TRACK).cast("bigint").alias(TRACK),
         )
         right = right.unionByName(pairs)

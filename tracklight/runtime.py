@@ -12,15 +12,16 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def work_folder(spark: SparkSession) -> str:
-    """Shared folder for staged tables, as the session names it in ``spark.checkpoint.dir``."""
+    """Shared folder for staged tables and checkpoints, as the session names it in ``spark.checkpoint.dir``."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tracklight-"))
-    return context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tracklight-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def new_path(spark: SparkSession, label: str) -> str:
