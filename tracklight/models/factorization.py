@@ -184,7 +184,7 @@ def _gram(factors: DataFrame, width: int) -> np.ndarray:
     return gram
 
 
-def _solve_side(ratings: DataFrame, key: str, other: str, factors: DataFrame, width: int, missing: float, ridge: float) -> DataFrame:
+def solve_side(ratings: DataFrame, key: str, other: str, factors: DataFrame, width: int, missing: float, ridge: float) -> DataFrame:
     """Least squares per ``key``: missing cells enter through the Gram matrix, observed ones as sums."""
     gram = missing * _gram(factors, width) + ridge * np.eye(width)
     joined = ratings.join(factors.select(other, F.col("vector").alias("v")), other)
@@ -218,8 +218,8 @@ def fit_weighted(
     n_users = ratings.select(USER).distinct().count()
     n_tracks = tracks.count()
     for _ in range(iterations):
-        users = user_steps.write(_solve_side(ratings, USER, TRACK, tracks, width, missing, reg / 2 * n_tracks))
-        tracks = track_steps.write(_solve_side(ratings, TRACK, USER, users, width, missing, reg / 2 * n_users))
+        users = user_steps.write(solve_side(ratings, USER, TRACK, tracks, width, missing, reg / 2 * n_tracks))
+        tracks = track_steps.write(solve_side(ratings, TRACK, USER, users, width, missing, reg / 2 * n_users))
     return users, tracks
 
 

@@ -21,7 +21,7 @@ from tracklight.schema import PREDICTION, RANK, TRACK, USER
 
 BLOCK_BYTES = 64 * 1024 * 1024
 MAX_BLOCK_ROWS = 65_536
-CHUNK_CELLS = 8_000_000
+CHUNK_CELLS = 4_000_000
 CELL_PAIRS = 5_000_000
 TIE = 9  # scores equal to nine places are ties, decided by track id
 

@@ -132,6 +132,15 @@ def rating_errors(spark, folder):
     return rounded(rating.rating_errors(factorization.predict(train_test(spark, folder)[1], users, tracks)))
 
 
+def _rating_error(name: str, text: str) -> None:
+    build = lambda spark, folder: rating_errors(spark, folder).select(name)
+    QUERIES[name] = (build, sql(f"SELECT round({text}, 6) AS {name} FROM (SELECT t.playcount - list_dot_product(u.vec, i.vec) AS g {PAIRED})", "test", "ufac", "ifac"))
+
+
+_rating_error("rmse", "sqrt(avg(g * g))")
+_rating_error("mae", "avg(abs(g))")
+
+
 @query("novelty", sql("SELECT k, round(novelty, 6) AS novelty FROM nov", "nov"))
 def novelty(spark, folder):
     return rounded(diversity.novelty(shared.random_lists(spark, folder), train_test(spark, folder)[0], KS))
@@ -210,6 +219,13 @@ def sink_summary(spark, folder):
     return io.read_summary(spark, path)
 
 
+@query("scan_results_csv", sql(f"SELECT k, {ROUNDED} FROM bundle", "bundle"))
+def scan_results_csv(spark, folder):
+    path = new_path(spark, "results")
+    io.write_summary(rounded(by_k(spark, folder)), path)
+    return io.read_summary(spark, path)
+
+
 @query(
     "algo_k_series",
     sql(

@@ -9,13 +9,12 @@ from tracklight.metrics import diversity, ranking, rating, report
 from tracklight.metrics.rating import rating_errors
 from tracklight.models import als, baseline, bpr, classifiers, content, factorization, reconstruction
 from tracklight.operators import features, splits
-from tracklight.operators.dictionary import build_dictionary
 from tracklight.operators.skew import union_all
 from tracklight.plans import shared
-from tracklight.plans.checks import sql
+from tracklight.plans.checks import hash48, sql, uniform, vector_rows
 from tracklight.plans.metric_queries import rounded
 from tracklight.schema import PLAYS, PREDICTION, RANK, TRACK, USER
-from tracklight.sources.tables import catalogue, history, interactions, train_test
+from tracklight.sources.tables import catalogue, history, train_test
 
 QUERIES: dict[str, tuple] = {}
 # Small model sizes: the queries show that a model trains and ranks on whole tables.
@@ -93,6 +92,48 @@ def bpr_lists(spark, folder):
     return bpr.recommend(users, tracks, train, shared.TOP)
 
 
+def _bpr_rows(key: str, salt: str, last: str) -> str:
+    values = ", ".join(f"({uniform(f"'{salt}-' || {key} || '-42-{f}'")} - 0.5) * 0.25" for f in range(4))
+    return f"SELECT {key}, [{values}, {last}] AS vec FROM (SELECT DISTINCT {key} FROM train)"
+
+
+EPOCH = hash48("t.user_id || '-' || t.track_id || '-42-epoch0'")
+
+
+@query(
+    "bpr_step",
+    sql(
+        """SELECT 'user' AS side, b.user_id AS id, CAST(f.f AS INTEGER) AS factor, round(b.vec[f.f + 1] + coalesce(0.5 / sqrt(power + 1e-8) * g, 0), 6) AS value
+             FROM ub b CROSS JOIN (SELECT unnest(range(5)) AS f) f
+             LEFT JOIN s ON s.side = 'user' AND s.id = b.user_id AND s.f = f.f LEFT JOIN p ON p.side = 'user' AND p.id = b.user_id
+           UNION ALL SELECT 'track', b.track_id, CAST(f.f AS INTEGER), round(b.vec[f.f + 1] + coalesce(0.5 / sqrt(power + 1e-8) * g, 0), 6)
+             FROM ib b CROSS JOIN (SELECT unnest(range(5)) AS f) f
+             LEFT JOIN s ON s.side = 'track' AND s.id = b.track_id AND s.f = f.f LEFT JOIN p ON p.side = 'track' AND p.id = b.track_id""",
+        "prime",
+        ub=_bpr_rows("user_id", "u", "1.0"),
+        ib=_bpr_rows("track_id", "i", "0.0"),
+        d=f"""SELECT t.user_id, t.track_id, n.track_id AS other FROM train t CROSS JOIN prime JOIN numbered n ON n.idx = {EPOCH} % n_tracks
+              WHERE NOT EXISTS (SELECT 1 FROM train x WHERE x.user_id = t.user_id AND x.track_id = n.track_id)""",
+        r="""SELECT d.*, u.vec AS u, i.vec AS i, j.vec AS j, 1 / (1 + exp(list_dot_product(u.vec, i.vec) - list_dot_product(u.vec, j.vec))) AS pull
+             FROM d JOIN ub u ON u.user_id = d.user_id JOIN ib i ON i.track_id = d.track_id JOIN ib j ON j.track_id = d.other""",
+        g="""SELECT 'user' AS side, user_id AS id, f, pull * (i[f + 1] - j[f + 1]) - 0.001 * u[f + 1] AS g FROM r CROSS JOIN (SELECT unnest(range(4)) AS f)
+             UNION ALL SELECT 'track', track_id, f, pull * u[f + 1] - 0.001 * i[f + 1] FROM r CROSS JOIN (SELECT unnest(range(5)) AS f)
+             UNION ALL SELECT 'track', other, f, -pull * u[f + 1] - 0.001 * j[f + 1] FROM r CROSS JOIN (SELECT unnest(range(5)) AS f)""",
+        s="SELECT side, id, f, sum(g) AS g FROM g GROUP BY 1, 2, 3",
+        p="SELECT side, id, sum(g * g) AS power FROM s GROUP BY 1, 2",
+    ),
+)
+def bpr_step(spark, folder):
+    """All factors after one epoch."""
+    users, tracks = bpr.fit(train_test(spark, folder)[0], width=4, epochs=1)
+    return flat_factors(users, tracks)
+
+
+def flat_factors(users: DataFrame, tracks: DataFrame) -> DataFrame:
+    sides = [df.select(F.lit(side).alias("side"), F.col(key).alias("id"), F.posexplode("vector").alias("factor", "value")) for df, side, key in ((users, "user", USER), (tracks, "track", TRACK))]
+    return union_all(sides).withColumn("value", F.round("value", 6))
+
+
 @query("nmf")
 def nmf(spark, folder):
     train, _ = train_test(spark, folder)
@@ -136,8 +177,20 @@ def mf_gradient_step(spark, folder):
     train, _ = train_test(spark, folder)
     users, tracks = shared.start_factors(spark, folder)
     users, tracks = factorization.gradient_step(factorization.as_ratings(train), users, tracks, 8)
-    flat = lambda df, side, key: df.select(F.lit(side).alias("side"), F.col(key).alias("id"), F.posexplode("vector").alias("factor", "value"))
-    return flat(users, "user", USER).unionByName(flat(tracks, "track", TRACK)).withColumn("value", F.round("value", 6))
+    return flat_factors(users, tracks)
+
+
+@query(
+    "mf_loss",
+    sql(
+        "SELECT round(sqrt(avg((t.playcount - list_dot_product(u.vec, i.vec)) ** 2 + 0.02 * (list_dot_product(u.vec, u.vec) + list_dot_product(i.vec, i.vec)))), 6) AS rmse FROM train t JOIN ufac u ON u.user_id = t.user_id JOIN ifac i ON i.track_id = t.track_id",
+        "ufac",
+        "ifac",
+    ),
+)
+def mf_loss(spark, folder):
+    users, tracks = shared.start_factors(spark, folder)
+    return rounded(factorization.penalised_rmse(factorization.as_ratings(train_test(spark, folder)[0]), users, tracks))
 
 
 @query(
@@ -176,6 +229,55 @@ def wmf(spark, folder):
     return factorization.best_unseen(users, tracks, shared.TOP, seen=train)
 
 
+@query(
+    "wmf_loss",
+    sql(
+        """SELECT round(sum(CASE WHEN t.playcount IS NULL THEN 0.01 ELSE 1 END * (coalesce(t.playcount, 0) - list_dot_product(u.vec, i.vec)) ** 2
+                  + 0.02 * (list_dot_product(u.vec, u.vec) + list_dot_product(i.vec, i.vec))), 3) AS loss
+           FROM ufac u CROSS JOIN ifac i LEFT JOIN train t ON t.user_id = u.user_id AND t.track_id = i.track_id""",
+        "ufac",
+        "ifac",
+    ),
+)
+def wmf_loss(spark, folder):
+    """The loss over all cells of the matrix, of which only the observed ones are read."""
+    users, tracks = shared.start_factors(spark, folder)
+    loss = factorization.weighted_loss(factorization.as_ratings(train_test(spark, folder)[0]), users, tracks, 8)
+    return train_test(spark, folder)[0].agg(F.round(F.lit(loss), 3).alias("loss"))
+
+
+DET = "({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+FULL = DET.format(a="a11", b="a12", c="a13", d="a12", e="a22", f="a23", g="a13", h="a23", i="a33")
+SOLVED = [
+    DET.format(a="b1", b="a12", c="a13", d="b2", e="a22", f="a23", g="b3", h="a23", i="a33"),
+    DET.format(a="a11", b="b1", c="a13", d="a12", e="b2", f="a23", g="a13", h="b3", i="a33"),
+    DET.format(a="a11", b="a12", c="b1", d="a12", e="a22", f="b2", g="a13", h="a23", i="b3"),
+]
+CELLS = [(1, 1), (1, 2), (1, 3), (2, 2), (2, 3), (3, 3)]
+
+
+@query(
+    "wmf_step",
+    sql(
+        f"SELECT user_id, round({SOLVED[0]} / {FULL}, 6) AS u1, round({SOLVED[1]} / {FULL}, 6) AS u2, round({SOLVED[2]} / {FULL}, 6) AS u3 FROM m",
+        "train",
+        v=vector_rows(3, "train", "track_id", "i"),
+        g="SELECT count(*) AS n, " + ", ".join(f"sum(vec[{i}] * vec[{j}]) AS g{i}{j}" for i, j in CELLS) + " FROM v",
+        m="SELECT user_id, "
+        + ", ".join(f"0.01 * any_value(g{i}{j}) + 0.99 * sum(vec[{i}] * vec[{j}])" + (" + 0.02 * any_value(n)" if i == j else "") + f" AS a{i}{j}" for i, j in CELLS)
+        + ", "
+        + ", ".join(f"sum(playcount * vec[{i}]) AS b{i}" for i in (1, 2, 3))
+        + " FROM train JOIN v ON v.track_id = train.track_id CROSS JOIN g GROUP BY user_id",
+    ),
+)
+def wmf_step(spark, folder):
+    """User factors of the weighted least squares for given track factors."""
+    ratings = factorization.as_ratings(train_test(spark, folder)[0])
+    _, tracks = shared.start_factors(spark, folder, 3)
+    users = factorization.solve_side(ratings, USER, TRACK, tracks, 3, 0.01, 0.02 * tracks.count())
+    return users.select(USER, *[F.round(F.col("vector")[i], 6).alias(f"u{i + 1}") for i in range(3)])
+
+
 @query("wmf_rmse", sql("SELECT round(sqrt(avg((t.playcount - list_dot_product(u.vec, i.vec)) ** 2)), 6) AS rmse FROM train t JOIN ufac u ON u.user_id = t.user_id JOIN ifac i ON i.track_id = t.track_id", "ufac", "ifac"))
 def wmf_rmse(spark, folder):
     users, tracks = shared.start_factors(spark, folder)

@@ -164,6 +164,22 @@ def filter_in_set(spark, folder):
     return filters.keep_in(test, train.select(TRACK).distinct(), TRACK)
 
 
+@query("filter_one_user", sql("SELECT * FROM train WHERE user_id = (SELECT user_id FROM train GROUP BY 1 ORDER BY sum(playcount) DESC, user_id LIMIT 1)", "train"))
+def filter_one_user(spark, folder):
+    """The rows of the user with the most plays."""
+    train, _ = train_test(spark, folder)
+    totals = train.groupBy(USER).agg(F.sum(PLAYS).alias("plays"))
+    return train.where(F.col(USER) == totals.agg(F.max_by(F.col(USER), F.struct("plays", -F.col(USER)))).scalar())
+
+
+@query("filter_null", sql("SELECT t.user_id, t.track_id, t.playcount FROM test t LEFT JOIN (SELECT DISTINCT track_id, 1 AS trained FROM train) k ON k.track_id = t.track_id WHERE k.trained IS NULL", "train", "test"))
+def filter_null(spark, folder):
+    """Test rows whose track train lacks, by an outer join and a null test."""
+    train, test = train_test(spark, folder)
+    trained = train.select(TRACK).distinct().withColumn("trained", F.lit(1))
+    return test.join(trained, TRACK, "left").where(F.col("trained").isNull()).select(USER, TRACK, PLAYS)
+
+
 @query("binarise_plays", sql("SELECT user_id, track_id, CAST(1 AS BIGINT) AS playcount FROM train", "train"))
 def binarise_plays(spark, folder):
     return train_test(spark, folder)[0].withColumn(PLAYS, F.lit(1).cast("bigint"))
