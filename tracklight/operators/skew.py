@@ -13,12 +13,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 1000
-SPLITTERS = 512
+MAX_HOT_KEYS = 4000
+SPLITTERS = 256
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
-    """Keys with more rows than ``hot_rows`` or a thousandth of the table, so at most a thousand of them."""
+    """Keys with more rows than ``hot_rows`` and 1 / MAX_HOT_KEYS of the table, so at most that many keys."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("total")).scalar()
     floor = F.greatest(F.lit(int(hot_rows)).cast("bigint"), (total / MAX_HOT_KEYS).cast("bigint"))

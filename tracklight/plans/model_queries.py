@@ -13,6 +13,7 @@ from tracklight.operators.skew import union_all
 from tracklight.plans import shared
 from tracklight.plans.checks import hash48, sql, uniform, vector_rows
 from tracklight.plans.metric_queries import rounded
+from tracklight.runtime import stage
 from tracklight.schema import PLAYS, PREDICTION, RANK, TRACK, USER
 from tracklight.sources.tables import catalogue, history, train_test
 
@@ -285,10 +286,11 @@ def wmf_rmse(spark, folder):
     return rounded(rating_errors(scored)).select("rmse")
 
 
-@query("reconstruct_matrix", sql("SELECT user_id, count(*) AS n, round(sum(list_dot_product(u.vec, i.vec)), 6) AS row_sum, round(sum(list_dot_product(u.vec, i.vec) ** 2), 6) AS row_squares FROM ufac u CROSS JOIN ifac i GROUP BY 1", "ufac", "ifac"))
+@query("reconstruct_matrix", sql("SELECT user_id, count(*) AS n, round(sum(list_dot_product(u.vec, i.vec)), 6) AS row_sum, round(sum(list_dot_product(u.vec, i.vec) ** 2), 4) AS row_squares FROM ufac u CROSS JOIN ifac i GROUP BY 1", "ufac", "ifac"))
 def reconstruct_matrix(spark, folder):
     users, tracks = shared.start_factors(spark, folder)
-    return rounded(factorization.reconstructed_rows(users, tracks, 8))
+    rows = factorization.reconstructed_rows(users, tracks, 8)
+    return rows.withColumn("row_sum", F.round("row_sum", 6)).withColumn("row_squares", F.round("row_squares", 4))
 
 
 @query("playlist", sql("SELECT r.user_id, r.rank, r.track_id, r.prediction, c.name, c.artist FROM mfrecs r JOIN cat c ON c.track_id = r.track_id WHERE r.rank <= 10", "mfrecs", "cat"))
@@ -396,12 +398,12 @@ def reconstruction_error(spark, folder):
     sql(
         """SELECT user_id, track_id, round(exp(z - total), 9) AS prediction, CAST(rank AS INTEGER) AS rank FROM (
              SELECT c.*, n.total, row_number() OVER (PARTITION BY c.user_id ORDER BY z DESC, c.track_id DESC) AS rank
-             FROM logits c JOIN (SELECT user_id, any_value(top) + ln(sum(exp(z - top))) AS total
-                                 FROM (SELECT *, max(z) OVER (PARTITION BY user_id) AS top FROM logits) GROUP BY 1) n ON n.user_id = c.user_id
+             FROM logits c JOIN (SELECT user_id, any_value(top) + ln(sum(exp(raw - top))) AS total
+                                 FROM (SELECT *, max(raw) OVER (PARTITION BY user_id) AS top FROM logits) GROUP BY 1) n ON n.user_id = c.user_id
              WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = c.user_id AND t.track_id = c.track_id)) WHERE rank <= 25""",
         "pvec",
         "tvec",
-        logits="SELECT p.user_id, t.track_id, round(list_dot_product(p.vec, t.vec), 9) AS z FROM pvec p CROSS JOIN tvec t",
+        logits="SELECT p.user_id, t.track_id, list_dot_product(p.vec, t.vec) AS raw, round(raw, 9) AS z FROM pvec p CROSS JOIN tvec t",
     ),
 )
 def softmax_rec(spark, folder):
@@ -423,8 +425,11 @@ def softmax_genre_rec(spark, folder):
 
 
 def training_pairs(spark, folder) -> DataFrame:
+    """Written once: both classifiers read the pairs for fitting and for scoring."""
     train, _ = train_test(spark, folder)
-    return classifiers.pair_training_set(train, shared.mean_profiles(spark, folder), shared.encoded(spark, folder)[1], shared.TOP)
+    users, (_, vectors, _) = shared.mean_profiles(spark, folder), shared.encoded(spark, folder)
+    build = lambda: stage(classifiers.pair_training_set(train, users, vectors, shared.TOP), "pairs")
+    return shared.once(spark, folder, "pairs", build)
 
 
 @query(

@@ -509,10 +509,9 @@ def profile_median(spark, folder):
     return _profile(features.profile_medians(train_test(spark, folder)[0], shared.encoded(spark, folder)[0]))
 
 
-def _weighted_sql(divide: str) -> str:
-    return f"""SELECT user_id, feature_idx::INTEGER AS feature_idx, round(sum(w * value) / {divide}, 9) AS value FROM (
-      SELECT t.user_id, c.feature_idx, c.value, t.playcount::DOUBLE / sum(t.playcount) OVER (PARTITION BY t.user_id, c.feature_idx) AS w
-      FROM train t JOIN tcells c ON c.track_id = t.track_id) GROUP BY 1, 2 HAVING sum(w * value) <> 0"""
+def _weighted_sql(rows: str) -> str:
+    return f"""SELECT t.user_id, c.feature_idx::INTEGER AS feature_idx, round(sum(t.playcount * c.value) / (sum(t.playcount) * {rows}), 9) AS value
+      FROM train t JOIN tcells c ON c.track_id = t.track_id GROUP BY 1, 2 HAVING sum(t.playcount * c.value) <> 0"""
 
 
 @query("profile_weighted", sql(_weighted_sql("count(*)"), "train", "tcells"))
