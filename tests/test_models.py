@@ -131,8 +131,8 @@ def test_als_seeded_variants_and_blocked_scoring(spark, plays):
     assert recs.join(plays, ["user_id", "track_id"]).count() == 0
     by_transform = model.transform(recs.select("user_id", "track_id", F.col("prediction").alias("ours")))
     assert all(r["ours"] == pytest.approx(r["prediction"], abs=1e-5) for r in by_transform.collect())
-    for name, m in als.fit_variants(plays, rank=3, maxIter=2).items():
-        smallest = m.itemFactors.agg(F.min(F.array_min("features"))).first()[0]
+    for name, (_, tracks) in als.fit_variants(plays, rank=3, maxIter=2).items():
+        smallest = tracks.agg(F.min(F.array_min("vector"))).first()[0]
         assert smallest >= 0 or "NN" not in name
 
 
@@ -157,9 +157,9 @@ def test_models_find_the_planted_groups(spark, plays):
     assert group_share(recs) > max(0.8, random_share)
     assert recs.join(plays, ["user_id", "track_id"]).count() == 0
     binary = splits.add_negatives(plays.withColumn("playcount", F.lit(1).cast("bigint")), 20)
-    model = factorization.fit_nonnegative(binary, 4, 10)
-    assert model.itemFactors.agg(F.min(F.array_min("features"))).first()[0] >= 0
-    assert group_share(als.recommend(model, plays, 5)) > 0.8
+    users, tracks = factorization.fit_nonnegative(binary, 4, 10)
+    assert tracks.agg(F.min(F.array_min("vector"))).first()[0] >= 0
+    assert group_share(als.recommend_factors(users, tracks, plays, 5)) > 0.8
 
 
 @pytest.fixture(scope="module")
@@ -261,3 +261,55 @@ def test_playlist_has_names(spark, plays):
     ids = spark.createDataFrame([(f"T{t}", t) for t in range(60)], "key string, idx int")
     rows = baseline.playlist(recs, songs, ids).collect()
     assert len(rows) == recs.count() and all(r["original_id"] == f"T{r['track_id']}" and r["name"] == f"song {r['track_id']}" for r in rows)
+
+
+def implicit_loss(rows, users, tracks, reg, alpha):
+    u = {r["user_id"]: np.array(r["vector"]) for r in users.collect()}
+    v = {r["track_id"]: np.array(r["vector"]) for r in tracks.collect()}
+    plays, loss = {(a, b): c for a, b, c in rows}, 0.0
+    for a in u:
+        for b in v:
+            r = plays.get((a, b), 0)
+            loss += (1 + alpha * r) * ((r > 0) - u[a] @ v[b]) ** 2
+    for a, b in plays:
+        loss += reg * (u[a] @ u[a] + v[b] @ v[b])
+    return loss
+
+
+@pytest.mark.parametrize("nonnegative", [False, True])
+def test_als_by_sums_reaches_the_loss_of_spark_ml(spark, plays, history_rows, nonnegative, monkeypatch):
+    settings = dict(rank=4, maxIter=8, regParam=0.05, alpha=2.0, nonnegative=nonnegative)
+    ours = als.fit_by_sums(plays, **settings)
+    theirs = als.factors(als.fit(plays, **settings))
+    assert implicit_loss(history_rows, *ours, 0.05, 2.0) <= 1.1 * implicit_loss(history_rows, *theirs, 0.05, 2.0)
+    if nonnegative:
+        assert ours[1].agg(F.min(F.array_min("vector"))).first()[0] >= 0
+    from tracklight.operators import skew
+
+    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 10**6)
+    spread = als.fit_by_sums(plays, **{**settings, "maxIter": 1}, hot_rows=5)
+    whole = als.fit_by_sums(plays, **{**settings, "maxIter": 1})
+    for a, b in zip(spread, whole):
+        left, right = ({r[0]: r[1] for r in df.collect()} for df in (a, b))
+        assert left.keys() == right.keys() and all(left[i] == pytest.approx(right[i], abs=1e-6) for i in left)
+
+
+def test_explicit_als_by_sums(spark, toy):
+    ratings = toy.withColumn("playcount", F.col("rating").cast("bigint"))
+    users, tracks = als.fit_by_sums(ratings, rank=3, maxIter=10, regParam=0.02, implicitPrefs=False, nonnegative=False)
+    assert rating.rating_errors(factorization.predict(ratings, users, tracks)).first()["rmse"] < 0.2
+
+
+def test_long_tracks_switch_the_solver(spark, plays, monkeypatch):
+    called = []
+    monkeypatch.setattr(als, "fit_by_sums", lambda *a, **k: called.append(1) or (None, None))
+    als.fit_factors(plays, block_rows=3, rank=2, maxIter=1)
+    assert called == [1]
+
+
+def test_merge_sorted_adds_across_batches():
+    from tracklight.models.solver import merge_sorted
+
+    batches = [(np.array([1, 1, 2]), np.ones((3, 2))), (np.array([2, 2]), np.ones((2, 2))), (np.array([], dtype=int), np.ones((0, 2))), (np.array([3]), np.ones((1, 2)))]
+    merged = [(k, s[0]) for keys, sums in merge_sorted(iter(batches)) for k, s in zip(keys, sums.tolist())]
+    assert merged == [(1, 2.0), (2, 3.0), (3, 1.0)]

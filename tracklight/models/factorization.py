@@ -1,7 +1,8 @@
 """Explicit and weighted factorization by batch steps over DataFrames.
 
-Only observed cells are ever rows. Sums per user and per track combine map-side, so a popular track or
-a very active user costs each task one partial sum. Factor tables are staged after every step.
+Only observed cells are ever rows. Sums per user and per track combine map-side or are spread over
+tasks, so a popular track or a very active user does not land in one task. Factor tables are written
+after every step.
 """
 
 from __future__ import annotations
@@ -9,7 +10,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from tracklight.functions.transforms import clip
 from tracklight.functions.vectors import dot, dot_of, map_of, random_vector, sum_of
 from tracklight.models import als
-from tracklight.operators.scoring import best_unseen, block_rows, matrix
+from tracklight.models.solver import gram, solve_rows
+from tracklight.operators.scoring import best_unseen, block_rows, list_column, matrix
+from tracklight.operators.skew import hot_keys
 from tracklight.runtime import Relay, stage
 from tracklight.schema import PLAYS, PREDICTION, TRACK, USER
 
@@ -105,7 +107,7 @@ def spread_step(tracks: DataFrame, width: int, rate: float, weight: float, rows:
                 for f in range(v.shape[1]):
                     gap = part[:, f][:, None] - w[:, f][None, :]
                     total[low : low + chunk, f] = np.clip(strength * gap, -0.01, 0.01).sum(axis=1)
-        return pa.table({TRACK: ids, "push": pa.array(list(total), type=pa.list_(pa.float64()))})
+        return pa.table({TRACK: ids, "push": list_column(total)})
 
     pushes = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInArrow(push, f"{TRACK} bigint, push array<double>")
     summed = pushes.groupBy(TRACK).agg(sum_of("push", width).alias("push"))
@@ -155,9 +157,9 @@ def reconstructed_rows(users: DataFrame, tracks: DataFrame, width: int) -> DataF
     A row sum is u . sum(v) and its squares are u^T (sum v v^T) u, so the full matrix is never formed.
     """
     total = tracks.agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col("vector")[i]).alias(f"s_{i}") for i in range(width)]).first()
-    gram = _gram(tracks, width)
+    products = gram(tracks, width)
     as_array = lambda values: F.array(*[F.lit(float(x)) for x in values])
-    through = F.array(*[dot("vector", as_array(gram[i])) for i in range(width)])
+    through = F.array(*[dot("vector", as_array(products[i])) for i in range(width)])
     return users.select(
         USER,
         F.lit(total["n"]).cast("bigint").alias("n"),
@@ -169,42 +171,21 @@ def reconstructed_rows(users: DataFrame, tracks: DataFrame, width: int) -> DataF
 # --- weighted factorization -------------------------------------------------------------------
 
 
-def _outer_sums(vector: str, width: int, weight: float = 1.0) -> list:
-    v = F.col(vector)
-    return [F.sum(weight * v[i] * v[j]).alias(f"a_{i}_{j}") for i in range(width) for j in range(i, width)]
-
-
-def _gram(factors: DataFrame, width: int) -> np.ndarray:
-    """Sum of v v^T over all factors: width * width numbers."""
-    row = factors.agg(*_outer_sums("vector", width)).first()
-    gram = np.zeros((width, width))
-    for i in range(width):
-        for j in range(i, width):
-            gram[i, j] = gram[j, i] = row[f"a_{i}_{j}"] or 0.0
-    return gram
-
-
-def solve_side(ratings: DataFrame, key: str, other: str, factors: DataFrame, width: int, missing: float, ridge: float) -> DataFrame:
+def solve_side(
+    ratings: DataFrame,
+    key: str,
+    other: str,
+    factors: DataFrame,
+    width: int,
+    missing: float,
+    ridge: float,
+    hot: list | None = None,
+) -> DataFrame:
     """Least squares per ``key``: missing cells enter through the Gram matrix, observed ones as sums."""
-    gram = missing * _gram(factors, width) + ridge * np.eye(width)
-    joined = ratings.join(factors.select(other, F.col("vector").alias("v")), other)
-    sums = joined.groupBy(key).agg(
-        *_outer_sums("v", width, 1.0 - missing), *[F.sum(F.col(RATING) * F.col("v")[i]).alias(f"b_{i}") for i in range(width)]
+    rows = ratings.join(factors.select(other, F.col("vector").alias("v")), other).select(
+        key, F.lit(1.0 - missing).alias("weight"), F.col(RATING).alias("target"), F.lit(1.0).alias("counts"), "v"
     )
-    upper = [(i, j) for i in range(width) for j in range(i, width)]
-
-    def solve(batches):
-        for batch in batches:
-            a = np.tile(gram, (len(batch), 1, 1))
-            for i, j in upper:
-                a[:, i, j] += batch[f"a_{i}_{j}"].to_numpy()
-                if i != j:
-                    a[:, j, i] += batch[f"a_{i}_{j}"].to_numpy()
-            b = np.stack([batch[f"b_{i}"].to_numpy() for i in range(width)], axis=1)
-            solved = np.linalg.solve(a, b[:, :, None])[:, :, 0]
-            yield pd.DataFrame({key: batch[key].to_numpy(), "vector": list(solved)})
-
-    return sums.mapInPandas(solve, f"{key} int, vector array<double>")
+    return solve_rows(rows, key, width, base=missing * gram(factors, width), ridge=ridge, hot=hot)
 
 
 def fit_weighted(
@@ -217,9 +198,10 @@ def fit_weighted(
     tracks = track_steps.write(tracks)
     n_users = ratings.select(USER).distinct().count()
     n_tracks = tracks.count()
+    hot_users, hot_tracks = hot_keys(ratings, USER), hot_keys(ratings, TRACK)
     for _ in range(iterations):
-        users = user_steps.write(solve_side(ratings, USER, TRACK, tracks, width, missing, reg / 2 * n_tracks))
-        tracks = track_steps.write(solve_side(ratings, TRACK, USER, users, width, missing, reg / 2 * n_users))
+        users = user_steps.write(solve_side(ratings, USER, TRACK, tracks, width, missing, reg / 2 * n_tracks, hot_users))
+        tracks = track_steps.write(solve_side(ratings, TRACK, USER, users, width, missing, reg / 2 * n_users, hot_tracks))
     return users, tracks
 
 
@@ -231,7 +213,7 @@ def weighted_loss(
     observed = cells.agg(
         F.sum((F.col(RATING) - F.col("p")) ** 2).alias("error"), F.sum(F.col("p") ** 2).alias("squares")
     ).first()
-    gu, gv = _gram(users, width), _gram(tracks, width)
+    gu, gv = gram(users, width), gram(tracks, width)
     everywhere = float((gu * gv).sum())
     ridge = reg / 2 * (tracks.count() * np.trace(gu) + users.count() * np.trace(gv))
     return float(observed["error"] + missing * (everywhere - observed["squares"]) + ridge)
@@ -240,8 +222,10 @@ def weighted_loss(
 # --- non-negative factorization ---------------------------------------------------------------
 
 
-def fit_nonnegative(train: DataFrame, width: int = 10, iterations: int = 10, reg: float = 0.06, seed: int = 42) -> ALSModel:
-    """Non-negative explicit factorization of the play counts."""
-    return als.fit(
+def fit_nonnegative(
+    train: DataFrame, width: int = 10, iterations: int = 10, reg: float = 0.06, seed: int = 42
+) -> tuple[DataFrame, DataFrame]:
+    """User and track factors of the non-negative explicit factorization of the play counts."""
+    return als.fit_factors(
         train, seed, rank=width, maxIter=iterations, regParam=reg, implicitPrefs=False, nonnegative=True
     )

@@ -33,6 +33,12 @@ def matrix(column) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
+def list_column(rows: np.ndarray) -> pa.Array:
+    """The rows of a two-dimensional array as a list column."""
+    offsets = np.arange(0, rows.size + 1, max(1, rows.shape[1]), dtype=np.int32)
+    return pa.ListArray.from_arrays(offsets, np.ascontiguousarray(rows, dtype=np.float64).ravel())
+
+
 def dot_scores(users: np.ndarray, tracks: np.ndarray) -> np.ndarray:
     return users @ tracks.T
 

@@ -52,14 +52,26 @@ def als_fit(spark, folder):
 @query("als_score_all")
 def als_score_all(spark, folder):
     train, _ = train_test(spark, folder)
-    return als.recommend(als.fit(train, **ALS_SMALL), train, shared.TOP)
+    users, tracks = als.fit_factors(train, **ALS_SMALL)
+    return als.recommend_factors(users, tracks, train, shared.TOP)
+
+
+@query("als_by_sums")
+def als_by_sums(spark, folder):
+    """The solver for histories with very long users or tracks, on the same objective."""
+    train, _ = train_test(spark, folder)
+    users, tracks = als.fit_by_sums(train, rank=8, maxIter=2)
+    return als.recommend_factors(users, tracks, train, shared.TOP)
 
 
 @query("als_variants")
 def als_variants(spark, folder):
     train, test = train_test(spark, folder)
-    models = als.fit_variants(train, rank=4, maxIter=2)
-    rows = [ranking.ranking_at_k(als.recommend(m, train, shared.TOP), test, report.KS).withColumn("algo", F.lit(n)) for n, m in models.items()]
+    fitted = als.fit_variants(train, rank=4, maxIter=2)
+    rows = [
+        ranking.ranking_at_k(als.recommend_factors(*sides, train, shared.TOP), test, report.KS).withColumn("algo", F.lit(n))
+        for n, sides in fitted.items()
+    ]
     return union_all(rows)
 
 
@@ -138,7 +150,7 @@ def flat_factors(users: DataFrame, tracks: DataFrame) -> DataFrame:
 @query("nmf")
 def nmf(spark, folder):
     train, _ = train_test(spark, folder)
-    return als.recommend(factorization.fit_nonnegative(train, 8, 3), train, shared.TOP)
+    return als.recommend_factors(*factorization.fit_nonnegative(train, 8, 3), train, shared.TOP)
 
 
 @query("nmf_negatives")
@@ -148,8 +160,8 @@ def nmf_negatives(spark, folder):
     binary = train.withColumn(PLAYS, F.lit(1).cast("bigint"))
     rows = []
     for n in (10, 25, 50):
-        model = factorization.fit_nonnegative(splits.add_negatives(binary, n), 4, 2)
-        metrics = ranking.ranking_at_k(als.recommend(model, train, shared.TOP), test, report.KS)
+        sides = factorization.fit_nonnegative(stage(splits.add_negatives(binary, n), "negatives"), 4, 2)
+        metrics = ranking.ranking_at_k(als.recommend_factors(*sides, train, shared.TOP), test, report.KS)
         rows.append(metrics.withColumn("negatives", F.lit(n)))
     return union_all(rows)
 
@@ -304,12 +316,12 @@ def experiment_metrics(spark, folder):
     """Non-negative factorization after a ratio split: rating errors and list metrics averaged per user."""
     split = splits.split_ratio(history(spark, folder).select(USER, TRACK, PLAYS))
     train, test = (split.where(F.col("split") == s).select(USER, TRACK, PLAYS) for s in ("train", "test"))
-    model = factorization.fit_nonnegative(train, 8, 3)
-    scored = model.transform(test).withColumn(PREDICTION, F.col(PREDICTION).cast("double"))
+    users, tracks = factorization.fit_nonnegative(train, 8, 3)
+    scored = factorization.predict(test, users, tracks)
     gap = F.col(PLAYS) - F.col(PREDICTION)
     errors = scored.groupBy(USER).agg(F.avg(F.abs(gap)).alias("mae"), F.sqrt(F.avg(gap * gap)).alias("rmse"))
     means = errors.agg(F.avg("mae").alias("mae"), F.avg("rmse").alias("rmse"))
-    listed = ranking.ranking_at_k(als.recommend(model, train, 10), test, [10])
+    listed = ranking.ranking_at_k(als.recommend_factors(users, tracks, train, 10), test, [10])
     return listed.select("*", means.select("mae").scalar().alias("mae"), means.select("rmse").scalar().alias("rmse"))
 
 
