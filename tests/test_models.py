@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tracklight.metrics import ranking, rating
+from tracklight.metrics import rating
 from tracklight.models import als, baseline, bpr, classifiers, content, factorization, reconstruction
 from tracklight.operators import scoring, splits
 from tracklight.sources import io

@@ -11,7 +11,7 @@ from tracklight.plans import shared
 from tracklight.plans.checks import sql
 from tracklight.plans.prepare_queries import SCORED, scored_history
 from tracklight.runtime import new_path
-from tracklight.schema import PLAYS, PREDICTION, RANK, TRACK, USER
+from tracklight.schema import USER
 from tracklight.sources import io
 from tracklight.sources.tables import history, train_test
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tracklight.functions import transforms, vectors
 from tracklight.functions.hashing import uniform
 from tracklight.metrics.diversity import list_pairs
-from tracklight.models import baseline, factorization
+from tracklight.models import baseline
 from tracklight.operators import aggregates, dictionary, features, filters, ranking, skew, splits
 from tracklight.plans import shared
 from tracklight.plans.checks import hash48, sql
