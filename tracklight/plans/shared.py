@@ -45,7 +45,8 @@ def cosine_lists(spark: SparkSession, folder: str, k: int = 25) -> DataFrame:
 
 def start_factors(spark: SparkSession, folder: str, width: int = 8) -> tuple[DataFrame, DataFrame]:
     train, _ = train_test(spark, folder)
-    return factorization.start_factors(train, width)
+    build = lambda: tuple(stage(side, "start") for side in factorization.start_factors(train, width))
+    return once(spark, folder, f"start{width}", build)
 
 
 def factor_lists(spark: SparkSession, folder: str) -> DataFrame:
