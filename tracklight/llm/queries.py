@@ -5,12 +5,14 @@ Parameters are the production ones; a query adds the digest columns of its contr
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklight.llm import checks, exact_dedup, licenses, mixing, sentencepiece_codec, tool_calls
-from tracklight.llm.common import table, text_of
+from tracklight.llm import checks, ctw, exact_dedup, html_text, jaccard_trie, licenses, merkle, mixing, quality_crf, sentencepiece_codec, tool_calls
+from tracklight.llm.common import held_out, table, text_of
 
 PIECES = "piece_bpe_32k.model"
 
@@ -27,6 +29,12 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page; weights learned from the pages that mark their article."""
+    found = html_text.main_text(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_blocks")
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus mixed at 99.5 % of the largest entropy, as many tokens as it has, no source read over four times."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
@@ -34,6 +42,11 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "source", "mix_pass", "mix_block", "mix_key", "mix_tokens", F.round("mix_weight", 6).alias("mix_weight"))
 
 
+def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, with their likeness."""
+    return merkle.compare_with_edited(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def tool_traffic(conversations: DataFrame) -> DataFrame:
     """Conversations as tool messages: a user turn calls ``answer`` and refers to the user turn before it, the turn
     that follows is the result."""
@@ -75,11 +88,33 @@ def op5_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learned from labels of rows that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labelled = table(spark, folder, "labels").where(~held_out(5)).select("doc_id", "quality")
+    scored = quality_crf.score(docs, quality_crf.fit(docs, labelled))
+    return scored.select(
+        "doc_id", held_out(5).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.3).cast("int").alias("predicted"), "n_lines", "n_good_lines"
+    )
+
+
 def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
     """Licence statements in the lines, blocks and whole texts of all documents."""
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op8_context_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """log10 probability of every document under a byte context tree and under word counts."""
+    scored = ctw.score(table(spark, folder, "documents").select("doc_id", "text"), ~held_out(10))
+    return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
+
+
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of all documents under a Jaccard coefficient of at least 0.9 over three-word shingles."""
+    found = jaccard_trie.near_components(table(spark, folder, "documents").select("doc_id", "text"), 3, Fraction(9, 10))
+    return found.select("doc_id", "n_shingles", "component_id", "n_links", "class_size")
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the row of its text that stays."""
     found = exact_dedup.exact_duplicates(table(spark, folder, "documents"))
@@ -88,8 +123,13 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
+    "op2_html_text": (op2_html_text, None),
     "op3_mixing": (op3_mixing, checks.MIXING),
+    "op4_fingerprints": (op4_fingerprints, None),
     "op5_tool_calls": (op5_tool_calls, checks.TOOL_CALLS),
+    "op6_quality": (op6_quality, None),
     "op7_licenses": (op7_licenses, checks.licenses()),
+    "op8_context_tree": (op8_context_tree, None),
+    "op9_jaccard_join": (op9_jaccard_join, None),
     "op10_exact_dedup": (op10_exact_dedup, checks.EXACT_DEDUP),
 }
