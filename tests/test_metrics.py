@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.mllib.evaluation import RankingMetrics
 from pyspark.sql import functions as F
@@ -100,6 +101,41 @@ def test_list_distances(spark):
         diversity.list_distance(recs, vectors, "manhattan")
 
 
+@pytest.mark.parametrize("piece", [2, 3, 256])
+def test_long_lists_in_pieces(spark, piece, monkeypatch):
+    rng = np.random.default_rng(1)
+    points = rng.normal(size=(40, 3))
+    vectors = spark.createDataFrame([(t, p.tolist()) for t, p in enumerate(points)], "track_id int, vector array<double>")
+    listed = {0: list(range(40)), 1: [5, 3, 9, 1], 2: [7]}
+    recs = lists(spark, listed)
+    monkeypatch.setattr(diversity, "PIECE", piece)
+    found = {r[0]: r[1] for r in diversity.list_distance(recs, vectors, "euclidean").collect()}
+    for user, tracks in listed.items():
+        pairs = [np.linalg.norm(points[a] - points[b]) for i, a in enumerate(tracks) for b in tracks[i + 1 :]]
+        assert found[user] == pytest.approx(np.mean(pairs) if pairs else 0)
+    top = 25
+    rows = {(r["user_id"], r["track_a"], r["track_b"]): (r["n"], r["rank"]) for r in diversity.list_pairs(recs, top).collect()}
+    expected = {}
+    for user, tracks in listed.items():
+        kept = tracks[:top]
+        for i, a in enumerate(kept):
+            for j in range(i + 1, len(kept)):
+                expected[user, min(a, kept[j]), max(a, kept[j])] = (len(kept), j + 1)
+    assert rows == expected
+
+
+def test_every_k_has_a_row_without_common_users(spark):
+    row = ranking.ranking_at_k(lists(spark, {0: [1]}), truth(spark, [(1, 4, 1)]), [1, 2]).collect()
+    assert [(r["k"], r["hit_at_k"], r["map"]) for r in sorted(row)] == [(1, 0.0, None), (2, 0.0, None)]
+
+
+def test_flat_ideals_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "PIECE", 4)
+    held = truth(spark, [(n, t, 1) for n in (1, 3, 4, 5, 8, 11) for t in range(n)])
+    for r in ranking.flat_ideals(held).collect():
+        assert r["ideal"] == pytest.approx(sum(1 / max(math.log2(i), 1.0) for i in range(1, r["user_id"] + 1)))
+
+
 def test_zero_vector_has_distance_one(spark):
     vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0])], "track_id int, vector array<double>")
     assert diversity.list_distance(lists(spark, {0: [1, 2]}), vectors).first()["distance"] == pytest.approx(1.0)

@@ -277,16 +277,13 @@ def implicit_loss(rows, users, tracks, reg, alpha):
 
 
 @pytest.mark.parametrize("nonnegative", [False, True])
-def test_als_by_sums_reaches_the_loss_of_spark_ml(spark, plays, history_rows, nonnegative, monkeypatch):
+def test_als_by_sums_reaches_the_loss_of_spark_ml(spark, plays, history_rows, nonnegative):
     settings = dict(rank=4, maxIter=8, regParam=0.05, alpha=2.0, nonnegative=nonnegative)
     ours = als.fit_by_sums(plays, **settings)
     theirs = als.factors(als.fit(plays, **settings))
     assert implicit_loss(history_rows, *ours, 0.05, 2.0) <= 1.1 * implicit_loss(history_rows, *theirs, 0.05, 2.0)
     if nonnegative:
         assert ours[1].agg(F.min(F.array_min("vector"))).first()[0] >= 0
-    from tracklight.operators import skew
-
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 10**6)
     spread = als.fit_by_sums(plays, **{**settings, "maxIter": 1}, hot_rows=5)
     whole = als.fit_by_sums(plays, **{**settings, "maxIter": 1})
     for a, b in zip(spread, whole):
@@ -300,11 +297,15 @@ def test_explicit_als_by_sums(spark, toy):
     assert rating.rating_errors(factorization.predict(ratings, users, tracks)).first()["rmse"] < 0.2
 
 
-def test_long_tracks_switch_the_solver(spark, plays, monkeypatch):
-    called = []
-    monkeypatch.setattr(als, "fit_by_sums", lambda *a, **k: called.append(1) or (None, None))
-    als.fit_factors(plays, block_rows=3, rank=2, maxIter=1)
-    assert called == [1]
+def test_blocks_follow_the_ratings(spark, plays):
+    assert als.blocks(plays) == {"numUserBlocks": 10, "numItemBlocks": 10}
+    assert als.blocks(plays, block_rows=20)["numUserBlocks"] == -(-plays.count() // 20)
+
+
+def test_users_with_only_zero_plays_are_listed(spark):
+    ratings = spark.createDataFrame([(0, 1, 0), (1, 1, 3), (1, 2, 0)], "user_id int, track_id int, playcount bigint")
+    users, tracks = als.fit_by_sums(ratings, rank=2, maxIter=2)
+    assert users.count() == 2 and tracks.count() == 2
 
 
 def test_merge_sorted_adds_across_batches():

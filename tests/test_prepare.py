@@ -67,9 +67,25 @@ def test_dictionary_is_dense_and_counts_null(spark):
 
 
 def test_remap_unknown_to_null(spark):
-    d = spark.createDataFrame([("a", 0)], "key string, idx int")
-    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
-    assert sorted((r["n"], r["k"]) for r in dictionary.remap(df, "k", d).collect()) == [(1, 0), (2, None)]
+    d = spark.createDataFrame([("a", 0), (None, 7)], "key string, idx int")
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n int")
+    assert sorted((r["n"], r["k"]) for r in dictionary.remap(df, "k", d).collect()) == [(1, 0), (2, None), (3, 7)]
+
+
+def test_dictionary_files_keep_every_key(spark, tmp_path):
+    keys = ['"Heroes"', '"Open', "a\tb", "back\\slash", "\\N", "\\\\t", "new\nline\r", "", " x ", "plain", "tab\t 3", None, "é😀"]
+    rows = spark.createDataFrame(list(zip(keys, range(len(keys)))), "key string, idx int")
+    io.write_dictionary(rows, str(tmp_path / "d"))
+    assert sorted((r["idx"], r["key"]) for r in io.read_dictionary(spark, str(tmp_path / "d")).collect()) == list(enumerate(keys))
+    (tmp_path / "bad").write_text("key\t x\n")
+    assert [tuple(r) for r in io.read_dictionary(spark, str(tmp_path / "bad")).collect()] == [("key", None)]
+
+
+def test_tag_literals(spark):
+    texts = ["""["drum 'n' bass", 'rock']""", """["rock 'n' roll"]""", "[1, 2]", r"""['it\'s', "a \"b\""]""", "[]", "['', 'a, b', c d ]"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, tags string")
+    parsed = [r[1] for r in df.select("n", transforms.parse_tags("tags")).orderBy("n").collect()]
+    assert parsed == [["drum 'n' bass", "rock"], ["rock 'n' roll"], ["1", "2"], ["it's", 'a "b"'], [], ["a, b", "c d"]]
 
 
 def test_tags(spark):
@@ -143,10 +159,9 @@ def test_split_sizes(spark, hot_rows):
     assert split.count() == df.count()
 
 
-def test_hot_users_split_and_rank_like_others(spark, plays, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 10**6)
+def test_hot_users_split_and_rank_like_others(spark, plays):
     plain = splits.split_per_user(plays)
-    assert skew.hot_keys(plays, "user_id", 5) != []
+    assert skew.hot_keys(plays, "user_id", 5).count() > 0 and skew.hot_keys(plays, "user_id") is None
     assert splits.split_per_user(plays, hot_rows=5).exceptAll(plain).count() == 0
     scored = plays.select("user_id", "track_id", (F.col("playcount") / 3).alias("prediction"))
     for f in (ranking.enumerate_ranks, ranking.percent_rank):
@@ -154,6 +169,16 @@ def test_hot_users_split_and_rank_like_others(spark, plays, monkeypatch):
         assert f(scored, hot_rows=5).count() == plays.count()
 
 
+@pytest.mark.parametrize("hot_rows", [3, 5, 17])
+def test_hot_ranks_with_nulls_nan_and_ties(spark, hot_rows):
+    values = [None] * 10 + [float("nan")] * 3 + [1.0] * 12 + [float(i % 7) for i in range(20)]
+    rows = [(u, t, v) for u in (1, 2, None) for t, v in enumerate(values)] + [(3, t, 4.0) for t in range(30)]
+    scored = spark.createDataFrame(rows, "user_id int, track_id int, prediction double").repartition(5)
+    for f in (ranking.enumerate_ranks, ranking.percent_rank):
+        ours, plain = (sorted(map(str, f(scored, hot_rows=h).collect())) for h in (hot_rows, 10**9))
+        assert ours == plain
+
+
 def test_folds_and_ratio_cover_everything(spark, plays):
     sizes = Counter(r["fold"] for r in splits.folds(plays).collect())
     assert sorted(sizes) == [0, 1, 2, 3, 4] and sum(sizes.values()) == plays.count()

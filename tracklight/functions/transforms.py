@@ -23,9 +23,17 @@ def cell_weight(rating, missing: float = 0.01) -> Column:
 
 
 def parse_tags(text) -> Column:
-    """Tag text to ``array<string>``: comma-separated or a bracketed list of quoted words; null gives []."""
+    """Tag text to ``array<string>``: comma-separated or a bracketed list of quoted or bare items; null gives [].
+
+    A quoted item ends at the quote that opened it; a backslash escapes the character after it. Empty items are left out.
+    """
     c = F.col(text) if isinstance(text, str) else text
-    quoted = F.regexp_extract_all(c, F.lit(r"""['"]([^'"]*)['"]"""), F.lit(1))
+    item = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^\s,'"\[\]][^,\[\]]*"""
+    unquoted = lambda t: F.when(
+        t.startswith("'") | t.startswith('"'), F.regexp_replace(F.substring(t, F.lit(2), F.length(t) - 2), r"\\(.)", "$1")
+    ).otherwise(F.trim(t))
+    items = F.regexp_extract_all(F.regexp_replace(F.trim(c), r"^\[|\]$", ""), F.lit(item), F.lit(0))
+    quoted = F.filter(F.transform(items, unquoted), lambda t: t != "")
     plain = F.filter(F.transform(F.split(c, ","), lambda t: F.trim(t)), lambda t: t != "")
     bracketed = F.trim(c).startswith("[") & F.trim(c).endswith("]")
     return F.when(c.isNull(), F.array().cast("array<string>")).when(bracketed, quoted).otherwise(plain)

@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from tracklight.functions.vectors import dot, euclidean, norm, sum_of, unit
 from tracklight.schema import RANK, TRACK, USER
 
-MAX_LIST = 1000
+# A list is gathered in pieces of so many tracks; pairs of pieces meet in a join.
+PIECE = 256
 
 
 def list_distance(recs: DataFrame, vectors: DataFrame, metric: str = "cosine", vector: str = "vector") -> DataFrame:
     """``(user, distance)``: mean distance over the pairs of each list; 0 for a single track.
 
     Cosine needs no pairs: with unit vectors, the similarities of all pairs sum to half of the squared
-    length of the vector sum less the sum of squared lengths. Euclidean distances are summed within
-    the row of a list, which ``MAX_LIST`` bounds.
+    length of the vector sum less the sum of squared lengths. Euclidean distances are summed over pairs of
+    pieces of a list, so a long list spreads over tasks.
     """
     if metric == "cosine":
         width = vectors.agg(F.max(F.size(vector))).first()[0] or 1
@@ -29,19 +30,20 @@ def list_distance(recs: DataFrame, vectors: DataFrame, metric: str = "cosine", v
         similarity = F.try_divide(dot("total", "total") - F.col("with_length"), pairs)
         return sums.select(USER, F.coalesce(1.0 - similarity, F.lit(0.0)).alias("distance"))
     if metric == "euclidean":
-        longest = recs.agg(F.max(RANK)).first()[0] or 0
-        if longest > MAX_LIST:
-            raise ValueError(f"lists of more than {MAX_LIST} tracks: cut them to k first")
         joined = recs.select(USER, TRACK, RANK).join(vectors.select(TRACK, F.col(vector).alias("v")), TRACK)
-        lists = joined.groupBy(USER).agg(F.array_sort(F.collect_list(F.struct(RANK, "v"))).alias("vs"))
-        size = F.size("vs")
-        rest = lambda i: F.slice(F.col("vs"), i + 2, F.greatest(size - i - 1, F.lit(0)))
-        total = F.aggregate(
-            F.transform(F.col("vs"), lambda a, i: F.aggregate(rest(i), F.lit(0.0), lambda s, b: s + euclidean(a["v"], b["v"]))),
+        among = lambda first, rest: F.aggregate(
+            F.transform(first, lambda a, i: F.aggregate(rest(i), F.lit(0.0), lambda s, b: s + euclidean(a["v"], b["v"]))),
             F.lit(0.0),
             lambda s, x: s + x,
         )
-        return lists.select(USER, F.coalesce(F.try_divide(2.0 * total, size * (size - 1)), F.lit(0.0)).alias("distance"))
+        own, other = piece_pairs(joined, F.struct(RANK, "v"))
+        tail = lambda i: F.slice("l", i + 2, F.greatest(F.size("l") - i - 1, F.lit(0)))
+        sums = own.select(USER, "n", among(F.col("l"), tail).alias("d")).unionByName(
+            other.select(USER, F.lit(0).cast("bigint").alias("n"), among(F.col("l"), lambda i: F.col("m")).alias("d"))
+        )
+        lists = sums.groupBy(USER).agg(F.sum("d").alias("total"), F.sum("n").alias("n"))
+        pairs = F.col("n") * (F.col("n") - 1)
+        return lists.select(USER, F.coalesce(F.try_divide(2.0 * F.col("total"), pairs), F.lit(0.0)).alias("distance"))
     raise ValueError(f"unknown distance: {metric}")
 
 
@@ -66,20 +68,39 @@ def novelty(recs: DataFrame, train: DataFrame, ks: list[int]) -> DataFrame:
     )
 
 
+def piece_pairs(rows: DataFrame, item) -> tuple[DataFrame, DataFrame]:
+    """Lists in pieces: ``(user, piece, n, l)`` with the sorted items of a piece and their number, and
+    ``(user, l, m)`` for every two pieces of a list.
+
+    ``rows`` has the rank of each item; ranks 1..n make pieces of ``PIECE``. Lists that fit one piece never meet
+    the join.
+    """
+    placed = rows.withColumn("piece", F.floor((F.col(RANK) - 1) / PIECE).cast("int"))
+    own = placed.groupBy(USER, "piece").agg(F.array_sort(F.collect_list(item)).alias("l"), F.count(F.lit(1)).alias("n"))
+    later = own.where("piece > 0")
+    earlier = later.select(USER, F.col("piece").alias("with_piece"), F.explode(F.sequence(F.lit(0), F.col("piece") - 1)).alias("piece"))
+    other = earlier.join(own.select(USER, "piece", "l"), [USER, "piece"]).select(USER, F.col("with_piece").alias("piece"), "l")
+    return own, other.join(later.select(USER, "piece", F.col("l").alias("m")), [USER, "piece"]).select(USER, "l", "m")
+
+
 def list_pairs(recs: DataFrame, top: int, carry: list[str] | None = None) -> DataFrame:
     """Unordered pairs of tracks that share a list: ``(user, n, track_a < track_b, rank)``.
 
     ``n`` is the length of the list and ``rank`` the later rank of the two, i.e. the shortest list that
-    holds both; columns to ``carry`` come out once per track. A list has at most ``top`` tracks and its
-    pairs are formed within its own row.
+    holds both; columns to ``carry`` come out once per track. Lists are cut at ``top`` and formed in
+    pieces, so a long one spreads over tasks.
     """
-    if top > MAX_LIST:
-        raise ValueError(f"lists of more than {MAX_LIST} tracks")
     carry = carry or []
-    lists = recs.where(F.col(RANK) <= top).groupBy(USER).agg(F.array_sort(F.collect_list(F.struct(TRACK, RANK, *carry))).alias("l"))
-    first = lists.select(USER, "l", F.size("l").alias("n"), F.posexplode("l").alias("i", "a"))
+    kept = recs.where(F.col(RANK) <= top)
+    own, other = piece_pairs(kept, F.struct(TRACK, RANK, *carry))
+    first = own.select(USER, F.col("n").cast("int").alias("n"), "l", F.posexplode("l").alias("i", "a"))
     tail = F.slice("l", F.col("i") + 2, F.greatest(F.size("l") - F.col("i") - 1, F.lit(0)))
     pairs = first.select(USER, "n", "a", F.explode(tail).alias("b"))
+    if top > PIECE:
+        pairs = pairs.drop("n").unionByName(other.select(USER, "m", F.explode("l").alias("a")).select(USER, "a", F.explode("m").alias("b")))
+        swap = F.col(f"a.{TRACK}") > F.col(f"b.{TRACK}")
+        pairs = pairs.select(USER, F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"))
+        pairs = pairs.join(kept.groupBy(USER).agg(F.count(F.lit(1)).cast("int").alias("n")), USER)
     return pairs.select(
         USER,
         "n",

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracklight.operators.skew import rank_in_group
+from tracklight.runtime import broadcast_if_small
 from tracklight.schema import PLAYS, RANK, TRACK, USER
 
 
@@ -25,6 +25,29 @@ def _total(array, value):
     return F.aggregate(F.transform(array, value), F.lit(0.0), lambda s, x: s + x)
 
 
+PIECE = 4096
+
+
+def flat_ideals(truth: DataFrame) -> DataFrame:
+    """``(user, ideal)``: 1 / max(log2 i, 1) summed over i = 1..n for a user with n rows.
+
+    The sum depends on n alone: whole pieces of ranks are added up once, the rest in the user's row.
+    """
+    counts = truth.groupBy(USER).agg(F.count(F.lit(1)).alias("n"))
+    most = counts.agg(F.max("n")).first()[0] or 0
+    discount = lambda first, last: F.when(
+        last >= first, F.aggregate(F.sequence(first, last), F.lit(0.0), lambda s, i: s + 1.0 / F.greatest(F.log2(i.cast("double")), F.lit(1.0)))
+    ).otherwise(0.0)
+    pieces = truth.sparkSession.range(most // PIECE + 1).select(
+        F.col("id").alias("piece"), discount(F.col("id") * PIECE + 1, (F.col("id") + 1) * PIECE).alias("own")
+    )
+    # one row per 4,096 ranks of the longest history
+    before = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select("piece", F.coalesce(F.sum("own").over(before), F.lit(0.0)).alias("whole"))
+    placed = counts.withColumn("piece", F.expr(f"n div {PIECE}")).join(broadcast_if_small(pieces, most // PIECE + 1, 16), "piece")
+    return placed.select(USER, (F.col("whole") + discount(F.col("piece") * PIECE + 1, F.col("n"))).alias("ideal"))
+
+
 def user_metrics(recs: DataFrame, truth: DataFrame, ks: list[int]) -> DataFrame:
     """One row per (user, k) for users with both recommendations and relevant tracks.
 
@@ -88,9 +111,7 @@ def list_analysis(recs: DataFrame, truth: DataFrame, ks: list[int]) -> DataFrame
 
     In this NDCG the first two ranks weigh the same.
     """
-    placed = rank_in_group(truth.select(USER, TRACK), USER, [F.col(TRACK)], value=TRACK, descending=False)
-    ideal = placed.groupBy(USER).agg(F.sum(1.0 / F.greatest(F.log2("rn"), F.lit(1.0))).alias("ideal"))
-    per_user = user_metrics(recs, truth, ks).join(ideal, USER)
+    per_user = user_metrics(recs, truth, ks).join(flat_ideals(truth), USER)
     return per_user.groupBy("k").agg(
         F.avg("precision_list").alias("precision"),
         F.avg("recall").alias("recall"),
@@ -100,21 +121,26 @@ def list_analysis(recs: DataFrame, truth: DataFrame, ks: list[int]) -> DataFrame
 
 
 def ranking_at_k(recs: DataFrame, truth: DataFrame, ks: list[int]) -> DataFrame:
-    """Per k: precision, recall, NDCG and both MAPs over common users, and hit rate over all test users."""
+    """Per k: precision, recall, NDCG and both MAPs over common users, and hit rate over all test users.
+
+    Every k has a row: without common users the means are null and the hit rate is 0, without test users all are null.
+    """
     per_user = user_metrics(recs, truth, ks)
     test_users = truth.agg(F.countDistinct(USER)).scalar()
-    return per_user.groupBy("k").agg(
+    asked = truth.sparkSession.createDataFrame([(k,) for k in sorted(set(ks))], "k int")
+    means = per_user.groupBy("k").agg(
         F.avg("precision_at_k").alias("precision_at_k"),
         F.avg("recall").alias("recall_at_k"),
         F.sum("hit").alias("users_hit"),
         F.avg("ndcg").alias("ndcg_at_k"),
         F.avg("ap").alias("map"),
         F.avg("ap_at_k").alias("map_at_k"),
-    ).select(
+    )
+    return F.broadcast(asked).join(means, "k", "left").select(
         "k",
         "precision_at_k",
         "recall_at_k",
-        (F.col("users_hit") / test_users).alias("hit_at_k"),
+        F.try_divide(F.coalesce("users_hit", F.lit(0.0)), test_users).alias("hit_at_k"),
         "ndcg_at_k",
         "map",
         "map_at_k",

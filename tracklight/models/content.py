@@ -14,7 +14,7 @@ from tracklight.operators.features import (
     to_vectors,
     track_features,
 )
-from tracklight.operators.scoring import TIE, block_of, best_unseen, cosine_scores, dot_scores, grid_shape, matrix, unit_rows
+from tracklight.operators.scoring import TIE, block_of, best_unseen, cosine_scores, dot_scores, grid_partitions, grid_shape, matrix, unit_rows
 from tracklight.runtime import stage
 from tracklight.schema import PREDICTION, RANK, TRACK, USER
 
@@ -69,12 +69,12 @@ def _tracks_before(users: DataFrame, vectors: DataFrame, candidates: DataFrame)
     """``(user, track, before)``: how many of all tracks rank before each candidate, counted per block and summed."""
     user_type, track_type = (candidates.schema[c].dataType.simpleString() for c in (USER, TRACK))
     user_blocks, track_blocks = grid_shape(users, vectors)
-    cells, grid = user_blocks * track_blocks, ["track_block", "user_block"]
+    partitions, grid = grid_partitions(users.sparkSession, user_blocks * track_blocks), ["track_block", "user_block"]
     listed = candidates.groupBy(USER).agg(F.collect_list(F.struct(TRACK, PREDICTION)).alias("l"))
     left = (
         vectors.select(block_of(TRACK, track_blocks).alias("track_block"), F.col(TRACK).cast("bigint"), F.col("vector").cast("array<double>"))
         .withColumn("user_block", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))))
-        .repartition(cells, *grid)
+        .repartition(partitions, *grid)
     )
     right = (
         users.join(listed, USER)
@@ -86,7 +86,7 @@ def _tracks_before(users: DataFrame, vectors: DataFrame, candidates: DataFrame)
             F.col(f"l.{PREDICTION}").alias("scores"),
         )
         .withColumn("track_block", F.explode(F.sequence(F.lit(0), F.lit(track_blocks - 1))))
-        .repartition(cells, *grid)
+        .repartition(partitions, *grid)
     )
 
     def count(track_rows: pa.Table, user_rows: pa.Table) -> pa.Table:
@@ -138,12 +138,12 @@ def spread_out(
         return _spread_shortlist(similar_in_range(users, vectors, n, *band), vectors, n)
     user_blocks, track_blocks = grid_shape(users, vectors, rows=rows_per_block)
     grid = ["track_block", "user_block"]
-    cells = user_blocks * track_blocks
+    partitions = grid_partitions(users.sparkSession, user_blocks * track_blocks)
     user_type, track_type = (df.schema[c].dataType.simpleString() for df, c in ((users, USER), (vectors, TRACK)))
     left = (
         vectors.select(block_of(TRACK, track_blocks).alias("track_block"), F.col(TRACK).cast("bigint").alias(TRACK), F.col("vector").cast("array<double>"))
         .withColumn("user_block", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))))
-        .repartition(cells, *grid)
+        .repartition(partitions, *grid)
     )
     empty = F.array().cast("array<array<double>>")
     state = users.select(
@@ -200,7 +200,7 @@ def spread_out(
     schema = f"{USER} bigint, {TRACK} bigint, {PREDICTION} double, largest double, step int, vector array<double>"
 
     def one_pass(now: DataFrame) -> DataFrame:
-        right = now.withColumn("track_block", F.explode(F.sequence(F.lit(0), F.lit(track_blocks - 1)))).repartition(cells, *grid)
+        right = now.withColumn("track_block", F.explode(F.sequence(F.lit(0), F.lit(track_blocks - 1)))).repartition(partitions, *grid)
         return left.groupBy(*grid).cogroup(right.groupBy(*grid)).applyInArrow(choose, schema)
 
     typed = lambda df: df.select(

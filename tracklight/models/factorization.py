@@ -19,7 +19,7 @@ from tracklight.functions.transforms import clip
 from tracklight.functions.vectors import dot, dot_of, map_of, random_vector, sum_of
 from tracklight.models import als
 from tracklight.models.solver import gram, solve_rows
-from tracklight.operators.scoring import best_unseen, block_rows, list_column, matrix
+from tracklight.operators.scoring import best_unseen, block_rows, grid_partitions, list_column, matrix
 from tracklight.operators.skew import hot_keys
 from tracklight.runtime import Relay, stage
 from tracklight.schema import PLAYS, PREDICTION, TRACK, USER
@@ -90,8 +90,8 @@ def spread_step(tracks: DataFrame, width: int, rate: float, weight: float, rows:
     own = F.pmod(F.xxhash64(F.col(TRACK).cast("bigint")), F.lit(blocks)).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     cols = [F.col(TRACK).cast("bigint").alias(TRACK), F.col("vector").cast("array<double>").alias("vector")]
-    left = tracks.select(own.alias("a"), *cols).withColumn("b", other).repartition(blocks * blocks, "a", "b")
-    right = tracks.select(own.alias("b"), *cols).withColumn("a", other).repartition(blocks * blocks, "a", "b")
+    left = tracks.select(own.alias("a"), *cols).withColumn("b", other).repartition(grid_partitions(tracks.sparkSession, blocks * blocks), "a", "b")
+    right = tracks.select(own.alias("b"), *cols).withColumn("a", other).repartition(grid_partitions(tracks.sparkSession, blocks * blocks), "a", "b")
 
     def push(mine: pa.Table, theirs: pa.Table) -> pa.Table:
         ids = mine[TRACK].to_numpy()
@@ -179,7 +179,7 @@ def solve_side(
     width: int,
     missing: float,
     ridge: float,
-    hot: list | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Least squares per ``key``: missing cells enter through the Gram matrix, observed ones as sums."""
     rows = ratings.join(factors.select(other, F.col("vector").alias("v")), other).select(

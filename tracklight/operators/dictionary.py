@@ -31,10 +31,10 @@ def build_tag_dictionary(df: DataFrame, column: str = "tags") -> DataFrame:
 
 
 def remap(df: DataFrame, column: str, dictionary: DataFrame) -> DataFrame:
-    """Replace values by their index; values the dictionary lacks become null."""
-    lookup = dictionary.select(F.col("key").alias(column), F.col("idx").alias("remapped"))
+    """Replace values, null among them, by their index; values the dictionary lacks become null."""
+    lookup = dictionary.select(F.col("key").alias("remapped_key"), F.col("idx").alias("remapped"))
     columns = [F.col("remapped").alias(column) if c == column else F.col(c) for c in df.columns]
-    return df.join(lookup, column, "left").select(*columns)
+    return df.join(lookup, F.col(column).cast("string").eqNullSafe(F.col("remapped_key")), "left").select(*columns)
 
 
 def remap_tag_list(df: DataFrame, key: str, column: str, dictionary: DataFrame) -> DataFrame:

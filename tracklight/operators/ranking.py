@@ -25,12 +25,12 @@ def topk_per_user(df: DataFrame, k: int, high_track_first: bool = False) -> Data
 
 def enumerate_ranks(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``rank`` 1..n over all scored rows of each user."""
-    ranked = rank_in_group(df, USER, best_first(), rank=RANK, value=PREDICTION, hot_rows=hot_rows)
+    ranked = rank_in_group(df, USER, best_first(), rank=RANK, hot_rows=hot_rows)
     return ranked.drop("group_rows")
 
 
 def percent_rank(df: DataFrame, value: str = PREDICTION, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``percent_rank`` of each row within its user, 0 for the highest ``value``."""
-    ranked = rank_in_group(df, USER, [F.col(value).desc()], kind=F.rank, value=value, hot_rows=hot_rows)
+    ranked = rank_in_group(df, USER, [F.col(value).desc()], ties=value, hot_rows=hot_rows)
     share = F.coalesce(F.try_divide((F.col("rn") - 1).cast("double"), F.col("group_rows") - 1), F.lit(0.0))
     return ranked.withColumn("percent_rank", share).drop("rn", "group_rows")

@@ -75,7 +75,13 @@ def _best(scores: np.ndarray, k: int, high_track_first: bool):
 
 
 def block_rows(width: int) -> int:
-    return int(max(1024, min(MAX_BLOCK_ROWS, BLOCK_BYTES // (8 * max(1, width)))))
+    return int(max(1, min(MAX_BLOCK_ROWS, BLOCK_BYTES // (8 * max(1, width)))))
+
+
+def grid_partitions(spark, cells: int) -> int:
+    """Shuffle partitions of a grid: a few per task slot; a task takes its cells one after the other."""
+    slots = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(1, min(cells, 4 * slots))
 
 
 def _shape(df: DataFrame, vector: str) -> tuple[int, int]:
@@ -128,14 +134,14 @@ def best_unseen(
     user_type = users.schema[USER].dataType.simpleString()
     track_type = tracks.schema[TRACK].dataType.simpleString()
     user_blocks, track_blocks = grid_shape(users, tracks, seen, vector, rows_per_block)
-    cells = user_blocks * track_blocks
+    partitions = grid_partitions(users.sparkSession, user_blocks * track_blocks)
     grid = ["track_block", "user_block"]
 
     as_vector = F.col(vector).cast("array<double>").alias("vector")
     left = (
         tracks.select(block_of(TRACK, track_blocks).alias("track_block"), F.col(TRACK).cast("bigint").alias(TRACK), as_vector)
         .withColumn("user_block", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))))
-        .repartition(cells, *grid)
+        .repartition(partitions, *grid)
     )
     right = (
         users.select(block_of(USER, user_blocks).alias("user_block"), F.col(USER).cast("bigint").alias(USER), as_vector)
@@ -151,7 +157,7 @@ def best_unseen(
             F.col(TRACK).cast("bigint").alias(TRACK),
         )
         right = right.unionByName(pairs)
-    right = right.repartition(cells, *grid)
+    right = right.repartition(partitions, *grid)
 
     def score_cell(track_rows: pa.Table, user_rows: pa.Table) -> pa.Table:
         out = {USER: [], TRACK: [], PREDICTION: [], RANK: [], "block": [], "log_norm": []}

@@ -1,8 +1,9 @@
 """Ranking inside groups whose size is not bounded.
 
-A plain window sends a whole group to one task. Groups above ``hot_rows`` rows are therefore cut
-into buckets that follow the ranking order; every bucket is ranked on its own and shifted by the
-rows of the buckets before it. The result is the same as that of the plain window.
+A plain window sends a whole group to one task. The rows of groups above ``hot_rows`` are therefore dealt
+into ranges of (group, order), as many as their rows ask for; every range is ranked on its own and
+shifted by the rows of its group in the ranges before it. Ranks with ties are those of the
+distinct values, so that rows with one value may lie anywhere. The result is that of the plain window.
 """
 
 from __future__ import annotations
@@ -12,32 +13,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 4000
-SPLITTERS = 256
-
-
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
-    """Keys with more rows than ``hot_rows`` and 1 / MAX_HOT_KEYS of the table, so at most that many keys."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total")).scalar()
-    floor = F.greatest(F.lit(int(hot_rows)).cast("bigint"), (total / MAX_HOT_KEYS).cast("bigint"))
-    return [r[0] for r in counts.where(F.col("n") > floor).select(key).collect()]
+from tracklight.runtime import broadcast_if_small, stage
 
+HOT_ROWS = 2_000_000
 
-def digest_bucket(digest: Column) -> Column:
-    """Bucket of an md5 text that keeps its order: its first two hex digits."""
-    return F.conv(F.substring(digest, 1, 2), 16, 10).cast("int")
 
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """``(key, n, pieces)`` of the keys with more than ``hot_rows`` rows, written; ``pieces`` of at most so many rows.
 
-def _with_value_bucket(hot: DataFrame, group: str, value: str, descending: bool) -> DataFrame:
-    """Buckets cut at approximate quantiles of each group; equal values share a bucket."""
-    probabilities = [i / SPLITTERS for i in range(1, SPLITTERS)]
-    cuts = hot.groupBy(group).agg(F.percentile_approx(value, probabilities, 5000).alias("cuts"))
-    above = F.size(F.filter("cuts", lambda c: c > F.col(value)))
-    below = F.size(F.filter("cuts", lambda c: c < F.col(value)))
-    # at most MAX_HOT_KEYS rows, see hot_keys
-    return hot.join(F.broadcast(cuts), group).withColumn("bucket", above if descending else below).drop("cuts")
+    None if there is no such key.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
+    found = stage(counts.withColumn("pieces", F.ceil(F.col("n") / hot_rows).cast("int")), "hot-keys")
+    return None if found.isEmpty() else found
 
 
 def rank_in_group(
@@ -47,43 +35,46 @@ def rank_in_group(
     *,
     rank: str = "rn",
     size: str = "group_rows",
-    kind=F.row_number,
-    bucket: Column | None = None,
-    value: str | None = None,
-    descending: bool = True,
+    ties: str | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add ``rank`` (from ``kind``: row_number or rank) and the group's row count.
+    """Add ``rank`` 1..n along ``order`` and the group's row count.
 
-    ``bucket`` is an integer column that never decreases along ``order``; without it, buckets are
-    cut on ``value``, which must be the first ordering column.
+    With ``ties``, the name of the only ordering column, rows with equal values share the least of their ranks.
     """
     window = Window.partitionBy(group)
-    ranked = lambda part: part.withColumn(rank, kind().over(window.orderBy(*order)).cast("bigint")).withColumn(
-        size, F.count(F.lit(1)).over(window)
-    )
+    kind = F.rank if ties else F.row_number
     keys = hot_keys(df, group, hot_rows)
-    if not keys:
-        return ranked(df)
-
-    is_hot = F.col(group).isin(keys)
-    hot = df.where(is_hot)
-    hot = hot.withColumn("bucket", bucket) if bucket is not None else _with_value_bucket(hot, group, value, descending)
-    rows = hot.groupBy(group, "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy(group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.select(
-        group,
-        "bucket",
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
-        F.sum("n").over(window).alias(size),
-    )
-    # at most MAX_HOT_KEYS * SPLITTERS rows, see hot_keys
-    hot = (
-        hot.join(F.broadcast(offsets), [group, "bucket"])
-        .withColumn(rank, (kind().over(Window.partitionBy(group, "bucket").orderBy(*order)) + F.col("before")).cast("bigint"))
-        .select(*df.columns, rank, size)
+    if keys is None:
+        return df.withColumn(rank, kind().over(window.orderBy(*order)).cast("bigint")).withColumn(size, F.count(F.lit(1)).over(window))
+
+    n_keys, total = keys.agg(F.count(F.lit(1)), F.sum("n")).first()
+    known = broadcast_if_small(keys.select(F.col(group).alias("hot_key"), F.col("n").alias("hot_n")), n_keys, 64)
+    is_hot = F.col(group).eqNullSafe(F.col("hot_key"))
+    cold = df.join(known, is_hot, "left_anti")
+    cold = cold.withColumn(rank, kind().over(window.orderBy(*order)).cast("bigint")).withColumn(size, F.count(F.lit(1)).over(window))
+    hot = df.join(known, is_hot).drop("hot_key")
+
+    items = hot.groupBy(group, ties).agg(F.count(F.lit(1)).alias("weight")) if ties else hot.withColumn("weight", F.lit(1))
+    ranges = max(2, 2 * -(-total // hot_rows))
+    dealt = items.repartitionByRange(ranges, F.col(group), *order).withColumn("range", F.spark_partition_id())
+    dealt = stage(dealt, "ranges")
+    sizes = dealt.groupBy(group, "range").agg(F.sum("weight").alias("range_rows"))
+    earlier = Window.partitionBy(group).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = sizes.select(
+        F.col(group).alias("range_key"), F.col("range").alias("in_range"), F.coalesce(F.sum("range_rows").over(earlier), F.lit(0)).alias("before")
     )
-    return ranked(df.where(~is_hot | F.col(group).isNull())).unionByName(hot)
+    offsets = broadcast_if_small(offsets, n_keys * 2 + ranges, 64)
+    placed = dealt.join(offsets, F.col(group).eqNullSafe(F.col("range_key")) & (F.col("range") == F.col("in_range")))
+    inside = Window.partitionBy(group, "range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    position = (F.col("before") + F.coalesce(F.sum("weight").over(inside), F.lit(0)) + 1).cast("bigint")
+    if not ties:
+        ranked = placed.withColumn(rank, position)
+    else:
+        values = placed.select(F.col(group).alias("value_key"), F.col(ties).alias("value"), position.alias(rank))
+        same = F.col(group).eqNullSafe(F.col("value_key")) & F.col(ties).eqNullSafe(F.col("value"))
+        ranked = hot.join(values, same)
+    return cold.unionByName(ranked.select(*df.columns, rank, F.col("hot_n").cast("bigint").alias(size)))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

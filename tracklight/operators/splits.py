@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tracklight.functions.hashing import digest, hash48, uniform
 from tracklight.operators.dictionary import build_dictionary
 from tracklight.operators.filters import count_per_key
-from tracklight.operators.skew import HOT_ROWS, digest_bucket, rank_in_group
+from tracklight.operators.skew import HOT_ROWS, rank_in_group
 from tracklight.schema import PLAYS, TRACK, USER
 
 DRAWS_PER_ROW = 4096
@@ -19,13 +19,7 @@ DRAWS_PER_ROW = 4096
 def split_per_user(df: DataFrame, seed: int = 42, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``split``: a fifth of each user's rows, rounded up, is test; a single row stays in train."""
     keyed = df.withColumn("digest", digest(F.col(USER), F.col(TRACK), seed))
-    ranked = rank_in_group(
-        keyed,
-        USER,
-        [F.col("digest"), F.col(TRACK)],
-        bucket=digest_bucket(F.col("digest")),
-        hot_rows=hot_rows,
-    )
+    ranked = rank_in_group(keyed, USER, [F.col("digest"), F.col(TRACK)], hot_rows=hot_rows)
     test_rows = F.expr("(group_rows + 4) div 5")
     is_test = (F.col("group_rows") > 1) & (F.col("rn") <= test_rows)
     return ranked.withColumn("split", F.when(is_test, "test").otherwise("train")).select(*df.columns, "split")

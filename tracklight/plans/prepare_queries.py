@@ -118,9 +118,12 @@ QUERIES["build_dictionary"] = (six_dictionaries, sql(SIX, "inter", "tagrows"))
 @query("sink_dictionary", sql("SELECT kind, count(*) AS n, CAST(min(idx) AS INTEGER) AS low, CAST(max(idx) AS INTEGER) AS high FROM (" + SIX + ") GROUP BY 1", "inter", "tagrows"))
 def sink_dictionary(spark, folder):
     path = new_path(spark, "dictionaries")
-    six_dictionaries(spark, folder).write.partitionBy("kind").parquet(path)
-    stored = spark.read.schema("key string, idx int, kind string").parquet(path)
-    return stored.groupBy("kind").agg(long(), F.min("idx").alias("low"), F.max("idx").alias("high"))
+    kinds = stage(six_dictionaries(spark, folder), "dictionaries", partition_by="kind")
+    stored = []
+    for kind in ("user_id", "track_id", "name", "artist", "genre", "tag"):
+        io.write_dictionary(kinds.where(F.col("kind") == kind), f"{path}/{kind}")
+        stored.append(io.read_dictionary(spark, f"{path}/{kind}").withColumn("kind", F.lit(kind)))
+    return skew.union_all(stored).groupBy("kind").agg(long(), F.min("idx").alias("low"), F.max("idx").alias("high"))
 
 
 @query("preview", sql("SELECT * FROM cat ORDER BY track_id LIMIT 5", "cat"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklight.schema import DICTIONARY, INTERACTIONS
+from tracklight.schema import INTERACTIONS
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:
@@ -36,9 +36,33 @@ def read_tsv(
     return df if limit is None else df.orderBy(*(order or df.columns)).limit(limit)
 
 
+def _escaped(key: Column) -> Column:
+    """Backslash, tab and line ends as two characters; null as ``\\N``, which no escaped text equals."""
+    for raw, name in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
+        key = F.replace(key, F.lit(raw), F.lit(name))
+    return F.coalesce(key, F.lit("\\N"))
+
+
+def _unescaped(text: Column) -> Column:
+    """The key of ``_escaped``; an unknown escape stays as it is."""
+    plain = F.transform(
+        F.split(text, r"\\\\"),  # between escaped backslashes
+        lambda part: F.replace(
+            F.replace(F.replace(part, F.lit("\\t"), F.lit("\t")), F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")
+        ),
+    )
+    return F.when(text != "\\N", F.array_join(plain, "\\"))
+
+
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.schema(DICTIONARY).option("sep", "\t").csv(path)
-    return raw.select(F.trim("key").alias("key"), F.trim("idx").cast("int").alias("idx"))
+    """``(key, idx)`` of lines ``key<TAB> idx``: split at the last tab, nothing is quoted or trimmed in the key.
+
+    An index that is no number is null.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path)
+    last = F.regexp_extract("value", r"\t([^\t]*)$", 1)
+    key = F.regexp_extract("value", r"^(.*)\t[^\t]*$", 1)
+    return lines.select(_unescaped(key).alias("key"), F.trim(last).try_cast("int").alias("idx"))
 
 
 def read_dictionary_reverse(spark: SparkSession, path: str) -> DataFrame:
@@ -46,8 +70,8 @@ def read_dictionary_reverse(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_dictionary(dictionary: DataFrame, path: str) -> None:
-    text = F.concat_ws("\t", "key", F.concat(F.lit(" "), F.col("idx").cast("string")))
-    dictionary.select(text.alias("line")).write.text(path)
+    text = F.concat(_escaped(F.col("key")), F.lit("\t "), F.col("idx").cast("string"))
+    dictionary.select(text.alias("line")).write.option("lineSep", "\n").text(path)
 
 
 def write_tsv(df: DataFrame, path: str, partition_by: str | None = None) -> None:
