@@ -160,8 +160,10 @@ def labelled_counts(page: str) -> Counter | None:
     return counts
 
 
+#: An advert or notice amid the text counts as so many words at most: the words of one element are one piece of evidence.
+FURNITURE_WORDS = 3
 #: Weights where no labelled page says anything.
-DEFAULTS = {"word plain": 1.0, "word heading": 1.0, "word list": 0.5, "word link": -0.5, "word furniture": -4.0, "marker inside": 2.0, "marker beyond": -6.0, "tag": -0.3}
+DEFAULTS = {"word plain": 1.0, "word heading": 1.0, "word list": 0.5, "word link": -0.5, "word furniture": -1.0, "marker inside": 2.0, "marker beyond": -6.0, "tag": -0.3}
 
 
 def weights(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
@@ -211,7 +213,8 @@ def extract(page: str, weight: dict[str, float]) -> list[str]:
                 each += weight["marker inside" if inside else "marker beyond"]
                 if inside and context != "furniture":
                     each = max(each, 0.5)  # what the marker holds and nothing sets apart
-            scores.append(each * len(what.split()))
+            words = len(what.split())
+            scores.append(each * (min(words, FURNITURE_WORDS) if context == "furniture" else words))
     begin, end = best_run(scores)
     blocks, open_ = [], []
     for kind, what, context, inside in found[begin:end]:
