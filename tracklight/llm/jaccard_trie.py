@@ -9,8 +9,8 @@ last, by their count, the others first, by their hash (the order only steers the
 2. Star round: in the group of a token every class is compared with the group's leader, the class that has the
    token at the earliest place. Work is linear in the group, whatever its size.
 3. Rest round: links so far give components. Only classes outside their leader's component meet the others
-   of the group, on (token, size band), and only across components. Pairs whose positions or sizes exclude the
-   threshold are dropped; nothing is capped.
+   of the group, on (token, size band), and only across components. Pairs whose positions, sizes or number of common
+   first n-grams exclude the threshold are dropped; nothing is capped.
 4. Every comparison runs in a cell: one probing set and at most ``CELL`` stored ones. The stored sets form a prefix tree
    (frequent n-grams first, so that near copies share long paths); the probe walks it once, carries the
    overlap of shared paths along, and leaves a subtree when what is left of either side cannot reach
@@ -40,8 +40,8 @@ from tracklight.llm.common import fits, hinted, slices
 from tracklight.llm.components import connected
 from tracklight.runtime import stage
 
-#: n-grams listed as frequent: those seen this often in a window of a task, at most so many of them.
-OFTEN, LISTED, WINDOW = 8, 200_000, 2_000_000
+#: n-grams listed as frequent: those in this many different sets of a task's window, the most frequent so many of them.
+OFTEN, LISTED, WINDOW = 2, 1 << 20, 6_000_000
 CELL = 512
 KEPT_WORDS = 300_000
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -82,7 +82,7 @@ def class_of(tokens: np.ndarray) -> int:
 
 def needed_overlap(a: int, b: int, t: Fraction) -> int:
     """Least overlap of sets with a and b elements whose Jaccard coefficient reaches t."""
-    return math.ceil(t * (a + b) / (1 + t))
+    return -(-t.numerator * (a + b) // (t.numerator + t.denominator))
 
 
 def global_order(tokens: np.ndarray, often: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -150,7 +150,6 @@ def tree_matches(probe: list[int], stored: list[tuple[list[int], int]], t: Fract
         return []
     size, place = len(probe), {token: i for i, token in enumerate(probe)}
     least_size, most_size = math.ceil(t * size), math.floor(size / t)
-    need = [needed_overlap(size, b, t) for b in range(min(most_size, max(len(s) for s, _ in stored)) + 1)]
     found = []
     walk = [(PrefixTree(stored), 0, 0, 0)]
     while walk:
@@ -163,9 +162,9 @@ def tree_matches(probe: list[int], stored: list[tuple[list[int], int]], t: Fract
             if at is not None:
                 overlap, used = overlap + 1, at + 1
         depth += len(node.label)
-        if overlap + min(high - depth, size - used) < need[low]:
+        if overlap + min(high - depth, size - used) < needed_overlap(size, low, t):
             continue
-        if node.ends and least_size <= depth <= most_size and overlap >= need[depth]:
+        if node.ends and least_size <= depth <= most_size and overlap >= needed_overlap(size, depth, t):
             found.extend((end, overlap) for end in node.ends)
         walk.extend((child, depth, overlap, used) for child in node.children)
     return found
@@ -176,6 +175,7 @@ def _classes(docs: DataFrame, n: int) -> DataFrame:
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, amount = [], 0
+        met: set[int] = set()
 
         def frequent() -> pa.RecordBatch:
             tokens, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -187,10 +187,13 @@ def _classes(docs: DataFrame, n: int) -> DataFrame:
             for batch in slices(whole, "text"):
                 sets = [ngram_set(t, n) for t in batch.column("text").to_pylist()]
                 none = pa.nulls(len(sets), pa.int64())
-                ids = pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), ids, none, none], names)
-                held.extend(sets)
-                amount += sum(map(len, sets))
+                ids = [class_of(s) if len(s) else None for s in sets]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()), none, none], names)
+                for own, tokens in zip(ids, sets):
+                    if own is not None and own not in met:
+                        met.add(own)
+                        held.append(tokens)
+                        amount += len(tokens)
                 if amount > WINDOW:
                     yield frequent()
                     held, amount = [], 0
@@ -202,7 +205,7 @@ def _classes(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _places(docs: DataFrame, n: int, t: Fraction, often) -> DataFrame:
-    """(token, class, size, place) of the first n-grams of every class, repeated for classes in several tasks."""
+    """(token, class, size, place) of the first n-grams of every class; a class may come from several tasks."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed, counts = often.value
@@ -248,16 +251,26 @@ def _sets(docs: DataFrame, n: int, often) -> DataFrame:
     return docs.select("text").mapInArrow(tasks, "class long, tokens binary")
 
 
-def _links(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
-    """(a, b, overlap) of the pairs (a, b) that reach t. A probe with many partners is spread over cells."""
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Texts of the documents with the given ids (column ``rep``)."""
+    wanted = hinted(ids, fits(ids, 16))
+    return docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi").select("text")
+
+
+def _links(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, often, t: Fraction) -> DataFrame:
+    """(a, b, overlap) of the pairs (a, b) that reach t. A probe with many partners is spread over cells.
+
+    Only sets of classes in pairs are made, from one text of each, and each is sent to the cells it has a part in.
+    """
     pairs = stage(pairs, "trie-pairs")
-    cells = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("cells"))
+    cells = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("cells"))
     cells = stage(cells, "trie-cells")
     placed = pairs.join(hinted(cells, fits(cells, 64)), "a").withColumn("cell", F.pmod(F.xxhash64("b"), F.col("cells")).cast("int"))
-    stored = placed.join(sets.withColumnRenamed("class", "b"), "b").select("a", "cell", F.lit(1).alias("stored"), "b", "tokens")
-    probes = cells.select("a", F.explode(F.sequence(F.lit(0), F.col("cells").cast("int") - 1)).alias("cell"))
-    probes = probes.join(sets.withColumnRenamed("class", "a"), "a").select("a", "cell", F.lit(0).alias("stored"), F.col("a").alias("b"), "tokens")
-    rows = probes.unionByName(stored)
+    stored = placed.select(F.col("b").alias("class"), "a", "cell", F.lit(1).alias("stored"), "b")
+    probes = cells.select(F.col("a").alias("class"), "a", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), F.lit(0).alias("stored"), F.col("a").alias("b"))
+    parts = stage(probes.unionByName(stored), "trie-parts")
+    ids = stage(reps.join(parts.select("class").distinct(), "class", "left_semi").select("rep"), "trie-ids")
+    rows = _sets(_texts(docs, ids), n, often).join(hinted(parts, fits(parts, 48)), "class").select("a", "cell", "stored", "b", "tokens")
     rows = rows.repartition(F.col("a"), F.col("cell")).sortWithinPartitions("a", "cell", "stored")
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,13 +313,10 @@ def jaccard_links(docs: DataFrame, n: int, threshold: Fraction) -> tuple[DataFra
     order = np.argsort(tokens)
     often = spark.sparkContext.broadcast((tokens[order], np.array(top["seen"].to_numpy(), dtype=np.int64)[order]))
 
-    texts = docs.select("text").where(F.length("text") > 0)
-    places = stage(_places(texts, n, t, often).dropDuplicates(["token", "class"]), "trie-places")
+    reps = stage(rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("rep")), "trie-reps")
+    places = stage(_places(_texts(docs, reps.select("rep")), n, t, often), "trie-places")
     leader = places.groupBy("token").agg(F.min(F.struct("place", "class", "size")).alias("leader"), F.count(F.lit(1)).alias("members")).where("members > 1")
     shared = stage(places.join(leader.select("token", "leader"), "token"), "trie-shared")
-    wanted = stage(shared.select("class").distinct(), "trie-wanted")
-    sets = _sets(texts, n, often).join(hinted(wanted, fits(wanted, 16)), "class", "left_semi").groupBy("class").agg(F.first("tokens").alias("tokens"))
-    sets = stage(sets, "trie-sets")
 
     # Sizes and places that can still reach t; a common n-gram before this one is possible on both sides.
     top_, bottom = t.numerator, t.denominator
@@ -318,8 +328,8 @@ def jaccard_links(docs: DataFrame, n: int, threshold: Fraction) -> tuple[DataFra
     star = shared.where("class <> leader.class").where(
         possible(F.col("size"), F.col("place"), F.col("leader.size"), F.col("leader.place"), F.least("place", "leader.place"))
     )
-    star = star.select(F.col("leader.class").alias("a"), F.col("class").alias("b")).distinct()
-    links = stage(_links(star, sets, t), "trie-links")
+    star = stage(star.select(F.col("leader.class").alias("a"), F.col("class").alias("b")).distinct(), "trie-star")
+    links = stage(_links(star, docs, reps, n, often, t).distinct(), "trie-links")
 
     roots = stage(connected(links.select("a", "b")), "trie-roots")
     labelled = shared.join(hinted(roots, fits(roots, 16)).withColumnRenamed("node", "class"), "class", "left")
@@ -331,16 +341,27 @@ def jaccard_links(docs: DataFrame, n: int, threshold: Fraction) -> tuple[DataFra
     outside = open_rows.where("root <> lead_root").withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
     o, r = outside.alias("o"), open_rows.alias("r")
     across = o.join(r, (F.col("o.token") == F.col("r.token")) & (F.col("o.band") == F.col("r.band")) & (F.col("o.root") != F.col("r.root")))
-    # Both outside: each pair once. The leader has been compared already.
-    once = (F.col("r.root") == F.col("r.lead_root")) | (F.col("o.class") < F.col("r.class"))
-    across = across.where(once & (F.col("r.class") != F.col("r.lead")))
+    # Both outside: each pair once per token.
+    across = across.where((F.col("r.root") == F.col("r.lead_root")) | (F.col("o.class") < F.col("r.class")))
     across = across.where(possible(F.col("o.size"), F.col("o.place"), F.col("r.size"), F.col("r.place"), F.least("o.place", "r.place")))
-    across = across.groupBy(F.col("o.class").alias("a"), F.col("r.class").alias("b")).agg(
-        F.min("o.place").alias("place_a"), F.min("r.place").alias("place_b"), F.first("o.size").alias("size_a"), F.first("r.size").alias("size_b")
+    first = F.col("o.class") < F.col("r.class")
+    ends = {"a": ("o", "r"), "b": ("r", "o")}
+    across = across.select(
+        *[F.when(first, F.col(f"{x}.{c}")).otherwise(F.col(f"{y}.{c}")).alias(f"{c}_{e}") for e, (x, y) in ends.items() for c in ("class", "place", "size")]
     )
-    # Here all common first n-grams were seen, so nothing precedes the earliest of them.
-    rest = across.where(possible(F.col("size_a"), F.col("place_a"), F.col("size_b"), F.col("place_b"), F.lit(0))).select("a", "b")
-    more = stage(_links(rest, sets, t), "trie-links")
+    met = across.groupBy(F.col("class_a").alias("a"), F.col("class_b").alias("b")).agg(
+        F.min("place_a").alias("place_a"), F.min("place_b").alias("place_b"), F.first("size_a").alias("size_a"), F.first("size_b").alias("size_b"),
+        F.count(F.lit(1)).alias("common"),
+    )
+    # All common first n-grams were seen, so nothing precedes the earliest of them. Of the set whose first n-grams end
+    # earlier in the global order, all but size - overlap are common: so many must have been seen at least.
+    up = lambda amount, by: F.floor((amount + by - 1) / by)
+    overlap = up((F.col("size_a") + F.col("size_b")) * top_, top_ + bottom)
+    seen = overlap + 1 - up(F.greatest("size_a", "size_b") * top_, bottom)
+    rest = met.where(possible(F.col("size_a"), F.col("place_a"), F.col("size_b"), F.col("place_b"), F.lit(0))).where(F.col("common") >= seen)
+    compared = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = rest.select("a", "b").join(hinted(compared, fits(compared, 32)), ["a", "b"], "left_anti")
+    more = stage(_links(rest, docs, reps, n, often, t).distinct(), "trie-links")
     return rows, links.unionByName(more)
 
 
