@@ -218,6 +218,15 @@ def test_components_of_edge_rows(edge_docs, no_docs, edge_texts):
     assert jaccard_trie.near_components(no_docs).count() == 0
 
 
+def test_parities_never_differ_by_more_than_the_sets():
+    sets = [jaccard_trie.ngram_set(text, 3) for _, text in families(5, 6, 8, 4)] + [jaccard_trie.ngram_set("", 3)]
+    odd = [jaccard_trie.parities(s).tolist() for s in sets]
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        bits = sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(odd[a], odd[b]))
+        apart = len(np.setxor1d(sets[a], sets[b]))
+        assert bits <= apart and bits % 2 == apart % 2
+
+
 def test_prefix_tree_matches_brute_force():
     rng = random.Random(8)
     for t in (Fraction(9, 10), Fraction(1, 2), Fraction(1), Fraction(1, 10)):

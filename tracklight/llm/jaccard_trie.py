@@ -9,8 +9,9 @@ last, by their count, the others first, by their hash (the order only steers the
 2. Star round: in the group of a token every class is compared with the group's leader, the class that has the
    token at the earliest place. Work is linear in the group, whatever its size.
 3. Rest round: links so far give components. Only classes outside their leader's component meet the others
-   of the group, on (token, size band), and only across components. Pairs whose positions, sizes or number of common
-   first n-grams exclude the threshold are dropped; nothing is capped.
+   of the group, on (token, size band), and only across components. Pairs whose positions, sizes, parities or number of
+   common first n-grams exclude the threshold are dropped; nothing is capped. Parities are those of the n-grams in each of
+   256 slots: every slot in which two sets differ costs an n-gram that they do not share.
 4. Every comparison runs in a cell: one probing set and at most ``CELL`` stored ones. The stored sets form a prefix tree
    (frequent n-grams first, so that near copies share long paths); the probe walks it once, carries the
    overlap of shared paths along, and leaves a subtree when what is left of either side cannot reach
@@ -44,6 +45,8 @@ from tracklight.runtime import stage
 OFTEN, LISTED, WINDOW = 2, 1 << 20, 6_000_000
 CELL = 512
 KEPT_WORDS = 300_000
+#: Words of 64 slots whose parities stand for a set.
+PARITIES = ["odd0", "odd1", "odd2", "odd3"]
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
 
@@ -80,6 +83,13 @@ def class_of(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """For each slot, a bit that tells whether an odd number of the set's n-grams fall into it."""
+    slots = 64 * len(PARITIES)
+    odd = np.bincount((tokens % np.uint64(slots)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def needed_overlap(a: int, b: int, t: Fraction) -> int:
     """Least overlap of sets with a and b elements whose Jaccard coefficient reaches t."""
     return -(-t.numerator * (a + b) // (t.numerator + t.denominator))
@@ -171,7 +181,7 @@ def tree_matches(probe: list[int], stored: list[tuple[list[int], int]], t: Fract
 
 
 def _classes(docs: DataFrame, n: int) -> DataFrame:
-    """Rows of two kinds: (doc_id, size, class) per document, (token, seen) per frequent n-gram of a window."""
+    """Rows of two kinds: (doc_id, size, class, parities) per document, (token, seen) per frequent n-gram of a window."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, amount = [], 0
@@ -181,14 +191,15 @@ def _classes(docs: DataFrame, n: int) -> DataFrame:
             tokens, counts = np.unique(np.concatenate(held), return_counts=True)
             tokens, counts = tokens[counts >= OFTEN], counts[counts >= OFTEN]
             none = pa.nulls(len(tokens), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, pa.array(tokens.view(np.int64)), pa.array(counts, pa.int64())], names)
+            return pa.RecordBatch.from_arrays([none, none, none, pa.array(tokens.view(np.int64)), pa.array(counts, pa.int64()), *[none] * len(PARITIES)], names)
 
         for whole in batches:
             for batch in slices(whole, "text"):
                 sets = [ngram_set(t, n) for t in batch.column("text").to_pylist()]
                 none = pa.nulls(len(sets), pa.int64())
                 ids = [class_of(s) if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()), none, none], names)
+                odd = [pa.array(column, pa.int64()) for column in np.array([parities(s) for s in sets]).reshape(-1, len(PARITIES)).T]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()), none, none, *odd], names)
                 for own, tokens in zip(ids, sets):
                     if own is not None and own not in met:
                         met.add(own)
@@ -200,8 +211,8 @@ def _classes(docs: DataFrame, n: int) -> DataFrame:
         if held:
             yield frequent()
 
-    names = ["doc_id", "size", "class", "token", "seen"]
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tasks, "doc_id long, size long, class long, token long, seen long")
+    names = ["doc_id", "size", "class", "token", "seen", *PARITIES]
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tasks, ", ".join(f"{name} long" for name in names))
 
 
 def _places(docs: DataFrame, n: int, t: Fraction, often) -> DataFrame:
@@ -307,13 +318,13 @@ def jaccard_links(docs: DataFrame, n: int, threshold: Fraction) -> tuple[DataFra
     if not 0 < t <= 1:
         raise ValueError("the threshold lies above 0 and up to 1")
     found = stage(_classes(docs, n), "trie-classes")
-    rows = found.where("token is null").select("doc_id", "size", "class")
+    rows = found.where("token is null").select("doc_id", "size", "class", *PARITIES)
     top = found.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen")).orderBy(F.desc("seen"), "token").limit(LISTED).toArrow()
     tokens = np.array(top["token"].to_numpy(), dtype=np.int64).view(np.uint64)
     order = np.argsort(tokens)
     often = spark.sparkContext.broadcast((tokens[order], np.array(top["seen"].to_numpy(), dtype=np.int64)[order]))
 
-    reps = stage(rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("rep")), "trie-reps")
+    reps = stage(rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("rep"), *[F.first(p).alias(p) for p in PARITIES]), "trie-reps")
     places = stage(_places(_texts(docs, reps.select("rep")), n, t, often), "trie-places")
     leader = places.groupBy("token").agg(F.min(F.struct("place", "class", "size")).alias("leader"), F.count(F.lit(1)).alias("members")).where("members > 1")
     shared = stage(places.join(leader.select("token", "leader"), "token"), "trie-shared")
@@ -337,10 +348,15 @@ def jaccard_links(docs: DataFrame, n: int, threshold: Fraction) -> tuple[DataFra
     groups = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.when(F.col("class") == F.col("lead"), F.col("root"))).alias("lead_root"))
     groups = stage(groups.where("low <> high").select("token", "lead_root"), "trie-open")
     band = F.floor(F.log(F.col("size").cast("double")) / math.log(1 / float(t) if t < 1 else 2.0)).cast("int")
-    open_rows = stage(labelled.join(groups, "token").withColumn("band", band), "trie-open-rows")
+    open_rows = labelled.join(groups, "token").withColumn("band", band).join(reps.select("class", *PARITIES), "class")
+    open_rows = stage(open_rows, "trie-open-rows")
     outside = open_rows.where("root <> lead_root").withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
     o, r = outside.alias("o"), open_rows.alias("r")
     across = o.join(r, (F.col("o.token") == F.col("r.token")) & (F.col("o.band") == F.col("r.band")) & (F.col("o.root") != F.col("r.root")))
+    # The slots that differ in parity are at most as many as the n-grams that only one of both has.
+    differ = sum((F.bit_count(F.col(f"o.{p}").bitwiseXOR(F.col(f"r.{p}"))) for p in PARITIES), F.lit(0))
+    sizes = F.col("o.size").cast("long") + F.col("r.size")
+    across = across.where((sizes - differ) * (top_ + bottom) >= sizes * 2 * top_)
     # Both outside: each pair once per token.
     across = across.where((F.col("r.root") == F.col("r.lead_root")) | (F.col("o.class") < F.col("r.class")))
     across = across.where(possible(F.col("o.size"), F.col("o.place"), F.col("r.size"), F.col("r.place"), F.least("o.place", "r.place")))
