@@ -205,6 +205,7 @@ def test_components_by_brute_force(spark, n, t, seed):
 
 def test_components_of_a_large_family_in_small_cells(spark, monkeypatch):
     monkeypatch.setattr(jaccard_trie, "CELL", 7)
+    monkeypatch.setattr(jaccard_trie, "HELD_TOKENS", 100)
     monkeypatch.setattr(jaccard_trie, "fits", lambda df, row_bytes: False)
     rows = families(9, 2, 120, 5)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)

@@ -41,6 +41,11 @@ def hinted(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
+def give_back() -> None:
+    """Hands memory that Arrow has freed back to the system, since Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch with at most ``most_bytes`` of text, or a single row that is longer than that."""
     lengths = pa.compute.binary_length(batch.column(column)).to_pylist()

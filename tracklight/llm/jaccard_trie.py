@@ -12,7 +12,8 @@ last, by their count, the others first, by their hash (the order only steers the
    of the group, on (token, size band), and only across components. Pairs whose positions, sizes, parities or number of
    common first n-grams exclude the threshold are dropped; nothing is capped. Parities are those of the n-grams in each of
    256 slots: every slot in which two sets differ costs an n-gram that they do not share.
-4. Every comparison runs in a cell: one probing set and at most ``CELL`` stored ones. The stored sets form a prefix tree
+4. Every comparison runs in a cell: one probing set and at most ``CELL`` stored ones, in several trees where the sets
+   are long (``HELD_TOKENS``). The stored sets form a prefix tree
    (frequent n-grams first, so that near copies share long paths); the probe walks it once, carries the
    overlap of shared paths along, and leaves a subtree when what is left of either side cannot reach
    the threshold.
@@ -37,14 +38,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklight.llm.common import fits, hinted, slices
+from tracklight.llm.common import fits, give_back, hinted, slices
 from tracklight.llm.components import connected
 from tracklight.runtime import stage
 
 #: n-grams listed as frequent: those in this many different sets of a task's window, the most frequent so many of them.
 OFTEN, LISTED, WINDOW = 2, 1 << 20, 6_000_000
 CELL = 512
-KEPT_WORDS = 300_000
+#: What a task holds: hashes of so many words, stored sets of so many n-grams in one tree.
+KEPT_WORDS, HELD_TOKENS = 1 << 16, 1 << 19
 #: Words of 64 slots whose parities stand for a set.
 PARITIES = ["odd0", "odd1", "odd2", "odd3"]
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -208,6 +210,7 @@ def _classes(docs: DataFrame, n: int) -> DataFrame:
                 if amount > WINDOW:
                     yield frequent()
                     held, amount = [], 0
+            give_back()
         if held:
             yield frequent()
 
@@ -238,6 +241,7 @@ def _places(docs: DataFrame, n: int, t: Fraction, often) -> DataFrame:
                 if columns[0]:
                     arrays = [pa.array(np.concatenate(c), k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))]
                     yield pa.RecordBatch.from_arrays(arrays, ["token", "class", "size", "place"])
+            give_back()
 
     return docs.select("text").mapInArrow(tasks, "token long, class long, size int, place int")
 
@@ -258,6 +262,7 @@ def _sets(docs: DataFrame, n: int, often) -> DataFrame:
                         ids.append(own)
                         sets.append(global_order(tokens, listed, counts)[::-1].tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["class", "tokens"])
+            give_back()
 
     return docs.select("text").mapInArrow(tasks, "class long, tokens binary")
 
@@ -285,20 +290,25 @@ def _links(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, often, t:
     rows = rows.repartition(F.col("a"), F.col("cell")).sortWithinPartitions("a", "cell", "stored")
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, probe, kept = None, [], []
-        for batch in batches:
-            out: list[tuple[int, int, int]] = []
-            for a, part, is_stored, b, tokens in zip(*(c.to_pylist() for c in batch.columns)):
-                if (a, part) != cell:
-                    if kept:
-                        out.extend((cell[0], b_, o) for b_, o in tree_matches(probe, kept, t))
-                    cell, probe, kept = (a, part), [], []
-                tokens = np.frombuffer(tokens, dtype=np.uint64).tolist()
-                if is_stored:
-                    kept.append((tokens, b))
-                else:
-                    probe = tokens
-            yield _pairs_batch(out)
+        cell, probe, kept, held = None, [], [], 0
+        for whole in batches:
+            for batch in slices(whole, "tokens", 2 << 20):
+                out: list[tuple[int, int, int]] = []
+                for a, part, is_stored, b, tokens in zip(*(c.to_pylist() for c in batch.columns)):
+                    if (a, part) != cell or held > HELD_TOKENS:
+                        if kept:
+                            out.extend((cell[0], b_, o) for b_, o in tree_matches(probe, kept, t))
+                        kept, held = [], 0
+                    if (a, part) != cell:
+                        cell, probe = (a, part), []
+                    tokens = np.frombuffer(tokens, dtype=np.uint64).tolist()
+                    if is_stored:
+                        kept.append((tokens, b))
+                        held += len(tokens)
+                    else:
+                        probe = tokens
+                yield _pairs_batch(out)
+            give_back()
         if kept:
             yield _pairs_batch([(cell[0], b_, o) for b_, o in tree_matches(probe, kept, t)])
 
