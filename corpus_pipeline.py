@@ -46,7 +46,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest doc_id of each group of documents linked by 0.8 or more over five-word shingles."""
-    found = jaccard_trie.near_components(docs, 5, Fraction(8, 10))
+    found = jaccard_trie.near_components(docs, 5, Fraction(8, 10), counted=False)
     dropped = stage(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "pipeline-near")
     left = docs.join(hinted(dropped, fits(dropped, 16)), F.col("doc_id") == F.col("gone_id"), "left_anti")
     return left.select(*_columns(docs))

@@ -213,6 +213,23 @@ def test_components_of_a_large_family_in_small_cells(spark, monkeypatch):
     assert sorted((tuple(r) for r in found), key=str) == expected_components(rows, 3, Fraction(9, 10))
 
 
+@pytest.mark.parametrize("n, t, seed, edits, cell", [(2, Fraction(1, 2), 12, 3, 7)])
+def test_link_counts_by_brute_force(spark, monkeypatch, n, t, seed, edits, cell):
+    monkeypatch.setattr(jaccard_trie, "CELL", cell)
+    monkeypatch.setattr(jaccard_trie, "COLUMNS", 16, raising=False)
+    rows = families(seed, 5, 25, edits)
+    rows += [(1000 + k, text) for k, (_, text) in enumerate(rows[:5])] + [(2000, ""), (2001, None), (1, rows[1][1])]
+    sets = [shingles(text, n) for _, text in rows]
+    expected = []
+    for (doc_id, _), own in zip(rows, sets):
+        links = sum(bool(own) and len(own & s) * t.denominator >= t.numerator * len(own | s) for s in set(sets) - {own})
+        expected.append((doc_id, links, sets.count(own) if own else 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = jaccard_trie.near_components(docs, n, t).select("doc_id", "n_links", "class_size").collect()
+    assert sorted(tuple(r) for r in found) == sorted(expected)
+    assert max(e[1] for e in expected) > 5
+
+
 def test_components_of_edge_rows(edge_docs, no_docs, edge_texts):
     found = jaccard_trie.near_components(edge_docs, 3, Fraction(9, 10)).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted((tuple(r) for r in found), key=str) == expected_components(edge_texts, 3, Fraction(9, 10))

@@ -18,7 +18,10 @@ last, by their count, the others first, by their hash (the order only steers the
    overlap of shared paths along, and leaves a subtree when what is left of either side cannot reach
    the threshold.
 
-Links within a component that was already closed are not listed one by one; the components are those of all links.
+These rounds list links that connect all that the threshold connects, not every link. ``link_counts`` then counts all
+links: inside a component the classes are dealt, by size band and hash, to chunks of about ``CELL`` sets, and every two chunks
+whose sizes can reach the threshold meet in a cell that counts each set's links by overlaps from a matrix product.
+Every pair of a component is compared there, so that work grows with the square of a component; no pair is written out.
 
 Lower-cases A-Z; words are runs without ASCII white space; a text with fewer words than n is one n-gram; null and
 empty texts have an empty set and link with nothing. Rows that repeat a doc_id share its component; a null
@@ -47,6 +50,8 @@ OFTEN, LISTED, WINDOW = 2, 1 << 20, 6_000_000
 CELL = 512
 #: What a task holds: hashes of so many words, stored sets of so many n-grams in one tree.
 KEPT_WORDS, HELD_TOKENS = 1 << 16, 1 << 19
+#: n-grams of a cell that are multiplied at a time.
+COLUMNS = 2048
 #: Words of 64 slots whose parities stand for a set.
 PARITIES = ["odd0", "odd1", "odd2", "odd3"]
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -391,19 +396,90 @@ def jaccard_links(docs: DataFrame, n: int, threshold: Fraction) -> tuple[DataFra
     return rows, links.unionByName(more)
 
 
-def near_components(docs: DataFrame, n: int = 3, threshold: Fraction = Fraction(9, 10)) -> DataFrame:
+def _cell_counts(sets: list[np.ndarray], left: np.ndarray, t: Fraction) -> np.ndarray:
+    """For each set, its links with the sets of the other side; all are on the left where a chunk meets itself."""
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = held[column] > 1
+    row, column = np.repeat(np.arange(len(sets)), sizes)[shared], (np.cumsum(held > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    alone = bool(left.all())
+    one, two = np.flatnonzero(left), np.flatnonzero(left if alone else ~left)
+    overlap = np.zeros((len(one), len(two)), dtype=np.int64)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        begin, end = np.searchsorted(column, [first, first + COLUMNS])
+        block = np.zeros((len(sets), min(COLUMNS, int(column[-1]) + 1 - first)), dtype=np.float32)
+        block[row[begin:end], column[begin:end] - first] = 1
+        overlap += (block[one] @ block[two].T).astype(np.int64)
+    linked = overlap * (t.numerator + t.denominator) >= t.numerator * (sizes[one][:, None] + sizes[two])
+    if alone:
+        np.fill_diagonal(linked, False)
+    counts = np.zeros(len(sets), dtype=np.int64)
+    counts[one] = linked.sum(1)
+    if not alone:
+        counts[two] = linked.sum(0)
+    return counts
+
+
+def link_counts(docs: DataFrame, members: DataFrame, n: int, threshold: Fraction) -> DataFrame:
+    """(class, n_links): how many other classes each of ``members`` (class, rep, size, root) links with."""
+    t, cell = Fraction(threshold), ["root", "band_a", "chunk_a", "band_b", "chunk_b"]
+    # Sizes that reach t lie in the same or in neighbouring bands.
+    band = F.floor(F.log(F.col("size").cast("double")) / math.log(1 / float(t) if t < 1 else 2.0) + 1e-9).cast("int")
+    members = members.withColumn("band", band)
+    chunks = F.greatest(F.ceil(F.count(F.lit(1)) / CELL), F.ceil(F.sum("size") / HELD_TOKENS)).cast("int")
+    groups = stage(members.groupBy("root", "band").agg(chunks.alias("chunks")), "trie-groups")
+    members = stage(members.join(groups, ["root", "band"]).withColumn("chunk", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int")), "trie-members")
+    parts = groups.select("root", "band", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    a = parts.select("root", F.col("band").alias("band_a"), F.col("chunk").alias("chunk_a"), F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band_b"))
+    b = parts.select("root", F.col("band").alias("band_b"), F.col("chunk").alias("chunk_b"))
+    cells = stage(a.join(b, ["root", "band_b"]).where("band_a < band_b or chunk_a <= chunk_b").select(*cell), "trie-count-cells")
+    same = (F.col("band_a") == F.col("band_b")) & (F.col("chunk_a") == F.col("chunk_b"))
+    sides = cells.select(*cell, F.col("band_a").alias("band"), F.col("chunk_a").alias("chunk"), F.lit(0).alias("side")).unionByName(
+        cells.where(~same).select(*cell, F.col("band_b").alias("band"), F.col("chunk_b").alias("chunk"), F.lit(1).alias("side"))
+    )
+    placed = members.join(sides, ["root", "band", "chunk"]).select("class", *cell, "side")
+    no_order = docs.sparkSession.sparkContext.broadcast((np.empty(0, np.uint64), np.empty(0, np.int64)))
+    rows = _sets(_texts(docs, members.select("rep")), n, no_order).join(placed, "class").select(*cell, "side", "class", "tokens")
+    rows = rows.repartition(*cell).sortWithinPartitions(*cell)
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, {}
+
+        def counted() -> pa.RecordBatch:
+            found = _cell_counts([s for _, s in held.values()], np.array([side == 0 for side, _ in held.values()]), t) if held else []
+            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(found, pa.int64())], ["class", "n_links"])
+
+        for whole in batches:
+            for batch in slices(whole, "tokens", 2 << 20):
+                for *key, side, own, tokens in zip(*(c.to_pylist() for c in batch.columns)):
+                    if key != at:
+                        yield counted()
+                        at, held = key, {}
+                    held[own] = side, np.frombuffer(tokens, dtype=np.uint64)  # several tasks may send a class
+            give_back()
+        yield counted()
+
+    return rows.mapInArrow(tasks, "class long, n_links long").groupBy("class").agg(F.sum("n_links").alias("n_links"))
+
+
+def near_components(docs: DataFrame, n: int = 3, threshold: Fraction = Fraction(9, 10), counted: bool = True) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (least doc_id reachable by links), class, n_links
-    (listed links of its class), class_size (documents with the same set)."""
+    (different sets that its own links with; left out unless ``counted``), class_size (documents with the same set)."""
     rows, links = jaccard_links(docs, n, threshold)
-    links = stage(links, "trie-all-links")
-    classes = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("class_size"))
-    degree = links.select(F.col("a").alias("class")).unionByName(links.select(F.col("b").alias("class"))).groupBy("class").agg(F.count(F.lit(1)).alias("n_links"))
-    roots = connected(links.select("a", "b")).join(degree, F.col("node") == F.col("class"), "left").select(F.col("node").alias("class"), "root", "n_links")
-    known = stage(classes.join(roots, "class", "left").where("class_size > 1 or root is not null").withColumn("root", F.coalesce("root", "class")), "trie-known")
+    classes = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("class_size"), F.first("size").alias("size"))
+    roots = stage(classes.join(connected(links.select("a", "b")).withColumnRenamed("node", "class"), "class", "left").where("class_size > 1 or root is not null"), "trie-all-roots")
+    known = roots.withColumn("root", F.coalesce("root", "class"))
     least = known.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = stage(known.join(least, "root").select("class", "component_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links")), "trie-components")
+    known = known.join(least, "root").select("class", "component_id", "class_size")
+    if counted:
+        members = roots.where("root is not null").select("class", F.col("least").alias("rep"), "size", "root")
+        known = known.join(link_counts(docs, members, n, threshold), "class", "left")
+    known = stage(known, "trie-components")
     out = rows.join(hinted(known, fits(known, 64)), "class", "left")
+    own = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if counted else []
     return out.select(
         "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "class",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
+        *own, F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
     )
