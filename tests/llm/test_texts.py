@@ -83,6 +83,19 @@ def test_extraction_of_hand_made_pages():
         assert html_text.extract(page or "", html_text.DEFAULTS) == blocks
 
 
+def test_cards_do_not_replace_the_text():
+    long = "Main text of the page goes on for many words in a row here."
+    for page, blocks in [
+        (f"<div><p>{long}</p></div><aside><article><p>Teaser one</p></article></aside>", [long]),
+        (f"<div><p>{long}</p></div><div class=related><article><p>Card</p></article><article><p>Other</p></article></div>", [long]),
+        (f"<nav><article><p>Card</p></article></nav><article><p>{long}</p></article><footer><article><p>Card</p></article></footer>", [long]),
+        (f"<div><p>{long}</p></div><section><article><p>Card</p></article><article><p>Other</p></article></section>", [long]),
+        (f"<div class='has-sidebar'><main><p>{long}</p></main><aside>side</aside></div>", [long]),
+        (f"<nav>menu <article><p>{long}</p></article><nav>more</nav>", [long]),
+    ]:
+        assert html_text.extract(page, html_text.DEFAULTS) == blocks
+
+
 def test_best_run_is_the_maximum():
     rng = random.Random(1)
     for _ in range(200):

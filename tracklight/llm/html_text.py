@@ -51,6 +51,7 @@ LOOSE = frozenset("p li dt dd tr td th option thead tbody tfoot b i u em strong
 FURNITURE = frozenset("nav aside footer form button dialog menu head".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MARKERS = frozenset(("article", "main"))
+MARKER = re.compile(r"<(?:article|main)\b", re.I)
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner promo promos promotion promoted sponsor sponsors sponsored sponsorship "
     "sidebar sidebars side rail widget widgets nav navbar navigation navi menu menus breadcrumb breadcrumbs crumbs footer foot footnav masthead topbar toolbar "
@@ -78,18 +79,35 @@ def _marks(attributes: str) -> tuple[bool, bool]:
 
 
 class Frame:
-    __slots__ = ("tag", "furniture", "talk", "inside")
+    __slots__ = ("tag", "furniture", "talk", "inside", "holds")
 
-    def __init__(self, tag: str, furniture: bool, talk: bool, inside: bool):
-        self.tag, self.furniture, self.talk, self.inside = tag, furniture, talk, inside
+    def __init__(self, tag: str, furniture: bool, talk: bool, inside: int, holds: bool = False):
+        self.tag, self.furniture, self.talk, self.inside, self.holds = tag, furniture, talk, inside, holds
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
+def closed_tags(page: str) -> set[int]:
+    """Where the opening tags begin that a closing tag of the same name ends."""
+    open_: dict[str, list[int]] = {}
+    out = set()
+    for match in TOKEN.finditer(page):
+        if name := (match[3] or match[6] or "").lower():
+            if (match[2] or match[5]) != "/":
+                open_.setdefault(name, []).append(match.start())
+            elif open_.get(name):
+                out.add(open_[name].pop())
+    return out
+
+
+def tokens(page: str, clears: bool = False) -> Iterator[tuple[str, str, str, int]]:
     """(kind, what, context, inside): kind ``tag`` with the tag's name or kind ``text`` with raw text; the context is
-    furniture, link, heading, list or plain; inside tells whether a marker element encloses it."""
-    stack = [Frame("", False, False, False)]
-    link = heading = items = 0
+    furniture, link, heading, list or plain; inside is the number of the outermost marker element around it, or 0.
+
+    A marker within furniture that is closed later (a card in a sidebar) is furniture too, unless ``clears``."""
+    stack = [Frame("", False, False, 0)]
+    link = heading = items = markers = 0
     at = 0
+    closed: set[int] | None = None
+    marks_article = MARKER.search(page) is not None
 
     def context() -> str:
         if stack[-1].furniture or stack[-1].talk:
@@ -122,13 +140,22 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
             above = stack[-1]
             furniture, talk = _marks(attributes) if attributes else (False, False)
             if name in MARKERS:
-                stack.append(Frame(name, False, above.talk or talk, not (above.talk or talk)))
+                held = above.holds and not clears
+                number = 0
+                if not (above.talk or talk or held):
+                    markers += not above.inside
+                    number = above.inside or markers
+                stack.append(Frame(name, held, above.talk or talk, number, above.holds))
             elif name in ("html", "body"):
-                stack.append(Frame(name, False, False, False))
+                stack.append(Frame(name, False, False, 0))
             else:
                 furniture = furniture or name in FURNITURE or (name == "header" and not above.inside)
                 if name not in LOOSE or furniture or talk:
-                    stack.append(Frame(name, above.furniture or furniture, above.talk or talk, above.inside))
+                    holds = above.holds
+                    if furniture and not holds and marks_article:
+                        closed = closed_tags(page) if closed is None else closed
+                        holds = match.start() in closed
+                    stack.append(Frame(name, above.furniture or furniture, above.talk or talk, above.inside, holds))
             if name == "a":
                 link = 1
             elif name in HEADINGS:
@@ -144,12 +171,12 @@ def labelled_counts(page: str) -> Counter | None:
     """(view, inside) counts of a page that marks its article by exactly one element, else None. The label of a
     word is whether the marker holds it and nothing inside the marker sets it apart."""
     found = list(tokens(page))
-    marks = len(re.findall(r"<(?:article|main)\b", page, re.I))
-    if marks != 1:
+    marks = len(MARKER.findall(page))
+    if marks != 1 or not any(inside for *_, inside in found):
         return None
     counts: Counter = Counter()
     for kind, what, context, inside in found:
-        good = inside and context != "furniture"
+        good = inside > 0 and context != "furniture"
         if kind == "tag":
             counts["tag " + what, good] += 1
         else:
@@ -199,10 +226,8 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return begin, end
 
 
-def extract(page: str, weight: dict[str, float]) -> list[str]:
-    """Blocks of the main text in page order."""
-    found = list(tokens(page))
-    marked = any(inside for *_, inside in found)
+def _run(found: list[tuple[str, str, str, int]], weight: dict[str, float], marked: bool) -> list[tuple[str, str, str, int]]:
+    """The tokens of the main text's region."""
     scores = []
     for kind, what, context, inside in found:
         if kind == "tag":
@@ -216,8 +241,44 @@ def extract(page: str, weight: dict[str, float]) -> list[str]:
             words = len(what.split())
             scores.append(each * (min(words, FURNITURE_WORDS) if context == "furniture" else words))
     begin, end = best_run(scores)
+    return found[begin:end]
+
+
+def _words(found: list[tuple[str, str, str, int]]) -> Counter:
+    """Words outside furniture by the marker that holds them."""
+    held: Counter = Counter()
+    for kind, what, context, inside in found:
+        if kind == "text" and context != "furniture":
+            held[inside] += len(what.split())
+    return held
+
+
+def _reading(page: str, weight: dict[str, float]) -> tuple[list[tuple[str, str, str, int]], bool]:
+    """The main region's tokens, and whether a marker decides over them.
+
+    Markers within furniture do not count, unless one of them holds more words than all that is found without it (a page
+    wrapped in a container named like furniture). Several markers that together hold less than the best run beyond
+    them are cards and do not count either."""
+    found = list(tokens(page))
+    held = _words(found)
+    marked = any(inside for *_, inside in found)
+    if marked and sum(inside > 0 for inside in held) != 1:
+        beyond = _run([f for f in found if not f[3]], weight, False)
+        marked = sum(n for inside, n in held.items() if inside) >= sum(_words(beyond).values())
+    run = _run(found, weight, marked)
+    if len(MARKER.findall(page)) and any(name in MARKERS and not inside for kind, name, _, inside in found if kind == "tag"):
+        cleared = list(tokens(page, True))
+        within = _words([c for f, c in zip(found, cleared) if c[3] and not f[3]])
+        if max(within.values(), default=0) > sum(n for inside, n in _words(run).items() if inside or not marked):
+            return _run(cleared, weight, True), True
+    return run, marked
+
+
+def extract(page: str, weight: dict[str, float]) -> list[str]:
+    """Blocks of the main text in page order."""
+    run, marked = _reading(page, weight)
     blocks, open_ = [], []
-    for kind, what, context, inside in found[begin:end]:
+    for kind, what, context, inside in run:
         if kind == "text":
             if context != "furniture" and (inside or not marked):
                 open_.append(what)
