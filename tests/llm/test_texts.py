@@ -96,6 +96,18 @@ def test_cards_do_not_replace_the_text():
         assert html_text.extract(page, html_text.DEFAULTS) == blocks
 
 
+def test_names_of_sections_do_not_drop_them():
+    posting = "itemtype='http://schema.org/SocialMediaPosting'"
+    for page, blocks in [
+        ("<section id='discussion'><h2 id='related-work'>Related work</h2><p>Long text of it.</p></section>", ["Related work", "Long text of it."]),
+        ("<section id='side-effects'><p>Headache.</p></section><h2 id='search'>Search</h2><p>How to.</p>", ["Headache.", "Search", "How to."]),
+        (f"<div {posting}><p>Post.</p></div>", ["Post."]),
+        ("<section class='discussion'><p>A reader.</p></section><section id='related'><a href=x>More of this</a></section>", []),
+        ("<div id='social-share'>Send it</div><div id='newsletter'>Mail</div><div id='related'><a href=x>More of this</a> too</div>", []),
+    ]:
+        assert html_text.extract(f"<article><p>Begin here.</p>{page}<p>End of it.</p></article>", html_text.DEFAULTS) == ["Begin here.", *blocks, "End of it."]
+
+
 def test_best_run_is_the_maximum():
     rng = random.Random(1)
     for _ in range(200):

@@ -3,7 +3,7 @@
 A page is cut into tokens: tags, and the words between them. Words score by the context they stand in, tags
 score below zero, and a linear scan finds the run with the largest sum: the main text's region. Inside it the
 blocks are gathered; elements that are marked as something else (navigation, header, footer, sidebar, form, notice, advert,
-comments, scripts and the like, by tag, role or class) are left out.
+comments, scripts and the like, by tag, role, class or id) are left out; within a marked article an id needs more (``_marks``).
 
 Weights come from labelled pages: those that mark their article with exactly one ``article`` or ``main`` element
 label their own words. A context's weight is its log odds of lying inside, added up over two independent
@@ -60,29 +60,49 @@ MARKS = frozenset(
     "copyright disclaimer skip search complementary contentinfo".split()
 )
 TALK = frozenset("comment comments commentlist commentary disqus reply replies respond discussion reviews guestbook".split())
+#: Of these, words that titles and section names also use: inside a marker they need the class, the role or a second sign.
+COMMON = frozenset(
+    "side search social related recommended recommendation recommendations popular trending discussion notice notices notification alert alerts "
+    "share sharing reply replies respond commentary reviews promotion sponsors register subscription consent cookie cookies menu menus navigation "
+    "foot rail skip copyright disclaimer complementary banner".split()
+)
+#: An element with a doubtful mark is furniture if so many of its words are links.
+LINKED = 0.5
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 KNOWN_TAGS = BLOCK | VOID | LOOSE | frozenset(("a", "img"))
 
 
-def _marks(attributes: str) -> tuple[bool, bool]:
-    """Whether the attributes mark furniture, and whether they mark reader comments."""
+def _marks(name: str, attributes: str, within: bool) -> tuple[bool, bool, bool]:
+    """Whether the attributes mark furniture, whether they mark reader comments, and whether they may mark either.
+
+    Within a marker, the id, label or type of a heading says nothing, that of a section and a single common word only
+    raise a doubt; class and role always count."""
     lowered = attributes.lower()
     if re.search(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", lowered):
-        return True, False
+        return True, False, False
     furniture = talk = False
-    for name, *values in ATTRIBUTE.findall(attributes):
-        if name.lower() in ("class", "id", "role", "aria-label", "itemtype"):
+    named: set[str] = set()
+    for key, *values in ATTRIBUTE.findall(attributes):
+        key = key.lower()
+        if key in ("class", "id", "role", "aria-label", "itemtype"):
             words = {w.lower() for w in WORD.findall("".join(values))}
-            furniture, talk = furniture or bool(words & MARKS), talk or bool(words & TALK)
-    return furniture, talk
+            if within and key not in ("class", "role"):
+                named |= words & (MARKS | TALK)
+            else:
+                furniture, talk = furniture or bool(words & MARKS), talk or bool(words & TALK)
+    if not named or name in HEADINGS or furniture or talk:
+        return furniture, talk, False
+    if name == "section" or (len(named) == 1 and named <= COMMON):
+        return False, False, True
+    return bool(named & MARKS), bool(named & TALK), False
 
 
 class Frame:
-    __slots__ = ("tag", "furniture", "talk", "inside", "holds")
+    __slots__ = ("tag", "furniture", "talk", "inside", "holds", "doubt")
 
-    def __init__(self, tag: str, furniture: bool, talk: bool, inside: int, holds: bool = False):
-        self.tag, self.furniture, self.talk, self.inside, self.holds = tag, furniture, talk, inside, holds
+    def __init__(self, tag: str, furniture: bool, talk: bool, inside: int, holds: bool = False, doubt: int = 0):
+        self.tag, self.furniture, self.talk, self.inside, self.holds, self.doubt = tag, furniture, talk, inside, holds, doubt
 
 
 def closed_tags(page: str) -> set[int]:
@@ -102,9 +122,23 @@ def tokens(page: str, clears: bool = False) -> Iterator[tuple[str, str, str, int
     """(kind, what, context, inside): kind ``tag`` with the tag's name or kind ``text`` with raw text; the context is
     furniture, link, heading, list or plain; inside is the number of the outermost marker element around it, or 0.
 
-    A marker within furniture that is closed later (a card in a sidebar) is furniture too, unless ``clears``."""
+    A marker within furniture that is closed later (a card in a sidebar) is furniture too, unless ``clears``.
+    An element with a doubtful mark is furniture if at least ``LINKED`` of its words are links."""
+    found = list(_tokens(page, clears))
+    words, linked = Counter(), Counter()
+    for kind, what, context, _, doubt in found:
+        if doubt and kind == "text":
+            n = len(what.split())
+            words[doubt] += n
+            linked[doubt] += n * (context == "link")
+    for kind, what, context, inside, doubt in found:
+        yield kind, what, "furniture" if doubt and linked[doubt] and linked[doubt] >= LINKED * words[doubt] else context, inside
+
+
+def _tokens(page: str, clears: bool) -> Iterator[tuple[str, str, str, int, int]]:
+    """The tokens, with the number of the outermost doubtful element around them, or 0."""
     stack = [Frame("", False, False, 0)]
-    link = heading = items = markers = 0
+    link = heading = items = markers = doubts = 0
     at = 0
     closed: set[int] | None = None
     marks_article = MARKER.search(page) is not None
@@ -116,7 +150,7 @@ def tokens(page: str, clears: bool = False) -> Iterator[tuple[str, str, str, int
 
     for match in TOKEN.finditer(page):
         if match.start() > at:
-            yield "text", page[at : match.start()], context(), stack[-1].inside
+            yield "text", page[at : match.start()], context(), stack[-1].inside, stack[-1].doubt
         at = match.end()
         name = match[3] or match[6]
         if name is None:
@@ -138,33 +172,37 @@ def tokens(page: str, clears: bool = False) -> Iterator[tuple[str, str, str, int
                 items = max(0, items - 1)
         elif name not in VOID and not attributes.rstrip().endswith("/"):
             above = stack[-1]
-            furniture, talk = _marks(attributes) if attributes else (False, False)
+            furniture, talk, unsure = _marks(name, attributes, above.inside > 0) if attributes else (False, False, False)
+            doubt = above.doubt
+            if unsure and not doubt:
+                doubts += 1
+                doubt = doubts
             if name in MARKERS:
                 held = above.holds and not clears
                 number = 0
                 if not (above.talk or talk or held):
                     markers += not above.inside
                     number = above.inside or markers
-                stack.append(Frame(name, held, above.talk or talk, number, above.holds))
+                stack.append(Frame(name, held, above.talk or talk, number, above.holds, doubt))
             elif name in ("html", "body"):
                 stack.append(Frame(name, False, False, 0))
             else:
                 furniture = furniture or name in FURNITURE or (name == "header" and not above.inside)
-                if name not in LOOSE or furniture or talk:
+                if name not in LOOSE or furniture or talk or doubt > above.doubt:
                     holds = above.holds
                     if furniture and not holds and marks_article:
                         closed = closed_tags(page) if closed is None else closed
                         holds = match.start() in closed
-                    stack.append(Frame(name, above.furniture or furniture, above.talk or talk, above.inside, holds))
+                    stack.append(Frame(name, above.furniture or furniture, above.talk or talk, above.inside, holds, doubt))
             if name == "a":
                 link = 1
             elif name in HEADINGS:
                 heading = 1
             elif name in ("ul", "ol"):
                 items += 1
-        yield "tag", name if name in KNOWN_TAGS else "other", context(), stack[-1].inside
+        yield "tag", name if name in KNOWN_TAGS else "other", context(), stack[-1].inside, stack[-1].doubt
     if at < len(page):
-        yield "text", page[at:], context(), stack[-1].inside
+        yield "text", page[at:], context(), stack[-1].inside, stack[-1].doubt
 
 
 def labelled_counts(page: str) -> Counter | None:
