@@ -43,6 +43,17 @@ def test_quality_on_held_out_rows(spark):
     assert np.array_equal(model.weight, again.weight)
 
 
+def test_quality_learns_from_all_lines(spark):
+    """Texts that differ by label after many equal lines only."""
+    begin = [f"the same line of every text, number {k}" for k in range(40)]
+    tails = {0: "$$$ 100% 99 !!! BUY", 1: "a calm sentence with words in it"}
+    rows = [(k, "\n".join([*begin, *[f"{tails[k % 2]} {k}"] * 40])) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(16)], "doc_id long, quality int")
+    found = quality_crf.score(docs, quality_crf.fit(docs, labels)).where("doc_id >= 16").collect()
+    assert min(r["quality_score"] for r in found if r["doc_id"] % 2) > max(r["quality_score"] for r in found if not r["doc_id"] % 2) + 0.1
+
+
 def test_quality_of_edge_rows(edge_docs, no_docs, spark):
     labels = spark.createDataFrame([(1, 1), (7, 0), (3, 1), (9, 0), (9, 0), (None, 1), (12, None)], "doc_id long, quality int")
     scored = quality_crf.score(edge_docs, quality_crf.fit(edge_docs, labels))

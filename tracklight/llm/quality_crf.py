@@ -5,8 +5,7 @@ after it; transitions tie neighbouring lines together. Forward-backward gives ea
 being good, and the mean over lines, weighted by their length, is the document's quality.
 
 Learning: a line inherits the label of its document. At most ``max_docs`` labelled documents, those with the
-smallest hash of their id, are read, and of each at most ``max_lines`` neighbouring lines; only their features
-reach the driver, at most 20 MB at the defaults. Conditional likelihood with a squared penalty is climbed by
+smallest hash of their id, are read, each with all its lines; only their features reach the driver, 152 bytes a line. Conditional likelihood with a squared penalty is climbed by
 Adam over whole-sample gradients. Labels, language, source and id are not inputs of a score.
 
 Null text counts as empty. An empty text is one empty line and gets that line's score. White-space-only
@@ -149,40 +148,45 @@ def fit_sample(x: np.ndarray, counts: np.ndarray, labels: np.ndarray, steps: int
     mean, scale = x.mean(0), x.std(0)
     scale[scale < 1e-6] = 1.0
     z = (x - mean) / scale
-    docs, longest = len(counts), int(counts.max())
-    row = np.repeat(np.arange(docs), counts)
+    # Lines lie by their place in the text, texts of most lines first, so that no short text takes the room of a long one.
+    order = np.argsort(-counts, kind="stable")
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    longest = int(counts.max())
+    there = len(counts) - np.searchsorted(np.sort(counts), np.arange(longest), side="right")  # texts with more than t lines
+    starts = np.cumsum(there) - there
+    row = np.repeat(np.arange(len(counts)), counts)
     column = np.arange(len(x)) - np.repeat(np.cumsum(counts) - counts, counts)
-    held = np.zeros((docs, longest), bool)
-    held[row, column] = True
+    at = np.argsort(starts[column] + rank[row], kind="stable")
+    z, row = z[at], row[at]
+    later = np.arange(there[0], len(z))  # lines that have one before
+    before = later - np.repeat(there[:-1], there[1:])
+    last = starts[counts - 1] + rank
     share = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
-    truth = np.repeat(labels, counts).astype(np.float64)
+    truth = labels[row].astype(np.float64)
     pairs = np.maximum(counts - 1, 0)
+    spans = list(zip(starts.tolist(), there.tolist()))
     weight, bias, transition = np.zeros(z.shape[1]), 0.0, np.zeros((2, 2))
     first = [np.zeros_like(weight), 0.0, np.zeros((2, 2))]
     second = [np.zeros_like(weight), 0.0, np.zeros((2, 2))]
     for step in range(1, steps + 1):
-        score = np.zeros((docs, longest, 2))
-        score[row, column, 1] = z @ weight + bias
-        alpha = np.zeros((docs, longest, 2))
-        beta = np.zeros((docs, longest, 2))
-        alpha[:, 0] = score[:, 0]
-        for t in range(1, longest):
-            reached = np.logaddexp(alpha[:, t - 1, :1] + transition[0], alpha[:, t - 1, 1:] + transition[1])
-            alpha[:, t] = np.where(held[:, t, None], reached + score[:, t], alpha[:, t - 1])
-        total = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
-        edges = np.zeros((docs, 2, 2))
-        for t in range(longest - 1, 0, -1):
-            ahead = beta[:, t] + score[:, t]
-            joint = alpha[:, t - 1, :, None] + transition + ahead[:, None, :] - total[:, None, None]
-            edges += np.where(held[:, t, None, None], np.exp(joint), 0)
-            back = np.logaddexp(transition[:, 0] + ahead[:, :1], transition[:, 1] + ahead[:, 1:])
-            beta[:, t - 1] = np.where(held[:, t, None], back, beta[:, t])
-        good = np.exp(alpha[row, column, 1] + beta[row, column, 1] - total[row])
+        score = np.zeros((len(z), 2))
+        score[:, 1] = z @ weight + bias
+        alpha, beta = score.copy(), np.zeros((len(z), 2))
+        for (begin, _), (here, n) in zip(spans, spans[1:]):
+            prior = alpha[begin : begin + n]
+            alpha[here : here + n] += np.logaddexp(prior[:, :1] + transition[0], prior[:, 1:] + transition[1])
+        total = np.logaddexp(alpha[last, 0], alpha[last, 1])[row]
+        for (begin, _), (here, n) in zip(spans[-2::-1], spans[:0:-1]):
+            ahead = beta[here : here + n] + score[here : here + n]
+            beta[begin : begin + n] = np.logaddexp(transition[:, 0] + ahead[:, :1], transition[:, 1] + ahead[:, 1:])
+        good = np.exp(alpha[:, 1] + beta[:, 1] - total)
+        joint = alpha[before, :, None] + transition + (beta + score)[later, None, :] - total[later, None, None]
         # The mean over a text's lines, so that long texts do not outweigh short ones.
         each = (share / counts)[row]
         miss = (truth - good) * each
         seen = np.zeros((2, 2))
-        expected = (edges * (share / counts)[:, None, None]).sum(0)
+        expected = (np.exp(joint) * each[later, None, None]).sum(0)
         for label in (0, 1):
             seen[label, label] = ((share / counts) * pairs)[labels == label].sum()
         slopes = [z.T @ miss - penalty * weight, miss.sum(), seen - expected - penalty * 10 * transition]
@@ -195,7 +199,7 @@ def fit_sample(x: np.ndarray, counts: np.ndarray, labels: np.ndarray, steps: int
     return Model(mean, scale, weight, float(bias), transition)
 
 
-def fit(docs: DataFrame, labelled: DataFrame, max_docs: int = 3000, max_lines: int = 32) -> Model:
+def fit(docs: DataFrame, labelled: DataFrame, max_docs: int = 3000) -> Model:
     """Learns from ``labelled`` (doc_id, quality), already without held-out rows; reads text only of the sample."""
     chosen = labelled.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
@@ -208,7 +212,7 @@ def fit(docs: DataFrame, labelled: DataFrame, max_docs: int = 3000, max_lines: i
                 own, _, counts = line_features(batch.column("text").to_pylist())
                 x = with_neighbours(own, counts).astype(np.float32)
                 begin = np.cumsum(counts) - counts
-                pieces = [x[b : b + min(n, max_lines)] for b, n in zip(begin, counts)]
+                pieces = [x[b : b + n] for b, n in zip(begin, counts)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("quality").cast(pa.int32()), pa.array([len(p) for p in pieces], pa.int32()), pa.array([p.tobytes() for p in pieces], pa.binary())],
                     ["quality", "counts", "x"],
