@@ -112,3 +112,17 @@ SELECT doc_id, unit, CAST(unit_no AS INT) AS unit_no, template, common, CAST(len
   round(2 * common / (len(a) + len(b)), 6) AS dice
 FROM scored WHERE 2 * common >= {threshold} * (len(a) + len(b))
 """
+
+#: What reading the written archives must give: payloads by length and digest, the largest page_id of equal payloads of 1,000 bytes or more.
+WARC = """
+WITH payloads AS (
+    SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+    FROM pages
+), groups AS (
+    SELECT payload_digest, max(page_id) AS keep FROM payloads WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id <> keep THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> keep THEN keep END AS refers_to
+FROM payloads LEFT JOIN groups USING (payload_digest)
+"""

@@ -11,8 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklight.llm import checks, ctw, exact_dedup, html_text, jaccard_trie, licenses, merkle, mixing, quality_crf, sentencepiece_codec, tool_calls
+from tracklight.llm import checks, ctw, exact_dedup, html_text, jaccard_trie, licenses, merkle, mixing, quality_crf, sentencepiece_codec, tool_calls, warc
 from tracklight.llm.common import held_out, table, text_of
+from tracklight.runtime import new_path
 
 PIECES = "piece_bpe_32k.model"
 
@@ -121,6 +122,13 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as a record of the archives that are written to the shared folder and read back from there."""
+    path = new_path(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), path)
+    return warc.page_records(warc.read_archives(spark, path, with_payload=False))
+
+
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
     "op2_html_text": (op2_html_text, None),
@@ -132,4 +140,5 @@ QUERIES = {
     "op8_context_tree": (op8_context_tree, None),
     "op9_jaccard_join": (op9_jaccard_join, None),
     "op10_exact_dedup": (op10_exact_dedup, checks.EXACT_DEDUP),
+    "op13_warc": (op13_warc, checks.WARC),
 }
