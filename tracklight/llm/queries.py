@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklight.llm import checks, ctw, exact_dedup, html_text, jaccard_trie, licenses, merkle, mixing, quality_crf, sentencepiece_codec, tool_calls, warc
+from tracklight.llm import checks, conversation_repair, ctw, exact_dedup, html_text, jaccard_trie, licenses, merkle, mixing, quality_crf, sentencepiece_codec, tool_calls, warc
 from tracklight.llm.common import held_out, table, text_of
 from tracklight.runtime import new_path
 
@@ -122,6 +122,11 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation after planted damage: its faults, the cheapest repair and the digest of the repaired lines."""
+    return conversation_repair.report(table(spark, folder, "conversations"))
+
+
 def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page as a record of the archives that are written to the shared folder and read back from there."""
     path = new_path(spark, "warc")
@@ -140,5 +145,6 @@ QUERIES = {
     "op8_context_tree": (op8_context_tree, None),
     "op9_jaccard_join": (op9_jaccard_join, None),
     "op10_exact_dedup": (op10_exact_dedup, checks.EXACT_DEDUP),
+    "op12_conversation_repair": (op12_conversation_repair, None),
     "op13_warc": (op13_warc, checks.WARC),
 }
