@@ -11,11 +11,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklight.llm import checks, conversation_repair, ctw, exact_dedup, html_text, jaccard_trie, licenses, merkle, mixing, quality_crf, sentencepiece_codec, tool_calls, warc
+from tracklight.llm import checks, conversation_repair, ctw, exact_dedup, html_text, jaccard_trie, licenses, merkle, mixing, quality_crf, sentencepiece_codec, token_alignment, tool_calls, warc
 from tracklight.llm.common import held_out, table, text_of
-from tracklight.runtime import new_path
+from tracklight.runtime import new_path, stage
 
 PIECES = "piece_bpe_32k.model"
+#: Ids of that vocabulary.
+PIECES_SIZE = 32_000
+BYTE_PAIRS = "byte_bpe_50k.json"
 
 
 def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
@@ -122,6 +125,16 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Alignment of a byte-level and a piece vocabulary on every document, with corpus-wide counts of linked ids."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    aligned = token_alignment.align(docs, public_tokenizers.path(BYTE_PAIRS), public_tokenizers.path(PIECES))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    aligned = stage(aligned.select("doc_id", *token_alignment.SIZES, digest, "pairs", "pair_links"), "aligned")
+    found = token_alignment.with_corpus_counts(aligned, PIECES_SIZE)
+    return found.select("doc_id", *token_alignment.SIZES, "n_best", "count_sum", "groups_sha256")
+
+
 def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation after planted damage: its faults, the cheapest repair and the digest of the repaired lines."""
     return conversation_repair.report(table(spark, folder, "conversations"))
@@ -145,6 +158,7 @@ QUERIES = {
     "op8_context_tree": (op8_context_tree, None),
     "op9_jaccard_join": (op9_jaccard_join, None),
     "op10_exact_dedup": (op10_exact_dedup, checks.EXACT_DEDUP),
+    "op11_token_alignment": (op11_token_alignment, None),
     "op12_conversation_repair": (op12_conversation_repair, None),
     "op13_warc": (op13_warc, checks.WARC),
 }
