@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -75,27 +76,38 @@ def rows(edge_texts):
     return [*edge_texts, *made, (300, "a" * 30_000), (301, "日" * 5_000), (302, " " * 3_000)]
 
 
-@pytest.mark.parametrize("listed, links, part", [(ta.LISTED, ta.LINKS, ta.PART), (20, 8, 40)])
-def test_beside_plain_version(spark, rows, monkeypatch, listed, links, part):
-    for name, value in (("LISTED", listed), ("LINKS", links), ("PART", part)):
-        monkeypatch.setattr(ta, name, value)
-    if part == 40:  # the workers read the module anew: the small values travel inside the aligner's functions
-        aligner = ta.Aligner(open(A_PATH, encoding="utf-8").read(), open(B_PATH, "rb").read())
-        for _, text in rows:
-            if text:
-                small, _, _ = aligner.encode([text])
-                monkeypatch.setattr(ta, "PART", 1 << 40)
-                large, _, _ = aligner.encode([text])
-                monkeypatch.setattr(ta, "PART", part)
-                assert small[0].tolist() == large[0].tolist()
+@pytest.fixture(scope="module")
+def aligner():
+    with open(A_PATH, encoding="utf-8") as a_file, open(B_PATH, "rb") as b_file:
+        return ta.Aligner(a_file.read(), b_file.read())
+
+
+def test_chunks_give_the_ids_of_whole_texts(aligner, rows):
+    """Also with a table so small that chunks are forgotten, and with spaces of all kinds around the cuts."""
+    rng = random.Random(4)
+    spaces = [" ", "  ", "\n", " \n", "\n ", "\xa0", " \xa0", "\xa0 ", "\x1c ", " \x1c", "\u3000 ", "\x85 ", "\t", "\u200b ", " \u200b"]
+    texts = [t for _, t in rows if t] + ["".join(rng.choice(["it's", "a", "B2", "...", "é", "12", "▁", "'ll", "日本"]) + rng.choice(spaces) for _ in range(9)) for _ in range(3000)]
+    small = ta.ChunkTable(3, aligner._solve, 50)
+    for table in (aligner.known, small):
+        aligner.known = table
+        for begin in range(0, len(texts), 500):
+            own = texts[begin : begin + 500]
+            every, counts = ta.joined(aligner.chunks(t) for t in own)
+            places = table.places(every)
+            (a, n), (b, m) = ((ids, ta.per_text(n, counts)) for ids, n in (table.gather(side, places) for side in (0, 1)))
+            assert a.tolist() == [i for e in aligner.a.encode_batch([" " + t for t in own], add_special_tokens=False) for i in e.ids]
+            assert b.tolist() == [i for ids in aligner.b.encode(own) for i in ids]
+            assert n.sum() == len(a) and m.sum() == len(b)
+
+
+@pytest.mark.parametrize("listed", [ta.LISTED, 20])
+def test_beside_plain_version(spark, rows, monkeypatch, listed):
+    monkeypatch.setattr(ta, "LISTED", listed)
     docs = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows], "doc_id long, text string, groups string, n_a int, pairs string").repartition(3)
     assert whole(docs) == plain(rows)
 
 
-def test_large_groups_are_counted_by_distinct_ids(monkeypatch):
-    import numpy as np
-
-    aligner = ta.Aligner(open(A_PATH, encoding="utf-8").read(), open(B_PATH, "rb").read())
+def test_large_groups_are_counted_by_distinct_ids(aligner, monkeypatch):
     rng = np.random.default_rng(1)
     a, b = rng.integers(0, 5, 300), rng.integers(0, 5, 300)
     ag, bg = np.sort(rng.integers(0, 6, 300)), np.sort(rng.integers(0, 6, 300))

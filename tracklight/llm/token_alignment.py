@@ -11,9 +11,10 @@ the space there itself. Special tokens are not added and their strings are plain
 4. The ``LISTED`` most frequent pairs travel with the tasks that sum counts per document; links of all other pairs, each of
    which is rarer, meet their counts by a join. Texts are encoded once; pairs are written to the shared folder.
 
-Links of a group are made in pieces of ``LINKS``; a group with more is counted by its distinct ids on each side. Long texts are
-encoded in parts cut at a space between two letters or digits, where no token of either side can span (proved from B's
-vocabulary; A's pattern starts a token there).
+Links of a group are made in pieces of ``LINKS``; a group with more is counted by its distinct ids on each side. Texts are cut
+at single spaces before a visible character, which no token of either side spans (A's pattern starts a token there; for B
+the loader proves it from the vocabulary, and takes whole texts where it does not hold). Both libraries encode each cut
+chunk when it is new to a bounded table.
 
 Null and empty texts, and texts whose bytes one side does not give back (such as those with U+2581), have no tokens:
 zeros and empty columns. Every row counts as a document, also where it repeats another or has no doc_id. An empty table gives no
@@ -33,13 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracklight.llm.chunk_table import ChunkTable, Ids, flat_ids, joined, per_text
 from tracklight.llm.common import give_back, slices
 from tracklight.runtime import stage
 
 LISTED, LINKS, WINDOW = 1 << 20, 1 << 21, 4_000_000
-PART = 1 << 18
+TOGETHER = 64
 SPACE = "▁"
-PLACE = re.compile(r"(?<=\w) (?=\w)")
+#: A single space between a character and a visible one, and spaces that are not such.
+CUT, RUN = re.compile(rf"(?<=[^ {SPACE}]) (?=[^\s{SPACE}])"), re.compile(rf" (?=\s|$)|^ |{SPACE}")
 
 
 def byte_letters() -> dict[str, int]:
@@ -68,47 +71,70 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         if len(self.a_bytes) * len(self.b_bytes) >= 1 << 31:
             raise ValueError("pairs of ids are kept in 31 bits")
-        self.parts_allowed = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces)
-        self.tables = [(pa.array(t, pa.binary()), np.array([len(x) for x in t], dtype=np.int64)) for t in (self.a_bytes, self.b_bytes)]
+        self.cuts_allowed = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces)
+        self.spelling = (self.a_bytes, self.b_bytes)
+        self.lengths = [np.array([len(x) for x in t], dtype=np.int64) for t in self.spelling]
+        self.known = ChunkTable(3, self._solve)
         # Each id as text with what may follow it.
         ends = [[f"{i}{e}" for i in range(len(t))] for t, es in ((self.a_bytes, ",|"), (self.b_bytes, ",;")) for e in es]
         self.digits = pa.array([x for t in ends for x in t], pa.string())
         self.digit_base = np.cumsum([0] + [len(t) for t in ends])
 
-    def _parts(self, text: str) -> list[str]:
-        """The text, cut at a space (which is left out) about every ``PART`` letters."""
-        if len(text) <= PART or not self.parts_allowed:
-            return [text]
-        parts, begin = [], 0
-        while len(text) - begin > PART and (found := PLACE.search(text, begin + PART)):
-            parts.append(text[begin : found.start()])
-            begin = found.end()
-        return [*parts, text[begin:]]
-
-    def encode(self, texts: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray], np.ndarray]:
+    def chunks(self, text: str) -> list[str]:
+        """The text cut at single spaces before a visible character (the spaces are left out); no token spans such a place."""
+        if not self.cuts_allowed or not text:
+            return [text] if text else []
+        return CUT.split(text) if RUN.search(text) else text.split(" ")
+
+    def _solve(self, chunks: list[str]) -> list[Ids]:
+        """Ids of A and B of new chunks, and whether both spell the chunk.
+
+        The chunks are encoded ``TOGETHER`` as one text, since no token spans the space between two; where the tokens of a side do
+        not end with the chunks, each chunk is encoded by itself.
+        """
+        texts = [" ".join(chunks[i : i + TOGETHER]) for i in range(0, len(chunks), TOGETHER)]
+        text = " ".join(texts)
+        sizes = np.fromiter((len(c.encode()) + 1 for c in chunks), np.int64, len(chunks))
+        found = []
+        if self.cuts_allowed and SPACE not in text:
+            both = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)], self.b.encode(texts, num_threads=1)
+            for side, lists in enumerate(both):
+                ids, _ = flat_ids(lists)
+                if self._spelled(side, ids.tolist()) == (" " + text).encode():
+                    ends, borders = np.cumsum(self.lengths[side][ids]), np.cumsum(sizes)
+                    at = np.searchsorted(ends, borders)
+                    if (ends[at] == borders).all():
+                        found.append((ids, np.diff(at + 1, prepend=0)))
+        ones = np.ones(len(chunks), dtype=np.int64)
+        if len(found) == 2:
+            return [*found, (ones, ones)]
+        a = [e.ids for e in self.a.encode_batch([" " + c for c in chunks], add_special_tokens=False)]
+        b = self.b.encode(chunks, num_threads=1)
+        good = [self._spelled(0, x) == (" " + c).encode() == self._spelled(1, y) for c, x, y in zip(chunks, a, b)]
+        return [flat_ids(a), flat_ids(b), (np.array(good, dtype=np.int64), ones)]
+
+    def _spelled(self, side: int, ids) -> bytes:
+        return b"".join(map(self.spelling[side].__getitem__, ids))
+
+    def encode(self, texts: list[str | None]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray], np.ndarray]:
         """Ids and numbers of tokens per text of both sides, and which texts both sides give back; others have no tokens."""
-        parts = [self._parts(t) if t else [] for t in texts]
-        flat = [p for own in parts for p in own]
-        counts = np.array([len(own) for own in parts], dtype=np.int64)
-        sides = []
-        for lists in ([e.ids for e in self.a.encode_batch([" " + p for p in flat], add_special_tokens=False)] if flat else [], self.b.encode(flat, num_threads=1) if flat else []):
-            ids = np.fromiter((i for own in lists for i in own), np.int32)
-            sums = np.concatenate([[0], np.cumsum([len(own) for own in lists])]).astype(np.int64)
-            sides.append((ids, np.diff(sums[np.concatenate([[0], np.cumsum(counts)])])))
-        good = np.array([bool(t) for t in texts], dtype=bool)
-        for (ids, n), (table, _) in zip(sides, self.tables):
-            spelled = table.take(pa.array(ids))
-            data, at = memoryview(spelled.buffers()[2] or b"").cast("B"), np.frombuffer(spelled.buffers()[1], np.int32)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int32)
-            borders = at[np.concatenate([[0], np.cumsum(n)])]
-            for row, text in enumerate(texts):
-                good[row] &= data[borders[row] : borders[row + 1]] == (" " + (text or "")).encode()
+        every, counts = joined(self.chunks(t or "") for t in texts)
+        places = self.known.places(every)
+        sides = [(ids, per_text(n, counts)) for ids, n in (self.known.gather(side, places) for side in (0, 1))]
+        spelled, _ = self.known.gather(2, places)
+        bad = per_text(1 - spelled, counts)
+        good = (bad == 0) & (counts > 0)
+        starts = [np.concatenate([[0], np.cumsum(n)]) for _, n in sides]
+        for row in np.flatnonzero(bad):  # chunks that one side does not give back: the whole text decides
+            own = [self._spelled(i, ids[at[row] : at[row + 1]]) for i, ((ids, _), at) in enumerate(zip(sides, starts))]
+            good[row] = own[0] == own[1] == (" " + texts[row]).encode()
         sides = [(ids[np.repeat(good, n)], np.where(good, n, 0)) for ids, n in sides]
         return sides[0], sides[1], good
 
     def groups(self, a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """The group of each token of A and of B, numbered through the batch."""
         tokens, ends = [], []
-        for (ids, n), (_, lengths) in zip((a, b), self.tables):
+        for (ids, n), lengths in zip((a, b), self.lengths):
             end = np.cumsum(lengths[ids])
             ends.append(end)
             tokens.append(pd.DataFrame({"start": end - lengths[ids], "doc": np.repeat(np.arange(len(n)), n), "token": np.arange(len(ids))}))
