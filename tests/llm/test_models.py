@@ -287,6 +287,16 @@ def test_connected_components_of_random_graphs(spark):
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_near_stage_judges_each_row_of_a_repeated_id(spark):
+    one = " ".join(f"w{i}" for i in range(60))
+    close, other, third = one + " tail", " ".join(f"x{i}" for i in range(60)), " ".join(f"y{i}" for i in range(60))
+    rows = [(1, one), (2, close), (2, other), (3, third), (3, third + " end"), (4, other + " last"), (None, one), (5, ""), (5, "z"), (6, close + " more")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted((r.doc_id or 0, r.text) for r in corpus_pipeline.near(spark, docs, "").collect())
+    assert [k for k in kept if k[0] != 3] == [(0, one), (1, one), (2, other), (5, ""), (5, "z")]
+    assert len([k for k in kept if k[0] == 3]) == 1
+
+
 def test_pipeline_by_brute_force(spark, folder):
     import duckdb
     import public_tokenizers

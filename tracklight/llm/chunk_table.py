@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -72,13 +72,13 @@ class ChunkTable:
 
 def flat_ids(lists: list[list[int]]) -> Ids:
     lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter((i for own in lists for i in own), np.int32, int(lengths.sum())), lengths
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum())), lengths
 
 
 def joined(lists: Iterable[list[str]]) -> tuple[list[str], np.ndarray]:
     """All chunks of some texts one after the other, and how many each text has."""
     lists = list(lists)
-    return [c for own in lists for c in own], np.array([len(own) for own in lists], dtype=np.int64)
+    return list(chain.from_iterable(lists)), np.array([len(own) for own in lists], dtype=np.int64)
 
 
 def per_text(lengths: np.ndarray, chunks: np.ndarray) -> np.ndarray:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -46,6 +47,20 @@ def give_back() -> None:
     pa.default_memory_pool().release_unused()
 
 
+HELD: dict[tuple, object] = {}
+
+
+def held(*key, make: Callable[[], object]) -> object:
+    """A table that this Python worker keeps for the tasks that follow. Workers outlive a query, so the first task that
+    asks for another table drops the one before."""
+    if key not in HELD:
+        HELD.clear()
+        gc.collect()
+        give_back()
+        HELD[key] = make()
+    return HELD[key]
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch with at most ``most_bytes`` of text, or a single row that is longer than that."""
     lengths = pa.compute.binary_length(batch.column(column)).to_pylist()

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklight.llm.common import fits, give_back, hinted, slices
+from tracklight.llm.common import fits, give_back, held, hinted, slices
 from tracklight.runtime import stage
 
 SEGMENT, RULES, ROUNDS = 4096, 1024, 10
@@ -198,16 +198,9 @@ class Grammar:
         return cost, str(audit)
 
 
-GRAMMARS: dict[str, Grammar] = {}
-
-
 def worker_grammar(rules: list[tuple[int, int]]) -> Grammar:
     """The grammar of this Python worker; the tasks that follow find its matrices."""
-    key = hashlib.md5(repr(rules).encode()).hexdigest()
-    if key not in GRAMMARS:
-        GRAMMARS.clear()
-        GRAMMARS[key] = Grammar(rules)
-    return GRAMMARS[key]
+    return held("grammar", hashlib.md5(repr(rules).encode()).hexdigest(), make=lambda: Grammar(rules))
 
 
 def damage(conversations: DataFrame) -> DataFrame:

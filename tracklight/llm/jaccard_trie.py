@@ -40,6 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracklight.llm.common import fits, give_back, hinted, slices
 from tracklight.llm.components import connected
@@ -326,6 +327,19 @@ def _pairs_batch(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["a", "b", "overlap"])
 
 
+def with_class(docs: DataFrame, n: int) -> DataFrame:
+    """The rows with ``own_class``, the class of each row's set (null if it is empty)."""
+    fields = [docs.schema[c] for c in docs.columns]
+    names = [*docs.columns, "own_class"]
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [ngram_set(t, n) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())], names)
+
+    return docs.mapInArrow(tasks, T.StructType([*fields, T.StructField("own_class", T.LongType())]))
+
+
 def jaccard_links(docs: DataFrame, n: int, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, size, class) and links (a, b, overlap) between classes that connect all that the
     threshold connects."""

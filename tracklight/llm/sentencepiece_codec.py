@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding for merge-type vocabularies.
 
 A text is a chain of characters. Every adjacent pair whose concatenation is a piece enters an agenda that
-is ordered by piece score, then by position; the best pair is merged, its two new neighbours enter, and
-entries whose symbols have changed since are skipped. What is not a piece in the end falls back to its bytes.
+is ordered by piece score, then by position; the best pair is merged, and its two new neighbours enter. What is not a
+piece in the end falls back to its bytes. Agendas of chunks of equal length are rows of one matrix and take their
+turns together; long chunks have a heap.
 
 No piece holds a space mark after another character, and some characters (line ends) are in no longer
 piece. A merge across such a place is impossible, so the chain is cut there, each cut chunk is solved on
@@ -20,9 +21,8 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from array import array
+from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklight.llm.common import slices
+from tracklight.llm.chunk_table import ChunkTable, Ids, flat_ids, joined, per_text
+from tracklight.llm.common import give_back, held, slices
 
 SPACE = "▁"
-KEPT_CHUNKS, KEPT_CHARACTERS = 500_000, 16 << 20
+KEPT_CHUNKS, KEPT_IDS = 120_000, 1 << 20
 SHORT = 48
+#: Chunks of equal length that share an agenda.
+TOGETHER = 1 << 14
 
 
 class Codec:
@@ -49,11 +52,27 @@ class Codec:
         self.bytes_of = {int(library.id_to_piece(i)[3:5], 16): i for i in range(size) if library.is_byte(i)}
         self.ids = {library.id_to_piece(i): i for i in range(size) if not special[i] and not library.is_byte(i)}
         self.cost = {piece: -library.get_score(i) for piece, i in self.ids.items()}
-        self.none = float("inf")
         if any(library.is_unused(i) for i in range(size)) or len(self.bytes_of) != 256:
             raise ValueError("expected a merge vocabulary with byte fallback and no unused pieces")
         self.check = check
-        self.forget()
+        self.known = ChunkTable(1, self._solve, KEPT_CHUNKS, KEPT_IDS)
+        self.pieces = [library.id_to_piece(i) for i in range(size)]
+        #: The id of a character that is no piece, and the place of a pair that makes none.
+        self.no_piece, self.none = size, len(self.ids)
+        self.letters = np.full(0x110000, self.no_piece, dtype=np.int64)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.letters[ord(piece)] = i
+        ordered = sorted(self.ids, key=lambda p: (self.cost[p], self.ids[p]))
+        place = {piece: i for i, piece in enumerate(ordered)}
+        self.by_place = np.array([self.ids[p] for p in ordered], dtype=np.int64)
+        splits = ((p, p[:i], p[i:]) for p in self.ids for i in range(1, len(p)))
+        pairs = {self.ids[a] * (size + 1) + self.ids[b]: place[p] for p, a, b in splits if a in self.ids and b in self.ids}
+        self.pair_keys = np.array(sorted(pairs), dtype=np.int64)
+        self.pair_places = np.array([pairs[k] for k in self.pair_keys.tolist()], dtype=np.int64)
+        scores = Counter(self.cost[p] for p in self.ids if len(p) > 1)
+        #: Neighbours in pieces of equal scores (runs of spaces): where these occur, the leftmost of equal pairs must be merged first.
+        self.tied = {p[i : i + 2] for p in self.ids if len(p) > 1 and scores[self.cost[p]] > 1 for i in range(len(p) - 1)}
         long = [p for p in self.ids if len(p) > 1]
         marks_lead = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in long)
         lines_alone = not any("\n" in p for p in long)
@@ -65,14 +84,92 @@ class Codec:
         marked = SPACE + text.replace(" ", SPACE)
         return self.cut.findall(marked) if self.cut else [marked]
 
-    def forget(self) -> None:
-        """Empties the table of solved chunks: chunk -> place of its ids in one flat array."""
-        self.known: dict[str, int] = {}
-        self.begin, self.length, self.flat, self.characters = array("q"), array("q"), array("i"), 0
+    def merge_all(self, chunks: list[str]) -> list[Ids]:
+        """Ids of the chunks: short ones of equal length share an agenda, long ones and those with tied pairs have their own."""
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        alone = sizes > SHORT
+        if self.tied:
+            alone |= np.fromiter((any(t in c for t in self.tied) for c in chunks), bool, len(chunks))
+        rows, ids = [], []
+        for size in np.unique(sizes[~alone]).tolist():
+            of_size = np.flatnonzero((sizes == size) & ~alone)
+            for begin in range(0, len(of_size), TOGETHER):
+                own = of_size[begin : begin + TOGETHER]
+                for done, symbols in self._merge_equal([chunks[i] for i in own.tolist()], size):
+                    rows.append(np.repeat(own[done], symbols.shape[1]))
+                    ids.append(symbols.ravel())
+        for row in np.flatnonzero(alone).tolist():
+            symbols = self._ids(self._merge_long(list(chunks[row])))
+            rows.append(np.full(len(symbols), row))
+            ids.append(np.array(symbols, dtype=np.int64))
+        row, symbol = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (rows, ids))
+        order = np.argsort(row, kind="stable")
+        row, symbol = row[order], symbol[order]
+        unknown = set(row[symbol == self.no_piece].tolist())
+        lengths = np.bincount(row, minlength=len(chunks))
+        if unknown:
+            ends = np.cumsum(lengths)
+            parts = np.split(symbol, ends[:-1])
+            for i in unknown:
+                parts[i] = np.array(self._with_bytes(parts[i].tolist(), chunks[i]), dtype=np.int64)
+                lengths[i] = len(parts[i])
+            symbol = np.concatenate(parts)
+        return [(symbol, lengths)]
 
-    def merge(self, chunk: str) -> list[int]:
-        """Ids of one chunk by the agenda."""
-        symbols = self._merge_short(list(chunk)) if len(chunk) <= SHORT else self._merge_long(list(chunk))
+    def _merge_equal(self, chunks: list[str], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(rows, symbols) of chunks with ``size`` characters each, as they are done.
+
+        The agenda is a matrix: for each chunk the place, in the order of scores, of the piece that each adjacent pair would
+        make. In every turn the first of the least of each chunk is merged, and its two new pairs are looked up.
+        """
+        points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        symbols = self.letters[points].reshape(len(chunks), size)
+        agenda = self._places(symbols[:, :-1], symbols[:, 1:])
+        rows = np.arange(len(chunks))
+        while size > 1:
+            first = agenda.argmin(axis=1)
+            every = np.arange(len(rows))
+            least = agenda[every, first]
+            done = least == self.none
+            if done.any():
+                yield rows[done], symbols[done]
+                left = ~done
+                rows, symbols, agenda, first, least = rows[left], symbols[left], agenda[left], first[left], least[left]
+                every = np.arange(len(rows))
+            if not len(rows):
+                return
+            size -= 1
+            kept = np.arange(size)[None, :]
+            symbols = np.take_along_axis(symbols, kept + (kept > first[:, None]), axis=1)
+            symbols[every, first] = self.by_place[least]
+            if size > 1:
+                kept = kept[:, :-1]
+                agenda = np.take_along_axis(agenda, kept + (kept >= first[:, None]), axis=1)
+                for at in (first - 1, first):
+                    inside = np.flatnonzero((at >= 0) & (at < size - 1))
+                    at = at[inside]
+                    agenda[inside, at] = self._places(symbols[inside, at], symbols[inside, at + 1])
+        yield rows, symbols
+
+    def _places(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Places of the pieces that the pairs make, ``none`` where they make none."""
+        keys = left * (self.no_piece + 1) + right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_places[at], self.none)
+
+    def _with_bytes(self, symbols: list[int], chunk: str) -> list[int]:
+        """Symbols with the bytes of each character that is no piece."""
+        out, at = [], 0
+        for symbol in symbols:
+            if symbol == self.no_piece:
+                out.extend(self.bytes_of[b] for b in chunk[at].encode())
+                at += 1
+            else:
+                out.append(symbol)
+                at += len(self.pieces[symbol])
+        return out
+
+    def _ids(self, symbols: list[str]) -> list[int]:
         out: list[int] = []
         for symbol in symbols:
             found = self.ids.get(symbol)
@@ -82,23 +179,6 @@ class Codec:
                 out.extend(self.bytes_of[b] for b in symbol.encode())
         return out
 
-    def _merge_short(self, symbols: list[str]) -> list[str]:
-        """The agenda as one list of pair costs beside the symbols; the first of the least costs is merged."""
-        cost, none = self.cost.get, self.none
-        agenda = [cost(a + b, none) for a, b in zip(symbols, symbols[1:])]
-        while agenda:
-            least = min(agenda)
-            if least == none:
-                break
-            i = agenda.index(least)
-            symbols[i] += symbols.pop(i + 1)
-            del agenda[i]
-            if i:
-                agenda[i - 1] = cost(symbols[i - 1] + symbols[i], none)
-            if i < len(agenda):
-                agenda[i] = cost(symbols[i] + symbols[i + 1], none)
-        return symbols
-
     def _merge_long(self, symbols: list[str | None]) -> list[str]:
         """The agenda as a heap over linked symbols."""
         n, cost = len(symbols), self.cost
@@ -124,36 +204,30 @@ class Codec:
 
     def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Offsets (one more than texts) and the ids of all texts, one after the other."""
-        if len(self.known) > KEPT_CHUNKS or self.characters > KEPT_CHARACTERS:
-            self.forget()
-        cut, known = [self.chunks(t) for t in texts], self.known
-        every = list(chain.from_iterable(cut))
-        place = list(map(known.get, every))
-        solved = {c: self.merge(c) for c in {c for c, p in zip(every, place) if p is None}} if None in place else {}
-        if self.check and solved:
-            self._compare(solved)
-        for chunk, ids in solved.items():
-            known[chunk] = len(self.begin)
-            self.begin.append(len(self.flat))
-            self.length.append(len(ids))
-            self.flat.extend(ids)
-            self.characters += len(chunk)
-        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        place = np.array(list(map(known.__getitem__, every)) if solved else place, dtype=np.int64)
-        begin, length = (np.array(x, dtype=np.int64)[place] for x in (self.begin, self.length))
-        ends = np.concatenate([[0], np.cumsum(length)])
-        ids = np.array(self.flat, dtype=np.int32)[np.repeat(begin - ends[:-1], length) + np.arange(ends[-1])]
-        return ends[np.concatenate([[0], np.cumsum(sizes)])], ids
-
-    def _compare(self, solved: dict[str, list[int]]) -> None:
+        every, counts = joined(map(self.chunks, texts))
+        ids, lengths = self.known.gather(0, self.known.places(every))
+        return np.concatenate([[0], np.cumsum(per_text(lengths, counts))]), ids
+
+    def _solve(self, chunks: list[str]) -> list[Ids]:
+        """Ids of new chunks by the agenda, compared with the library's."""
+        solved = self.merge_all(chunks)
+        if self.check:
+            self._compare(chunks, *solved[0])
+        return solved
+
+    def _compare(self, chunks: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         """The library puts a space before every text, so a chunk that starts with one is a text by itself;
-        any other chunk is encoded behind a line end and loses the ids of ``' \\n'``."""
-        plain, lead = list(solved), self.library.encode("\n")
-        texts = [c[1:].replace(SPACE, " ") if c[0] == SPACE and len(c) > 1 else "\n" + c for c in plain]
-        for chunk, theirs in zip(plain, self.library.encode(texts, num_threads=1)):
-            theirs = theirs if chunk[0] == SPACE and len(chunk) > 1 else theirs[len(lead):]
-            if theirs != solved[chunk]:
-                raise ValueError(f"agenda and library differ on {chunk[:80]!r}: {solved[chunk][:40]} / {theirs[:40]}")
+        any other chunk is encoded behind a line end and loses the ids of ``' \n'``."""
+        lead = len(self.library.encode("\n"))
+        alone = [c[0] == SPACE and len(c) > 1 for c in chunks]
+        texts = [c[1:].replace(SPACE, " ") if own else "\n" + c for c, own in zip(chunks, alone)]
+        theirs, counts = flat_ids([found if own else found[lead:] for found, own in zip(self.library.encode(texts, num_threads=1), alone)])
+        if not np.array_equal(counts, lengths) or not np.array_equal(theirs, ids):
+            ends, others = np.cumsum(lengths), np.cumsum(counts)
+            for i, chunk in enumerate(chunks):
+                mine, right = ids[ends[i] - lengths[i] : ends[i]].tolist(), theirs[others[i] - counts[i] : others[i]].tolist()
+                if mine != right:
+                    raise ValueError(f"agenda and library differ on {chunk[:80]!r}: {mine[:40]} / {right[:40]}")
 
     def decode_batch(self, offsets: np.ndarray, ids: np.ndarray) -> list[str]:
         flat, ends = ids.tolist(), offsets.tolist()
@@ -161,15 +235,9 @@ class Codec:
         return [t if i else "" for i, t in zip(lists, self.library.decode(lists, num_threads=1))] if lists else []
 
 
-CODECS: dict[tuple[str, bool], Codec] = {}
-
-
 def worker_codec(model: bytes, check: bool) -> Codec:
     """The codec of this Python worker; tasks that follow find its solved chunks."""
-    key = (hashlib.md5(model).hexdigest(), check)
-    if key not in CODECS:
-        CODECS[key] = Codec(model, check)
-    return CODECS[key]
+    return held("sentencepiece", hashlib.md5(model).hexdigest(), check, make=lambda: Codec(model, check))
 
 
 def encode_decode(docs: DataFrame, model_path: str, column: str = "text", check: bool = True) -> DataFrame:
@@ -186,10 +254,11 @@ def encode_decode(docs: DataFrame, model_path: str, column: str = "text", check:
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_codec(model.value, check)
         for whole in batches:
-            for batch in slices(whole, column, 4 << 20):
+            for batch in slices(whole, column, 1 << 20):
                 offsets, ids = codec.encode_batch([t or "" for t in batch.column(column).to_pylist()])
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
                 arrays = [batch.column(c) for c in kept] + [lists, pa.array(codec.decode_batch(offsets, ids), pa.string())]
                 yield pa.RecordBatch.from_arrays(arrays, [*kept, "ids", "decoded"])
+            give_back()
 
     return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(tasks, schema)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklight.llm.chunk_table import ChunkTable, Ids, flat_ids, joined, per_text
-from tracklight.llm.common import give_back, slices
+from tracklight.llm.common import give_back, held, slices
 from tracklight.runtime import stage
 
 LISTED, LINKS, WINDOW = 1 << 20, 1 << 21, 4_000_000
@@ -197,8 +197,6 @@ class Aligner:
         return keys, np.bincount(at, weights=np.concatenate([c for _, c in found])).astype(np.int64)
 
 
-ALIGNERS: dict[tuple[str, int], Aligner] = {}
-
 SIZES = ["n_a", "n_b", "n_groups", "n_links"]
 
 
@@ -207,12 +205,10 @@ def align(docs: DataFrame, a_path: str, b_path: str, column: str = "text") -> Da
     pairs and pair_links (distinct linked pairs as a * |B| + b, and how many links each has)."""
     with open(a_path, encoding="utf-8") as a_file, open(b_path, "rb") as b_file:
         files = docs.sparkSession.sparkContext.broadcast((a_file.read(), b_file.read()))
-    key = (a_path, len(files.value[0]))
+    key = (a_path, b_path)
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in ALIGNERS:
-            ALIGNERS[key] = Aligner(*files.value)
-        aligner = ALIGNERS[key]
+        aligner = held("aligner", *key, make=lambda: Aligner(*files.value))
         for whole in batches:
             for batch in slices(whole, "text", 1 << 20):
                 a, b, _ = aligner.encode(batch.column("text").to_pylist())
