@@ -45,10 +45,24 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group of documents linked by 0.8 or more over five-word shingles."""
-    found = jaccard_trie.near_components(docs, 5, Fraction(8, 10), counted=False)
-    dropped = stage(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "pipeline-near")
-    left = docs.join(hinted(dropped, fits(dropped, 16)), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    """Keeps one document, with the smallest doc_id, of each group linked by 0.8 or more over five-word shingles.
+
+    Rows that repeat a doc_id are judged by their own sets of shingles: of the sets that a group's smallest doc_id has in it, the
+    least class stays, once; a set outside the group stays too.
+    """
+    found = stage(jaccard_trie.near_components(docs, 5, Fraction(8, 10), counted=False), "pipeline-near").where("class is not null")
+    first = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("first_id")).agg(F.min("class").alias("first_class"), F.count_distinct("class").alias("sets"))
+    several = stage(first.where("sets > 1").drop("sets"), "pipeline-several")
+    gone = found.join(hinted(several, fits(several, 32)), F.col("doc_id") == F.col("first_id"), "left")
+    gone = gone.where("doc_id <> component_id or class <> first_class").select(F.col("doc_id").alias("gone_id"), F.col("class").alias("gone_class"))
+    gone = stage(gone.distinct(), "pipeline-gone")
+    again = stage(docs.groupBy(F.col("doc_id").alias("again_id")).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"), "pipeline-again")
+    repeated, small = F.col("doc_id") == F.col("again_id"), fits(again, 16)
+    left = docs.join(hinted(gone, fits(gone, 24)), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    if not again.isEmpty():
+        rows = jaccard_trie.with_class(docs.join(hinted(again, small), repeated, "left_semi"), 5).dropDuplicates(["doc_id", "own_class"])
+        kept = rows.join(gone, (F.col("doc_id") == F.col("gone_id")) & F.col("own_class").eqNullSafe(F.col("gone_class")), "left_anti")
+        left = left.join(hinted(again, small), repeated, "left_anti").unionByName(kept.select(*_columns(docs)))
     return left.select(*_columns(docs))
 
 
