@@ -192,3 +192,25 @@ def test_fingerprints_of_one_and_no_document(spark, no_docs, edge_docs):
     assert merkle.compare_with_edited(no_docs).count() == 0
     rows = merkle.fingerprints(edge_docs).collect()
     assert len({r["fingerprint"] for r in rows}) == len({r["text"] or "" for r in rows})
+
+
+@pytest.mark.parametrize(
+    "page, blocks",
+    [
+        ('<article><p>one two three four</p><svg class="i"/><p>five six seven</p></article>', ["one two three four", "five six seven"]),
+        ("<article><p>a b c d</p><video-player src=x></video-player><p>e f g</p><svg-icon></svg-icon> h</article>", ["a b c d", "e f g", "h"]),
+        ("<article><p>a b c d</p><object data=x><p>e f g</p></article>", ["a b c d", "e f g"]),
+        ("<article><p>a b c</p><svg><text>x</text></svg><select><option>1</select><script>x</script><p>d e</p></article>", ["a b c", "d e"]),
+        ("<article><p>energy <math>E</math> holds in all of it</p></article>", ["energy E holds in all of it"]),
+        ('<article><div class="elementor-widget"><p>words that are the whole article of this page</p></div></article>', ["words that are the whole article of this page"]),
+        ('<body><div class="page has-sidebar"><p>the words of the page go on for long</p><div class="sidebar"><a href=x>a link</a></div></div></body>', ["the words of the page go on for long"]),
+        (
+            '<article><p>first words of it are here</p><div class="side-by-side"><p>two pictures</p></div><div class="related-work"><p>others did this</p></div></article>',
+            ["first words of it are here", "two pictures", "others did this"],
+        ),
+        ('<body><div><p>long text of the page is here</p><section id="discussion"><h2>Discussion</h2><p>we talk</p></section></div></body>', ["long text of the page is here", "Discussion", "we talk"]),
+        ('<article><p>words of the article are here</p><div class="ad"><p>buy now</p></div><div class="share-buttons"><a href=x>tweet this</a></div></article>', ["words of the article are here"]),
+    ],
+)
+def test_tags_and_class_names_that_lose_no_text(page, blocks):
+    assert html_text.extract(page, html_text.DEFAULTS) == blocks

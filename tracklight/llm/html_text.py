@@ -34,7 +34,9 @@ from tracklight.llm.common import slices
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|textarea|select|iframe|object|canvas|audio|video|math|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|title)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(?:svg|noscript|template|select|iframe|object|canvas|audio|video)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
+    r"|<(svg|noscript|template|select|iframe|object|canvas|audio|video)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?</\2\s*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>"
     r"|<[!?/][^>]*>"
@@ -64,8 +66,10 @@ TALK = frozenset("comment comments commentlist commentary disqus reply replies r
 COMMON = frozenset(
     "side search social related recommended recommendation recommendations popular trending discussion notice notices notification alert alerts "
     "share sharing reply replies respond commentary reviews promotion sponsors register subscription consent cookie cookies menu menus navigation "
-    "foot rail skip copyright disclaimer complementary banner".split()
+    "foot rail skip copyright disclaimer complementary banner widget widgets".split()
 )
+#: An element marked by its class or id that holds so much of the page's or the marker's words, without being links, is a wrapper.
+WRAPS = 2 / 3
 #: An element with a doubtful mark is furniture if so many of its words are links.
 LINKED = 0.5
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -76,33 +80,42 @@ KNOWN_TAGS = BLOCK | VOID | LOOSE | frozenset(("a", "img"))
 def _marks(name: str, attributes: str, within: bool) -> tuple[bool, bool, bool]:
     """Whether the attributes mark furniture, whether they mark reader comments, and whether they may mark either.
 
-    Within a marker, the id, label or type of a heading says nothing, that of a section and a single common word only
-    raise a doubt; class and role always count."""
+    The id, label or type of a heading says nothing, that of a section only raises a doubt. Within a marker, an id that is a
+    single common word and a class name that has one among other words raise a doubt too; other classes and roles count."""
     lowered = attributes.lower()
     if re.search(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", lowered):
         return True, False, False
-    furniture = talk = False
+    furniture = talk = unsure = False
     named: set[str] = set()
     for key, *values in ATTRIBUTE.findall(attributes):
         key = key.lower()
         if key in ("class", "id", "role", "aria-label", "itemtype"):
-            words = {w.lower() for w in WORD.findall("".join(values))}
-            if within and key not in ("class", "role"):
+            text = "".join(values)
+            words = {w.lower() for w in WORD.findall(text)}
+            if key not in ("class", "role") and (within or name == "section" or name in HEADINGS):
                 named |= words & (MARKS | TALK)
-            else:
-                furniture, talk = furniture or bool(words & MARKS), talk or bool(words & TALK)
-    if not named or name in HEADINGS or furniture or talk:
+                continue
+            if within and key == "class":  # a common word in a longer name (side-by-side) is a doubt
+                for part in text.split():
+                    own = {w.lower() for w in WORD.findall(part)}
+                    if own & (MARKS | TALK) and own & (MARKS | TALK) <= COMMON and own - MARKS - TALK:
+                        words -= own
+                        unsure = True
+            furniture, talk = furniture or bool(words & MARKS), talk or bool(words & TALK)
+    if furniture or talk:
         return furniture, talk, False
+    if not named or name in HEADINGS:
+        return False, False, unsure
     if name == "section" or (len(named) == 1 and named <= COMMON):
         return False, False, True
     return bool(named & MARKS), bool(named & TALK), False
 
 
 class Frame:
-    __slots__ = ("tag", "furniture", "talk", "inside", "holds", "doubt")
+    __slots__ = ("tag", "furniture", "talk", "inside", "holds", "doubt", "mark")
 
-    def __init__(self, tag: str, furniture: bool, talk: bool, inside: int, holds: bool = False, doubt: int = 0):
-        self.tag, self.furniture, self.talk, self.inside, self.holds, self.doubt = tag, furniture, talk, inside, holds, doubt
+    def __init__(self, tag: str, furniture: bool, talk: bool, inside: int, holds: bool = False, doubt: int = 0, mark: int = 0):
+        self.tag, self.furniture, self.talk, self.inside, self.holds, self.doubt, self.mark = tag, furniture, talk, inside, holds, doubt, mark
 
 
 def closed_tags(page: str) -> set[int]:
@@ -110,8 +123,8 @@ def closed_tags(page: str) -> set[int]:
     open_: dict[str, list[int]] = {}
     out = set()
     for match in TOKEN.finditer(page):
-        if name := (match[3] or match[6] or "").lower():
-            if (match[2] or match[5]) != "/":
+        if name := (match[4] or match[7] or "").lower():
+            if (match[3] or match[6]) != "/":
                 open_.setdefault(name, []).append(match.start())
             elif open_.get(name):
                 out.add(open_[name].pop())
@@ -124,19 +137,54 @@ def tokens(page: str, clears: bool = False) -> Iterator[tuple[str, str, str, int
 
     A marker within furniture that is closed later (a card in a sidebar) is furniture too, unless ``clears``.
     An element with a doubtful mark is furniture if at least ``LINKED`` of its words are links."""
-    found = list(_tokens(page, clears))
+    ignored: set[int] = set()
+    while True:  # each turn looks at the marked elements inside the wrappers of the turn before
+        found = list(_tokens(page, clears, ignored))
+        wrappers = _wrappers(found)
+        if not wrappers:
+            break
+        ignored |= wrappers
     words, linked = Counter(), Counter()
-    for kind, what, context, _, doubt in found:
+    for kind, what, context, _, doubt, _ in found:
         if doubt and kind == "text":
             n = len(what.split())
             words[doubt] += n
             linked[doubt] += n * (context == "link")
-    for kind, what, context, inside, doubt in found:
+    for kind, what, context, inside, doubt, _ in found:
         yield kind, what, "furniture" if doubt and linked[doubt] and linked[doubt] >= LINKED * words[doubt] else context, inside
 
 
-def _tokens(page: str, clears: bool) -> Iterator[tuple[str, str, str, int, int]]:
-    """The tokens, with the number of the outermost doubtful element around them, or 0."""
+def _wrappers(found: list[tuple[str, str, str, int, int, int]]) -> set[int]:
+    """Where the marked elements begin (one more than the offset) that hold ``WRAPS`` of the words of the page, or of their
+    marker if the page has any, and are no lists of links."""
+    if not any(mark for *_, mark in found):
+        return set()
+    words, linked, all_words, region = Counter(), Counter(), Counter(), {}
+    link = False
+    for kind, what, context, inside, _, mark in found:
+        if kind == "tag":
+            link = link != (what == "a")
+        else:
+            n = len(what.split())
+            if mark or context != "furniture":
+                all_words[inside] += n
+            if mark:
+                words[mark] += n
+                linked[mark] += n * link
+                region[mark] = inside
+    total = sum(all_words.values())
+    has_marker = any(all_words[i] for i in all_words if i)
+    out = set()
+    for mark, n in words.items():
+        whole = all_words[region[mark]] if region[mark] else total
+        if n and n >= WRAPS * whole and linked[mark] < LINKED * n and (region[mark] or not has_marker):
+            out.add(mark)
+    return out
+
+
+def _tokens(page: str, clears: bool, ignored: set[int] = frozenset()) -> Iterator[tuple[str, str, str, int, int, int]]:
+    """The tokens, with the number of the outermost doubtful element around them, or 0, and where the outermost element begins
+    (one more than the offset) that only its attributes mark, or 0. The marks of ``ignored`` elements do not count."""
     stack = [Frame("", False, False, 0)]
     link = heading = items = markers = doubts = 0
     at = 0
@@ -150,12 +198,12 @@ def _tokens(page: str, clears: bool) -> Iterator[tuple[str, str, str, int, int]]
 
     for match in TOKEN.finditer(page):
         if match.start() > at:
-            yield "text", page[at : match.start()], context(), stack[-1].inside, stack[-1].doubt
+            yield "text", page[at : match.start()], context(), stack[-1].inside, stack[-1].doubt, stack[-1].mark
         at = match.end()
-        name = match[3] or match[6]
+        name = match[4] or match[7]
         if name is None:
             continue
-        name, closing, attributes = name.lower(), (match[2] or match[5]) == "/", match[4] or match[7] or ""
+        name, closing, attributes = name.lower(), (match[3] or match[6]) == "/", match[5] or match[8] or ""
         if name in BLOCK:  # an open paragraph that was marked as furniture ends here
             while stack[-1].tag in ("p", "li", "span") and (name != "p" or stack[-1].tag == "p") and not closing:
                 stack.pop()
@@ -172,8 +220,10 @@ def _tokens(page: str, clears: bool) -> Iterator[tuple[str, str, str, int, int]]
                 items = max(0, items - 1)
         elif name not in VOID and not attributes.rstrip().endswith("/"):
             above = stack[-1]
-            furniture, talk, unsure = _marks(name, attributes, above.inside > 0) if attributes else (False, False, False)
-            doubt = above.doubt
+            furniture, talk, unsure = _marks(name, attributes, above.inside > 0) if attributes and match.start() + 1 not in ignored else (False, False, False)
+            doubt, mark = above.doubt, above.mark
+            if (furniture or talk) and not mark and name not in FURNITURE and not (above.furniture or above.talk):
+                mark = match.start() + 1
             if unsure and not doubt:
                 doubts += 1
                 doubt = doubts
@@ -183,7 +233,7 @@ def _tokens(page: str, clears: bool) -> Iterator[tuple[str, str, str, int, int]]
                 if not (above.talk or talk or held):
                     markers += not above.inside
                     number = above.inside or markers
-                stack.append(Frame(name, held, above.talk or talk, number, above.holds, doubt))
+                stack.append(Frame(name, held, above.talk or talk, number, above.holds, doubt, mark))
             elif name in ("html", "body"):
                 stack.append(Frame(name, False, False, 0))
             else:
@@ -193,16 +243,16 @@ def _tokens(page: str, clears: bool) -> Iterator[tuple[str, str, str, int, int]]
                     if furniture and not holds and marks_article:
                         closed = closed_tags(page) if closed is None else closed
                         holds = match.start() in closed
-                    stack.append(Frame(name, above.furniture or furniture, above.talk or talk, above.inside, holds, doubt))
+                    stack.append(Frame(name, above.furniture or furniture, above.talk or talk, above.inside, holds, doubt, mark))
             if name == "a":
                 link = 1
             elif name in HEADINGS:
                 heading = 1
             elif name in ("ul", "ol"):
                 items += 1
-        yield "tag", name if name in KNOWN_TAGS else "other", context(), stack[-1].inside, stack[-1].doubt
+        yield "tag", name if name in KNOWN_TAGS else "other", context(), stack[-1].inside, stack[-1].doubt, stack[-1].mark
     if at < len(page):
-        yield "text", page[at:], context(), stack[-1].inside, stack[-1].doubt
+        yield "text", page[at:], context(), stack[-1].inside, stack[-1].doubt, stack[-1].mark
 
 
 def labelled_counts(page: str) -> Counter | None:
