@@ -162,6 +162,50 @@ def test_models_find_the_planted_groups(spark, plays):
     assert group_share(als.recommend_factors(users, tracks, plays, 5)) > 0.8
 
 
+def test_pairwise_gradients_of_a_cell_by_loops():
+    rng = np.random.default_rng(5)
+    u, v = rng.normal(size=(7, 4)), rng.normal(size=(9, 4))
+    pairs = sorted({(int(a), int(b)) for a, b in zip(rng.integers(0, 6, 30), rng.integers(0, 9, 30))})
+    user, heard = (np.array(x) for x in zip(*pairs))
+    draw = rng.integers(0, 1 << 40, len(pairs))
+    gu, gv, has_u, has_v = bpr.cell_gradients(u, v, user, heard, draw, 0.01)
+    want_u, want_v, met_u, met_v = np.zeros_like(u), np.zeros_like(v), set(), set()
+    for a, i, d in zip(user, heard, draw):
+        j = d % len(v)
+        if (a, j) in pairs:
+            continue
+        pull = 1 / (1 + np.exp(u[a] @ (v[i] - v[j])))
+        want_u[a] += pull * (v[i] - v[j]) - 0.01 * u[a]
+        want_v[i] += pull * u[a] - 0.01 * v[i]
+        want_v[j] += -pull * u[a] - 0.01 * v[j]
+        met_u.add(a)
+        met_v |= {i, j}
+    assert np.allclose(gu, want_u) and np.allclose(gv, want_v)
+    assert set(np.flatnonzero(has_u)) == met_u and set(np.flatnonzero(has_v)) == met_v
+
+
+@pytest.mark.parametrize("width, rows", [(4, 7), (40, None), (40, 9)])
+def test_pairwise_ranking_in_many_cells_finds_the_groups(plays, width, rows):
+    """Small blocks, each with its own draws, and wide factors, which move outside generated code."""
+    users, tracks = bpr.fit(plays, width=width, epochs=8, rows_per_block=rows)
+    assert users.count() == 40 and {len(r.vector) for r in users.collect()} == {width + 1}
+    assert group_share(bpr.recommend(users, tracks, plays, 5)) > 0.8
+
+
+def test_wide_steps_equal_narrow_ones(spark):
+    """The step outside generated code gives what the expressions give."""
+    state = spark.createDataFrame([(i, [0.5 * i, -1.0, 2.0], float(i)) for i in range(4)], "user_id int, vector array<double>, power double")
+    gradient = spark.createDataFrame([(i, [1.0, i * 0.1, 0.0]) for i in (0, 2, 3)], "user_id int, g array<double>")
+    narrow = sorted(bpr._moved(state, gradient, "user_id", 2, 0.5).collect())
+    limit, bpr.UNROLLED = bpr.UNROLLED, 2
+    try:
+        wide = sorted(bpr._moved(state, gradient, "user_id", 2, 0.5).collect())
+    finally:
+        bpr.UNROLLED = limit
+    for a, b in zip(narrow, wide, strict=True):
+        assert a.user_id == b.user_id and np.allclose(a.vector, b.vector) and np.isclose(a.power, b.power)
+
+
 @pytest.fixture(scope="module")
 def toy(spark):
     return io.literal_ratings(spark, TOY_10X5)

@@ -66,8 +66,14 @@ def unit(a) -> Column:
 
 
 def sum_of(column, width: int) -> Column:
-    """Element-wise sum over a group. One plain sum per element, so it combines map-side."""
+    """Element-wise sum over a group, combined map-side: a plain sum per element of short vectors, one typed aggregate
+    (ML's summary of a vector column) for longer ones, whose cost does not grow with the number of expressions."""
     c = _col(column)
+    if width > UNROLLED:
+        from pyspark.ml.functions import array_to_vector, vector_to_array
+        from pyspark.ml.stat import Summarizer
+
+        return vector_to_array(Summarizer.sum(array_to_vector(c.cast("array<double>"))))
     return F.array(*[F.sum(c[i]) for i in range(width)])
 
 
@@ -75,4 +81,6 @@ def random_vector(width: int, scale: float, shift: float, *parts) -> Column:
     """Seeded start vector with elements ``(uniform + shift) * scale``."""
     from tracklight.functions.hashing import uniform
 
+    if width > UNROLLED:
+        return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda f: (uniform(*parts, f.cast("string")) + F.lit(shift)) * F.lit(scale))
     return F.array(*[(uniform(*parts, f) + F.lit(shift)) * F.lit(scale) for f in range(width)])

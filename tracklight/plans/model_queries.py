@@ -138,7 +138,7 @@ EPOCH = hash48("t.user_id || '-' || t.track_id || '-42-epoch0'")
 )
 def bpr_step(spark, folder):
     """All factors after one epoch."""
-    users, tracks = bpr.fit(train_test(spark, folder)[0], width=4, epochs=1)
+    users, tracks = bpr.fit(train_test(spark, folder)[0], width=4, epochs=1, track_blocks=1)
     return flat_factors(users, tracks)
 
 
