@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tracklight.metrics import rating
 from tracklight.models import als, baseline, bpr, classifiers, content, factorization, reconstruction
-from tracklight.operators import scoring, splits
+from tracklight.operators import pruned, scoring, splits
 from tracklight.sources import io
 
 from tests.test_prepare import TOY_10X5
@@ -162,6 +162,32 @@ def test_models_find_the_planted_groups(spark, plays):
     assert group_share(als.recommend_factors(users, tracks, plays, 5)) > 0.8
 
 
+@pytest.mark.parametrize("cosine, band, high", [(False, None, False), (True, None, True), (True, (0.2, 0.6), True)])
+def test_pruned_lists_skip_cells_and_lose_nothing(spark, cosine, band, high):
+    """Planted directions and lengths, zero vectors, ties and seen tracks; lists as from the whole product."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(12, 6)) * 4
+    tracks = [(i, (centres[i % 12] * rng.uniform(0.2, 2) + rng.normal(size=6) * 0.2).round(2).tolist()) for i in range(600)]
+    tracks += [(600 + i, [0.0] * 6) for i in range(5)] + [(700 + i, tracks[i][1]) for i in range(10)]
+    users = [(i, ((centres[i % 12] + rng.normal(size=6) * 0.2) * (0.05 if i % 2 else 3)).round(3).tolist()) for i in range(40)] + [(99, [0.0] * 6)]
+    seen = [(u, t) for u, _ in users for t in rng.integers(0, 600, 25).tolist()]
+    u, v = (np.array([x for _, x in rows]) for rows in (users, tracks))
+    if cosine:
+        u, v = scoring.unit_rows(u), scoring.unit_rows(v)
+    scores, want = np.round(u @ v.T, 9), set()
+    masked = set(seen)
+    for row, (user, _) in enumerate(users):
+        own = [(scores[row, c], t) for c, (t, _) in enumerate(tracks) if (user, t) not in masked and (band is None or band[0] < scores[row, c] < band[1])]
+        own.sort(key=lambda x: (-x[0], -x[1] if high else x[1]))
+        want |= {(user, t, s, r + 1) for r, (s, t) in enumerate(own[:7])}
+    frames = [spark.createDataFrame(rows, f"{key} int, vector array<double>").repartition(3) for rows, key in ((users, "user_id"), (tracks, "track_id"))]
+    found, cells = pruned.pruned_lists(
+        *frames, 7, seen=spark.createDataFrame(seen, "user_id int, track_id int"), cosine=cosine, band=band, high_track_first=high, rows_per_block=40
+    )
+    assert {(r.user_id, r.track_id, r.prediction, r.rank) for r in found.collect()} == want
+    assert cells["visited"] < 0.8 * cells["possible"]
+
+
 def test_pairwise_gradients_of_a_cell_by_loops():
     rng = np.random.default_rng(5)
     u, v = rng.normal(size=(7, 4)), rng.normal(size=(9, 4))

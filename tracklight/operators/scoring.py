@@ -130,10 +130,20 @@ def best_unseen(
     ``users`` and ``tracks`` hold an id and ``vector``; ``seen`` lists the pairs to leave out. With
     ``band`` only scores strictly between the two limits count. With ``softmax`` the prediction is
     the probability over all tracks, seen ones included.
+
+    Where the tracks fill several blocks, users meet only those that can reach their list (``pruned_lists``); a softmax needs
+    every score and runs over the whole grid.
     """
     user_type = users.schema[USER].dataType.simpleString()
     track_type = tracks.schema[TRACK].dataType.simpleString()
     user_blocks, track_blocks = grid_shape(users, tracks, seen, vector, rows_per_block)
+    if track_blocks > 1 and not softmax and score in (dot_scores, cosine_scores):
+        from tracklight.operators.pruned import pruned_lists
+
+        lists, _ = pruned_lists(
+            users, tracks, k, seen=seen, vector=vector, cosine=score is cosine_scores, band=band, high_track_first=high_track_first, rows_per_block=rows_per_block
+        )
+        return lists
     partitions = grid_partitions(users.sparkSession, user_blocks * track_blocks)
     grid = ["track_block", "user_block"]
 
