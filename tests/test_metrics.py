@@ -168,6 +168,31 @@ def test_collaborative_diversity_brute_force(spark, plays, history_rows):
         assert ours == pytest.approx(1 - sum(means) / len(means))
 
 
+@pytest.mark.parametrize("dense", [512, 3, 0])
+def test_listeners_in_pieces_and_bitmaps(spark, monkeypatch, dense):
+    """The way beyond a broadcast: lists, bitmaps and both, over several ranges of user ids, negative ones too."""
+    import random
+
+    monkeypatch.setattr(diversity, "DENSE", dense)
+    rng = random.Random(3)
+    users = [rng.randrange(-40_000, 100_000) for _ in range(60)] + list(range(32_760, 32_775))
+    heard = {(u, t) for u in users for t in rng.sample(range(8), 3)} | {(u, 0) for u in users}
+    train = spark.createDataFrame(sorted(heard), "user_id int, track_id int")
+    pairs = [(a, b, 1.0 + a, 0.5 * b) for a in range(8) for b in range(a + 1, 8)]
+    rows = diversity.count_in_pieces(spark.createDataFrame(pairs, "track_id int, other int, k1 double, k2 double"), train, ["k1", "k2"])
+    found = {(r.k1, r.k2): r.n for r in rows.groupBy("k1", "k2").agg(F.sum("common").alias("n")).collect()}
+    by_track = {t: {u for u, x in heard if x == t} for t in range(8)}
+    assert {(x, y): len(by_track[a] & by_track[b]) for a, b, x, y in pairs} == found
+
+
+def test_both_ways_agree(spark, plays, monkeypatch):
+    recs = ranks.topk_per_user(plays.select("user_id", "track_id", F.col("playcount").cast("double").alias("prediction")), 6)
+    near = sorted(diversity.collaborative_diversity(recs, plays, [3, 6]).collect())
+    monkeypatch.setattr(diversity, "BROADCAST_BYTES", 0)
+    for a, b in zip(near, sorted(diversity.collaborative_diversity(recs, plays, [3, 6]).collect()), strict=True):
+        assert a.k == b.k and a.diversity == pytest.approx(b.diversity)
+
+
 def test_roem_and_percent_rank(spark):
     rows = [(0, 1, 6, 5.0), (0, 2, 3, 4.0), (0, 3, 1, 3.0)]
     df = spark.createDataFrame(rows, "user_id int, track_id int, playcount bigint, prediction double")

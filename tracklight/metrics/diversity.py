@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklight.functions.vectors import dot, euclidean, norm, sum_of, unit
+from tracklight.runtime import BROADCAST_BYTES, broadcast_if_small, stage
 from tracklight.schema import RANK, TRACK, USER
 
 # A list is gathered in pieces of so many tracks; pairs of pieces meet in a join.
 PIECE = 256
+# Listeners of a track are held in ranges of 2 ** RANGE_BITS user ids, as many as a bitmap of Spark has; a range
+# with more than DENSE listeners is a bitmap.
+RANGE_BITS, DENSE = 15, 512
 
 
 def list_distance(recs: DataFrame, vectors: DataFrame, metric: str = "cosine", vector: str = "vector") -> DataFrame:
@@ -109,19 +115,75 @@ def list_pairs(recs: DataFrame, top: int, carry: list[str] | None = None) -> Dat
     )
 
 
+def listener_pieces(train: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Who heard a track, in pieces of neighbouring user ids: ``(track, range, ids)`` with at most ``DENSE`` ids, and
+    ``(track, range, bits)`` with a bitmap of the range where a piece has more (None if there is none)."""
+    heard = train.select(TRACK, F.shiftright(F.col(USER).cast("bigint"), RANGE_BITS).alias("range"), F.pmod(F.col(USER).cast("bigint"), F.lit(1 << RANGE_BITS)).alias("place"))
+    sizes = stage(heard.groupBy(TRACK, "range").agg(F.count(F.lit(1)).alias("n")), "pieces")
+    dense = sizes.where(F.col("n") > DENSE).select(TRACK, "range")
+    n_dense = dense.count()
+    if not n_dense:
+        return heard.groupBy(TRACK, "range").agg(F.collect_list(F.col("place").cast("int")).alias("ids")), None
+    dense = broadcast_if_small(dense, n_dense, 24)
+    listed = heard.join(dense, [TRACK, "range"], "left_anti").groupBy(TRACK, "range").agg(F.collect_list(F.col("place").cast("int")).alias("ids"))
+    bits = heard.join(dense, [TRACK, "range"], "left_semi").groupBy(TRACK, "range").agg(F.bitmap_construct_agg("place").alias("bits"))
+    return listed, bits
+
+
+def common_in_bitmaps(batches):
+    """Sizes of intersections of pieces of which one or both are bitmaps; the weights are passed on."""
+    for batch in batches:
+        names = batch.schema.names
+        bits = {side: batch.column(f"bits_{side}") for side in ("a", "b")}
+        ids = {side: batch.column(f"ids_{side}") for side in ("a", "b")}
+        common = np.zeros(batch.num_rows, dtype=np.int64)
+        is_bitmap = {side: bits[side].is_valid().to_numpy(zero_copy_only=False) for side in ("a", "b")}
+        # row by row over fixed-size pieces: 4,096 bytes or DENSE ids at most
+        for row in range(batch.num_rows):
+            if is_bitmap["a"][row] and is_bitmap["b"][row]:
+                one, two = (np.frombuffer(bits[side][row].as_buffer(), dtype=np.uint64) for side in ("a", "b"))
+                common[row] = int(np.bitwise_count(one & two).sum())
+            else:
+                side, other = ("a", "b") if is_bitmap["a"][row] else ("b", "a")
+                bitmap = np.frombuffer(bits[side][row].as_buffer(), dtype=np.uint8)
+                at = ids[other][row].values.to_numpy()
+                common[row] = int((bitmap[at >> 3] >> (at & 7) & 1).sum())
+        kept = [n for n in names if n.startswith("k")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(common)], [*kept, "common"])
+
+
+def count_in_pieces(pairs: DataFrame, train: DataFrame, names: list[str]) -> DataFrame:
+    """``names`` of the pairs (track, other, names) and ``common``, their listeners in common, one row per range of user ids."""
+    listed, bitmaps = listener_pieces(train)
+    pieces = listed.withColumn("bits", F.lit(None).cast("binary"))
+    if bitmaps is not None:
+        pieces = pieces.unionByName(bitmaps.withColumn("ids", F.lit(None).cast("array<int>")))
+    pieces = stage(pieces, "listeners")
+    held = pieces.agg(F.sum(F.coalesce(F.size("ids") * 4, F.lit(0)) + F.coalesce(F.octet_length("bits"), F.lit(0)) + 64)).first()[0] or 0
+    small = lambda df: broadcast_if_small(df, 1, held)
+    of_rarer = pairs.join(small(pieces.select(TRACK, "range", F.col("ids").alias("ids_a"), F.col("bits").alias("bits_a"))), TRACK)
+    met = of_rarer.join(small(pieces.select(F.col(TRACK).alias("other"), "range", F.col("ids").alias("ids_b"), F.col("bits").alias("bits_b"))), ["other", "range"])
+    lists_only = F.col("bits_a").isNull() & F.col("bits_b").isNull()
+    counted = met.where(lists_only).select(*names, F.size(F.array_intersect("ids_a", "ids_b")).cast("bigint").alias("common"))
+    if bitmaps is not None:
+        schema = ", ".join(f"{name} double" for name in names) + ", common bigint"
+        return counted.unionByName(met.where(~lists_only).select(*names, "ids_a", "bits_a", "ids_b", "bits_b").mapInArrow(common_in_bitmaps, schema))
+    return counted
+
+
 def collaborative_diversity(recs: DataFrame, train: DataFrame, ks: list[int]) -> DataFrame:
     """Per k: 1 less the mean over users of the mean co-listening cosine of the pairs in their list.
 
-    ``train`` has one row per user and track. The cosine n_ab / sqrt(n_a n_b) of a pair is a sum over
-    the users who heard both. So every pair that occurs in some list, once with the sum of its weights
-    1 / (pairs of the list), is joined to the listeners of its rarer track, those who also heard the
-    other one remain, and their weights add up. A pair costs as many rows as its rarer track has; one
-    popular track adds at most one pass over train.
+    ``train`` has one row per user and track. The cosine n_ab / sqrt(n_a n_b) of a pair needs the number of users who heard
+    both, and occurs once with the sum of its weights 1 / (pairs of the list). Where ``train`` may be broadcast, the listeners
+    of the rarer track are looked up among those of the other. Beyond, a pair meets the listeners of its two tracks range by
+    range of user ids: first the pieces of its rarer track, then the other's pieces of the same ranges. A row then
+    stays one row through both joins, whatever a track's listeners are, so a track in every list spreads over
+    ranges and splits as any skewed join; short pieces are lists, long ones bitmaps.
     """
     top = max(ks)
     recs = recs.where(F.col(RANK) <= top).select(USER, TRACK, RANK)
-    heard = train.select(USER, TRACK)
-    listeners = heard.groupBy(TRACK).agg(F.count(F.lit(1)).alias("listeners"))
+    listeners = train.groupBy(TRACK).agg(F.count(F.lit(1)).alias("listeners"))
     sized = recs.join(listeners, TRACK, "left").na.fill(0, ["listeners"])
     weight = lambda k: F.when(
         F.col(RANK) <= k,
@@ -132,14 +194,20 @@ def collaborative_diversity(recs: DataFrame, train: DataFrame, ks: list[int]) ->
 
     a_is_rarer = F.col("listeners_a") <= F.col("listeners_b")
     length = F.sqrt(F.col("listeners_a").cast("double") * F.col("listeners_b"))
+    names = [f"k{k}" for k in ks]
     sided = weighted.where((F.col("listeners_a") > 0) & (F.col("listeners_b") > 0)).select(
         F.when(a_is_rarer, F.col("track_a")).otherwise(F.col("track_b")).alias(TRACK),
         F.when(a_is_rarer, F.col("track_b")).otherwise(F.col("track_a")).alias("other"),
-        *[(F.col(f"k{k}") / length).alias(f"k{k}") for k in ks],
+        *[(F.col(name) / length).alias(name) for name in names],
     )
-    of_rarer = sided.join(heard, TRACK).drop(TRACK).withColumnRenamed("other", TRACK)
-    of_both = of_rarer.join(heard, [TRACK, USER], "left_semi")
-    totals = of_both.agg(*[F.coalesce(F.sum(f"k{k}"), F.lit(0.0)).alias(f"k{k}") for k in ks])
+    rows = train.count()
+    if rows * 24 <= BROADCAST_BYTES:  # who heard what fits every task: listeners are looked up where the pairs are
+        heard = F.broadcast(train.select(USER, TRACK))
+        of_rarer = sided.join(heard, TRACK).drop(TRACK).withColumnRenamed("other", TRACK)
+        counted = of_rarer.join(heard, [TRACK, USER], "left_semi").select(*names, F.lit(1).cast("bigint").alias("common"))
+    else:
+        counted = count_in_pieces(sided, train, names)
+    totals = counted.agg(*[F.coalesce(F.sum(F.col(name) * F.col("common")), F.lit(0.0)).alias(name) for name in names])
     users = recs.where(F.col(RANK) == 2).agg(F.count(F.lit(1))).scalar()
     by_k = F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"k{k}").alias("similar")) for k in ks]))
     return totals.select(by_k).select("k", (1.0 - F.try_divide("similar", users)).alias("diversity"))
