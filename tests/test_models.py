@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracklight.metrics import rating
-from tracklight.models import als, baseline, bpr, classifiers, content, factorization, reconstruction
+from tracklight.models import als, baseline, bpr, classifiers, content, factorization, network, reconstruction
 from tracklight.operators import pruned, scoring, splits
 from tracklight.sources import io
 
@@ -303,12 +303,66 @@ def test_autoencoder_and_low_rank(spark, sides):
     assert part.agg(F.max("error")).first()[0] > 1e-3
 
 
+@pytest.mark.parametrize("loss", ["squares", "entropy"])
+def test_network_gradient_by_differences(loss):
+    rng = np.random.default_rng(4)
+    net = network.Network([5, 4, 3, 2], loss)
+    net.set_flat(net.flat() + rng.normal(size=net.flat().size) * 0.3)
+    x, y, w = rng.normal(size=(9, 5)), rng.integers(0, 2, (9, 2)).astype(float), rng.uniform(0.5, 4, 9)
+    flat = net.flat()
+    gradient, _ = net.gradient(x, y, w)
+    for i in range(flat.size):
+        sides = []
+        for sign in (1, -1):
+            moved = flat.copy()
+            moved[i] += sign * 1e-6
+            sides.append(net.set_flat(moved).gradient(x, y, w)[1])
+        assert gradient[i] == pytest.approx((sides[0] - sides[1]) / 2e-6, abs=1e-7)
+
+
+@pytest.mark.parametrize("shard_bytes", [1 << 26, 20_000])
+def test_autoencoder_learns_a_planted_rank(spark, shard_bytes):
+    """In one shard and in averaged ones: below the column mean, near the linear rebuild of the same rank."""
+    rng = np.random.default_rng(8)
+    x = 1 / (1 + np.exp(-(rng.normal(size=(800, 3)) @ rng.normal(size=(3, 12)))))
+    vectors = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "track_id int, vector array<double>").repartition(3)
+    model = reconstruction.Autoencoder(12, 8).fit(vectors, epochs=60, batch=32, rate=0.01, shard_bytes=shard_bytes)
+    error = reconstruction.reconstruction_errors(vectors, model.reconstruct(vectors)).agg(F.avg("error")).first()[0]
+    linear = reconstruction.reconstruction_errors(vectors, reconstruction.reconstruct_linear(vectors, 3)).agg(F.avg("error")).first()[0]
+    mean = ((x - x.mean(axis=0)) ** 2).mean()
+    assert len(model.losses) == 60 and model.losses[-1] < model.losses[0]
+    assert error < 0.1 * mean and error < 1.5 * linear
+
+
+@pytest.mark.parametrize("shard_bytes", [1 << 26, 60_000])
+def test_pair_network_uses_weights_and_finds_the_groups(spark, shard_bytes):
+    """Users hear tracks of their group; drawn unheard pairs stand for many."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for user in range(60):
+        for track in range(60):
+            same = user % 2 == track % 2
+            heard = same and rng.random() < 0.7
+            if heard or rng.random() < 0.25:
+                features = [float(user % 2), 1.0 - user % 2, float(track % 2), 1.0 - track % 2]
+                rows.append((user, track, int(heard), 1.0 if heard else 4.0, features))
+    pairs = spark.createDataFrame(rows, "user_id int, track_id int, label int, weight double, features array<double>").repartition(3)
+    model = classifiers.fit_pair_network(pairs, 2, epochs=40, batch=64, rate=0.01, shard_bytes=shard_bytes)
+    scored = classifiers.pair_probabilities(model, pairs).join(pairs.select("user_id", "track_id", "weight"), ["user_id", "track_id"]).toPandas()
+    share = (scored.label * scored.weight).sum() / scored.weight.sum()
+    assert (scored.prediction * scored.weight).sum() / scored.weight.sum() == pytest.approx(share, abs=0.03)
+    ranks_ = scored.prediction.rank()
+    ones = scored.label == 1
+    auc = (ranks_[ones].sum() - ones.sum() * (ones.sum() + 1) / 2) / (ones.sum() * (~ones).sum())
+    assert auc > 0.8
+
+
 def test_pair_network_scores_in_blocks_like_its_transform(spark, sides, plays):
     (_, udf), (_, tdf) = sides
     train = plays.where("user_id < 25")
     pairs = classifiers.pair_training_set(train, udf, tdf, 10)
     assert pairs.where("label = 1").count() == train.count()
-    model = classifiers.fit_pair_network(pairs, 4, iterations=5)
+    model = classifiers.fit_pair_network(pairs, 4, epochs=2)
     recs = classifiers.recommend_by_pairs(model, udf, tdf, train, 5)
     assert recs.join(train, ["user_id", "track_id"]).count() == 0
     joined = recs.join(udf.select("user_id", F.col("vector").alias("u")), "user_id").join(tdf.select("track_id", F.col("vector").alias("v")), "track_id")

@@ -375,7 +375,7 @@ def diversity_rerank_in_range(spark, folder):
 def autoencode_rec(spark, folder):
     train, test = train_test(spark, folder)
     _, vectors, width = shared.encoded(spark, folder)
-    rebuilt = reconstruction.Autoencoder(width, 12).fit(vectors, epochs=3).reconstruct(vectors)
+    rebuilt = reconstruction.Autoencoder(width).fit(vectors).reconstruct(vectors)
     return content.recommend_similar(shared.mean_profiles(spark, folder), rebuilt, train, test, 25)
 
 
@@ -469,7 +469,7 @@ def pair_training_set(spark, folder):
 @query("pair_classifier")
 def pair_classifier(spark, folder):
     _, vectors, width = shared.encoded(spark, folder)
-    model = classifiers.fit_pair_network(training_pairs(spark, folder), width, iterations=3)
+    model = classifiers.fit_pair_network(training_pairs(spark, folder), width)
     return classifiers.recommend_by_pairs(model, shared.mean_profiles(spark, folder), vectors, train_test(spark, folder)[0], 10)
 
 
