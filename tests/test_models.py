@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracklight.metrics import rating
-from tracklight.models import als, baseline, bpr, classifiers, content, factorization, network, reconstruction
+from tracklight.models import als, baseline, bpr, classifiers, content, factorization, network, reconstruction, softmax
 from tracklight.operators import pruned, scoring, splits
 from tracklight.sources import io
 
@@ -357,6 +357,38 @@ def test_pair_network_uses_weights_and_finds_the_groups(spark, shard_bytes):
     assert auc > 0.8
 
 
+def test_softmax_gradients_by_differences():
+    rng = np.random.default_rng(9)
+    x, layer, v = rng.normal(size=(6, 3)), rng.normal(size=(4, 5)), rng.normal(size=(7, 5))
+    layer[:, -1] = 0
+    user, track = np.array([0, 0, 1, 3, 3, 3, 5]), np.array([1, 4, 4, 0, 2, 6, 6])
+    gl, gv, _ = softmax.cell_gradients(x, layer, v, user, track, 7.0)
+    loss = lambda l, t: softmax.cell_gradients(x, l, t, user, track, 7.0)[2]
+    for which, gradient in ((0, gl), (1, gv)):
+        for at in np.ndindex(gradient.shape):
+            if which == 0 and at[1] == layer.shape[1] - 1:
+                assert gradient[at] == 0
+                continue
+            sides = []
+            for sign in (1, -1):
+                moved = [layer.copy(), v.copy()]
+                moved[which][at] += sign * 1e-6
+                sides.append(loss(*moved))
+            assert -gradient[at] == pytest.approx((sides[0] - sides[1]) / 2e-6, abs=1e-7)
+
+
+@pytest.mark.parametrize("rows", [None, 20])
+def test_trained_softmax_finds_the_groups(spark, plays, rows):
+    """Also where a block of tracks is a sample of them; lists have different scores and sum to less than one."""
+    profiles = spark.createDataFrame([(u, [float(u % 2), 1.0 - u % 2, 1.0]) for u in range(40)], "user_id int, vector array<double>")
+    model = softmax.fit(plays, profiles, units=8, epochs=25, rate=0.5, rows_per_block=rows)
+    assert len(model.losses) == 25 and model.losses[-1] < 0.95 * model.losses[0]
+    recs = model.recommend(profiles, plays, 5)
+    assert group_share(recs) > 0.9 and recs.join(plays, ["user_id", "track_id"]).count() == 0
+    spread = recs.groupBy("user_id").agg(F.count_distinct("prediction").alias("n"), F.sum("prediction").alias("p"))
+    assert spread.agg(F.min("n")).first()[0] > 1 and spread.agg(F.max("p")).first()[0] < 1
+
+
 def test_pair_network_scores_in_blocks_like_its_transform(spark, sides, plays):
     (_, udf), (_, tdf) = sides
     train = plays.where("user_id < 25")

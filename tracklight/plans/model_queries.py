@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tracklight.metrics import diversity, ranking, rating, report
 from tracklight.metrics.rating import rating_errors
-from tracklight.models import als, baseline, bpr, classifiers, content, factorization, reconstruction
+from tracklight.models import als, baseline, bpr, classifiers, content, factorization, reconstruction, softmax
 from tracklight.operators import features, splits
 from tracklight.operators.skew import union_all
 from tracklight.plans import shared
@@ -423,6 +423,14 @@ def softmax_rec(spark, folder):
     return lists.withColumn(PREDICTION, F.round(PREDICTION, 9))
 
 
+@query("softmax_trained_rec")
+def softmax_trained_rec(spark, folder):
+    """Lists of the network from profiles to tracks, trained on the history."""
+    train, _ = train_test(spark, folder)
+    profiles = shared.mean_profiles(spark, folder)
+    return softmax.fit(train, profiles, epochs=5).recommend(profiles, train, 25)
+
+
 def genre_labels(spark, folder) -> tuple[DataFrame, int]:
     labels = features.genre_features(catalogue(spark, folder)).select(TRACK, "idx")
     return labels, labels.agg(F.countDistinct("idx")).first()[0]
