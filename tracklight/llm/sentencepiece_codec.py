@@ -38,6 +38,8 @@ KEPT_CHUNKS, KEPT_IDS = 120_000, 1 << 20
 SHORT = 48
 #: Chunks of equal length that share an agenda.
 TOGETHER = 1 << 14
+#: Chunks that the library encodes as one text.
+ASKED = 64
 
 
 class Codec:
@@ -216,18 +218,33 @@ class Codec:
         return solved
 
     def _compare(self, chunks: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Chunks that start with a space are encoded by the library ``ASKED`` at a time, as one text whose spaces they bring along;
+        the others, and those of a text that differs, one by one."""
+        whole = np.fromiter((c[0] == SPACE and c[-1] != SPACE for c in chunks), bool, len(chunks)) if self.cut else np.zeros(len(chunks), bool)
+        ends = np.cumsum(lengths)
+        alone, together = np.flatnonzero(~whole), np.flatnonzero(whole)
+        groups = [together[i : i + ASKED] for i in range(0, len(together), ASKED)]
+        texts = ["".join([chunks[i] for i in own.tolist()])[1:].replace(SPACE, " ") for own in groups]
+        theirs, counts = flat_ids(self.library.encode(texts, num_threads=1) if texts else [])
+        mine = ids[np.repeat(whole, lengths)]
+        if not np.array_equal(theirs, mine):
+            starts = np.cumsum(counts) - counts
+            sizes = [int(lengths[own].sum()) for own in groups]
+            at = np.cumsum(sizes) - sizes
+            wrong = [i for i in range(len(groups)) if not np.array_equal(theirs[starts[i] : starts[i] + counts[i]], mine[at[i] : at[i] + sizes[i]])]
+            alone = np.concatenate([alone, *[groups[i] for i in wrong]])
+        self._compare_each([chunks[i] for i in alone.tolist()], [ids[ends[i] - lengths[i] : ends[i]].tolist() for i in alone.tolist()])
+
+    def _compare_each(self, chunks: list[str], solved: list[list[int]]) -> None:
         """The library puts a space before every text, so a chunk that starts with one is a text by itself;
         any other chunk is encoded behind a line end and loses the ids of ``' \n'``."""
         lead = len(self.library.encode("\n"))
-        alone = [c[0] == SPACE and len(c) > 1 for c in chunks]
-        texts = [c[1:].replace(SPACE, " ") if own else "\n" + c for c, own in zip(chunks, alone)]
-        theirs, counts = flat_ids([found if own else found[lead:] for found, own in zip(self.library.encode(texts, num_threads=1), alone)])
-        if not np.array_equal(counts, lengths) or not np.array_equal(theirs, ids):
-            ends, others = np.cumsum(lengths), np.cumsum(counts)
-            for i, chunk in enumerate(chunks):
-                mine, right = ids[ends[i] - lengths[i] : ends[i]].tolist(), theirs[others[i] - counts[i] : others[i]].tolist()
-                if mine != right:
-                    raise ValueError(f"agenda and library differ on {chunk[:80]!r}: {mine[:40]} / {right[:40]}")
+        own = [c[0] == SPACE and len(c) > 1 for c in chunks]
+        texts = [c[1:].replace(SPACE, " ") if text else "\n" + c for c, text in zip(chunks, own)]
+        for chunk, text, mine, found in zip(chunks, own, solved, self.library.encode(texts, num_threads=1) if texts else []):
+            found = found if text else found[lead:]
+            if mine != found:
+                raise ValueError(f"agenda and library differ on {chunk[:80]!r}: {mine[:40]} / {found[:40]}")
 
     def decode_batch(self, offsets: np.ndarray, ids: np.ndarray) -> list[str]:
         flat, ends = ids.tolist(), offsets.tolist()
