@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 
@@ -11,6 +12,11 @@ from pyspark.sql import functions as F
 
 from tracklight.runtime import BROADCAST_BYTES
 
+try:  # of the GNU C library; others give memory back by themselves
+    TRIM = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):
+    TRIM = None
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -43,8 +49,10 @@ def hinted(df: DataFrame, small: bool) -> DataFrame:
 
 
 def give_back() -> None:
-    """Hands memory that Arrow has freed back to the system, since Python workers live on between tasks."""
+    """Hands freed memory of Arrow and of the C library back to the system, since Python workers live on between tasks."""
     pa.default_memory_pool().release_unused()
+    if TRIM is not None:
+        TRIM(0)
 
 
 HELD: dict[tuple, object] = {}

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklight.llm.common import slices
+from tracklight.llm.common import give_back, slices
 
 NAMES = ["upper", "digits", "symbols", "stops", "non_ascii", "spaces", "distinct", "new", "word_length", "words", "short", "empty"]
 WIDTH = len(NAMES)
@@ -208,7 +208,7 @@ def fit(docs: DataFrame, labelled: DataFrame, max_docs: int = 3000) -> Model:
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 2 << 20):
                 own, _, counts = line_features(batch.column("text").to_pylist())
                 x = with_neighbours(own, counts).astype(np.float32)
                 begin = np.cumsum(counts) - counts
@@ -217,6 +217,7 @@ def fit(docs: DataFrame, labelled: DataFrame, max_docs: int = 3000) -> Model:
                     [batch.column("quality").cast(pa.int32()), pa.array([len(p) for p in pieces], pa.int32()), pa.array([p.tobytes() for p in pieces], pa.binary())],
                     ["quality", "counts", "x"],
                 )
+            give_back()
 
     rows = sample.select("text", "quality").mapInArrow(tasks, schema).toArrow()
     # The rows come in any order; sorted bytes make the sums, and so the model, the same in every run.
@@ -237,9 +238,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 2 << 20):
                 quality, lines, good = model.scores([t or "" for t in batch.column("text").to_pylist()])
                 found = [pa.array(quality, pa.float64()), pa.array(lines, pa.int32()), pa.array(good, pa.int32())]
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *found], [*kept, *own])
+            give_back()
 
     return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(tasks, schema)
