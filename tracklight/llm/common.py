@@ -12,11 +12,6 @@ from pyspark.sql import functions as F
 
 from tracklight.runtime import BROADCAST_BYTES
 
-try:  # of the GNU C library; others give memory back by themselves
-    TRIM = ctypes.CDLL(None).malloc_trim
-except (AttributeError, OSError):
-    TRIM = None
-
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -51,8 +46,9 @@ def hinted(df: DataFrame, small: bool) -> DataFrame:
 def give_back() -> None:
     """Hands freed memory of Arrow and of the C library back to the system, since Python workers live on between tasks."""
     pa.default_memory_pool().release_unused()
-    if TRIM is not None:
-        TRIM(0)
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
 
 
 HELD: dict[tuple, object] = {}
