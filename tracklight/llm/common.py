@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -44,25 +46,27 @@ def hinted(df: DataFrame, small: bool) -> DataFrame:
 
 
 def give_back() -> None:
-    """Hands freed memory of Arrow and of the C library back to the system, since Python workers live on between tasks."""
+    """Hands freed memory of Arrow and of the C library back to the system, since Python workers live on between tasks. What
+    earlier tasks leave behind are cycles of functions and their globals, which a collection frees."""
+    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
     if trim is not None:
         trim(0)
 
 
-HELD: dict[tuple, object] = {}
-
-
 def held(*key, make: Callable[[], object]) -> object:
-    """A table that this Python worker keeps for the tasks that follow. Workers outlive a query, so the first task that
-    asks for another table drops the one before."""
-    if key not in HELD:
-        HELD.clear()
-        gc.collect()
+    """A table that this Python worker keeps for the tasks that follow.
+
+    Functions travel with their tasks, and so do the globals of this package, so the table lies in a module of its own that
+    outlives a task. The first task that asks for another table drops the one before.
+    """
+    tables = vars(sys.modules.setdefault("tracklight_worker_tables", types.ModuleType("tracklight_worker_tables"))).setdefault("tables", {})
+    if key not in tables:
+        tables.clear()
         give_back()
-        HELD[key] = make()
-    return HELD[key]
+        tables[key] = make()
+    return tables[key]
 
 
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:

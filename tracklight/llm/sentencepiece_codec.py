@@ -34,7 +34,7 @@ from tracklight.llm.chunk_table import ChunkTable, Ids, flat_ids, joined, per_te
 from tracklight.llm.common import give_back, held, slices
 
 SPACE = "▁"
-KEPT_CHUNKS, KEPT_IDS = 120_000, 1 << 20
+KEPT_CHUNKS, KEPT_IDS = 100_000, 1 << 20
 SHORT = 48
 #: Chunks of equal length that share an agenda.
 TOGETHER = 1 << 14
@@ -61,7 +61,7 @@ class Codec:
         self.pieces = [library.id_to_piece(i) for i in range(size)]
         #: The id of a character that is no piece, and the place of a pair that makes none.
         self.no_piece, self.none = size, len(self.ids)
-        self.letters = np.full(0x110000, self.no_piece, dtype=np.int64)
+        self.letters = np.full(0x110000, self.no_piece, dtype=np.int32)
         for piece, i in self.ids.items():
             if len(piece) == 1:
                 self.letters[ord(piece)] = i
@@ -125,7 +125,7 @@ class Codec:
         make. In every turn the first of the least of each chunk is merged, and its two new pairs are looked up.
         """
         points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        symbols = self.letters[points].reshape(len(chunks), size)
+        symbols = self.letters[points].astype(np.int64).reshape(len(chunks), size)
         agenda = self._places(symbols[:, :-1], symbols[:, 1:])
         rows = np.arange(len(chunks))
         while size > 1:
