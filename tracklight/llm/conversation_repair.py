@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklight.llm.common import fits, give_back, held, hinted, slices
+from tracklight.llm.common import fits, held, hinted, slices
 from tracklight.runtime import stage
 
 SEGMENT, RULES, ROUNDS = 4096, 1024, 10
@@ -429,7 +429,6 @@ def _solved(segments: DataFrame, rules: list[tuple[int, int]]) -> DataFrame:
                         yield pa.RecordBatch.from_pylist(out, schema)
                         out.clear()
                 held.append(one)
-            give_back()
         close()
         if out:
             yield pa.RecordBatch.from_pylist(out, schema)
@@ -473,7 +472,6 @@ def _lines(rows: DataFrame, placed: DataFrame, solved: DataFrame) -> DataFrame:
                     plan = ""
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, schema.types)], schema=schema)
                 out.clear()
-            give_back()
 
     return both.mapInArrow(tasks, LINES)
 
