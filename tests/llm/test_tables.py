@@ -171,8 +171,81 @@ def test_licences_beside_sql_and_brute_force(edge_docs, spark):
                     assert len(ours[(ours.doc_id == doc_id) & (ours.unit == "line") & (ours.unit_no == number) & (ours.template == name)]) >= 1
 
 
-def test_licences_of_nothing(no_docs):
+def laid_out(name, *breaks, prefix=""):
+    """A template in its usual layout: a blank line at every break, lines of eight words."""
+    text = TEMPLATES[name]
+    for at in breaks:
+        assert at in text
+        text = text.replace(" " + at, "\x00" + at, 1)
+    blocks = [block.split(" ") for block in text.split("\x00")]
+    return f"\n{prefix}\n".join("\n".join(prefix + " ".join(b[k : k + 8]) for k in range(0, len(b), 8)) for b in blocks)
+
+
+MIT = laid_out("MIT", "The above copyright", "THE SOFTWARE IS")
+APACHE = laid_out("Apache-2.0 header", "You may obtain", "Unless required", prefix=" * ")
+GPL = laid_out("GPL-3.0 header", "This program is distributed", prefix="# ")
+PROSE = "\n".join(f"line {k} of a longer file that says little of the rights and the software" for k in range(40))
+LAYOUTS = [
+    (30, "MIT License\n\nCopyright (c) 2020 A. Author\n\n" + MIT + "\n\n" + PROSE, {"MIT"}),
+    (31, "/*\n" + APACHE + "\n */\n" + PROSE, {"Apache-2.0 header", "Apache-2.0 notice"}),
+    (32, MIT + "\none more line in the same block\n" + PROSE, {"MIT"}),
+    (33, PROSE + "\n" + GPL + "\n" + MIT + "\n" + MIT + "\n" + PROSE, {"GPL-3.0 header", "MIT"}),
+    (34, "x\nReleased under\n\nthe MIT License.\n" + PROSE, {"MIT notice"}),
+    (35, PROSE.replace("\n", " ") + "\n" + MIT.replace("\n", "\r\n"), {"MIT"}),
+    (36, "Released under the MIT License.\nfoo\nReleased under the MIT License.\nMIT", set()),
+    (36, "Released under the MIT License.\nfoo\nReleased under the MIT License.\nMIT", set()),
+    (37, MIT[: len(MIT) // 2] + "\n" + PROSE, set()),
+    (38, PROSE, set()),
+]
+
+
+def best_runs(text, name):
+    """All runs of neighbouring lines, the best first, none overlapping one taken before."""
+    import re
+
+    words = lambda t: [w for w in re.sub("[^a-z0-9]+", " ", lower_ascii(t)).split(" ") if w]
+    lines = [(no, w) for no, line in enumerate((text or "").split("\n"), 1) if (w := words(line))]
+    template, passing = words(TEMPLATES[name]), []
+    for i in range(len(lines)):
+        run = []
+        for j in range(i, len(lines)):
+            run = run + lines[j][1]
+            if len(run) > 3 * len(template):
+                break
+            if len(run) > 1 and (dice := bag_dice(run, template)) >= 0.8:
+                passing.append((-dice, lines[i][0], lines[j][0]))
+    taken = []
+    for rank, first, last in sorted(passing):
+        if all(last < a or first > b for _, a, b in taken):
+            taken.append((rank, first, last))
+    return sorted((first, last, round(-rank, 6)) for rank, first, last in taken if first < last)
+
+
+def test_licences_in_their_usual_layout_by_brute_force(spark, edge_docs):
+    docs = spark.createDataFrame([row[:2] for row in LAYOUTS], "doc_id long, text string").withColumn("words", F.lit("clash")).withColumn("t", F.lit("clash"))
+    docs = docs.unionByName(edge_docs.where("doc_id is null or doc_id not in (7, 8)").select("doc_id", "text", F.lit("").alias("words"), F.lit("").alias("t")))
+    ours = licenses.scan(docs).toPandas()
+    beside_sql(ours, checks.licenses(), documents=docs.toPandas().astype({"doc_id": "Int64"}))
+    runs = ours[ours.unit == "run"]
+    for doc_id, _, names in LAYOUTS:
+        assert names <= set(ours[ours.doc_id == doc_id].template), doc_id
+        assert set(runs[runs.doc_id == doc_id].template) <= names or not names
+    assert len(runs[(runs.doc_id == 33) & (runs.template == "MIT")]) == 2
+    expected = [(doc_id, name, *run) for doc_id, text, _ in LAYOUTS for name in TEMPLATES for run in best_runs(text, name)]
+    assert sorted((r.doc_id, r.template, r.unit_no, r.last_no, r.dice) for r in runs.itertuples()) == sorted(expected)
+    assert len(runs) >= 7
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.95])
+def test_licence_runs_at_other_thresholds(spark, threshold):
+    docs = spark.createDataFrame([row[:2] for row in LAYOUTS], "doc_id long, text string")
+    beside_sql(licenses.scan(docs, threshold=threshold).toPandas(), checks.licenses(threshold), documents=docs.toPandas())
+
+
+def test_licences_of_nothing(no_docs, edge_docs):
     assert licenses.scan(no_docs).count() == 0
+    assert licenses.scan(edge_docs, templates={"a word": "word", "none": ""}).count() == 0
+    assert licenses.scan(edge_docs, templates={}).count() == 0
 
 
 def test_licence_sizes_lose_no_match():

@@ -91,8 +91,10 @@ def licenses(threshold: float = 0.8) -> str:
     values = ", ".join("('" + name.replace("'", "''") + "', '" + text.replace("'", "''") + "')" for name, text in sorted(TEMPLATES.items()))
     normal = lambda x: f"lower(regexp_replace({x}, '[^A-Za-z0-9\\n]+', ' ', 'g'))"
     words = lambda x: f"list_filter(regexp_split_to_array({x}, '[ \\n]+'), lambda w: w <> '')"
+    ratio = f"({threshold} / (2 - {threshold}))"
+    common = lambda a, b: f"CAST(list_sum(list_transform(list_distinct({b}), lambda g: least(len(list_filter({b}, lambda x: x = g)), len(list_filter({a}, lambda x: x = g))))) AS INT)"
     return f"""
-WITH t AS (SELECT name AS template, {words(normal("body"))} AS w FROM (VALUES {values}) v(name, body)),
+WITH RECURSIVE t AS (SELECT name AS template, {words(normal("body"))} AS w FROM (VALUES {values}) v(name, body)),
 tb AS (SELECT template, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] AS bag FROM t WHERE len(w) > 1),
 d AS (SELECT doc_id, {normal("coalesce(text, '')")} AS body FROM documents),
 parts AS (SELECT doc_id, regexp_split_to_array(body, '\\n *\\n[ \\n]*') AS blocks, string_split(body, chr(10)) AS lines, body FROM d),
@@ -107,12 +109,40 @@ pairs AS (
   SELECT doc_id, unit, unit_no, template, ub.bag AS a, tb.bag AS b FROM ub JOIN tb
   ON len(ub.bag) >= len(tb.bag) * {threshold} / (2 - {threshold}) - 1e-9 AND len(ub.bag) <= len(tb.bag) / ({threshold} / (2 - {threshold})) + 1e-9 AND list_has_any(ub.bag, tb.bag)
 ),
-scored AS (SELECT *, CAST(list_sum(list_transform(list_distinct(b), lambda g: least(len(list_filter(b, lambda x: x = g)), len(list_filter(a, lambda x: x = g))))) AS INT) AS common FROM pairs)
-SELECT doc_id, unit, CAST(unit_no AS INT) AS unit_no, template, common, CAST(len(a) AS INT) AS unit_bigrams, CAST(len(b) AS INT) AS template_bigrams,
+scored AS (SELECT *, {common("a", "b")} AS common FROM pairs),
+numbered AS (SELECT row_number() OVER () AS row, doc_id, body, {words("body")} AS w FROM d WHERE contains(body, chr(10))),
+fitting AS (
+  SELECT row, doc_id, body, template, bag, len(bag) AS size FROM (SELECT *, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] AS held FROM numbered) JOIN tb
+  ON len(list_intersect(held, bag)) + len(bag) - len(list_distinct(bag)) >= len(bag) * {ratio} - 1e-9
+),
+lined AS (SELECT row, template, {words("part")} AS w, no FROM (
+  SELECT row, template, unnest(string_split(body, chr(10))) AS part, unnest(range(1, len(string_split(body, chr(10))) + 1)) AS no FROM fitting)),
+placed AS (SELECT *, row_number() OVER g AS pos, sum(len(w)) OVER (g ROWS UNBOUNDED PRECEDING) AS through FROM lined WHERE len(w) > 0 WINDOW g AS (PARTITION BY row, template ORDER BY no)),
+spans AS (
+  SELECT row, doc_id, template, bag, size, s.pos AS p, e.pos AS q, s.no AS first, e.no AS last, CAST(e.through - s.through + len(s.w) - 1 AS INT) AS n
+  FROM fitting JOIN placed s USING (row, template) JOIN placed e USING (row, template)
+  WHERE e.pos >= s.pos AND e.through - s.through + len(s.w) - 1 BETWEEN size * {ratio} - 1e-9 AND size / {ratio} + 1e-9
+),
+spelled AS (
+  SELECT row, doc_id, template, any_value(bag) AS b, any_value(size) AS size, first, last, any_value(n) AS n, flatten(list(l.w ORDER BY l.pos)) AS w
+  FROM spans JOIN placed l USING (row, template) WHERE l.pos BETWEEN p AND q GROUP BY row, doc_id, template, first, last
+),
+runs AS (SELECT *, {common("a", "b")} AS common FROM (SELECT *, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] AS a FROM spelled)),
+picks AS (
+  SELECT row, doc_id, template, size, list({{'rank': -2 * common / (n + size), 'first': first, 'last': last, 'n': n, 'common': common}}
+    ORDER BY -2 * common / (n + size), first, last) AS waiting FROM runs WHERE 2 * common >= {threshold} * (n + size) GROUP BY ALL
+  UNION ALL
+  SELECT row, doc_id, template, size, list_filter(waiting, lambda r: r.first > waiting[1].last OR r.last < waiting[1].first) FROM picks WHERE len(waiting) > 0
+)
+SELECT doc_id, unit, CAST(unit_no AS INT) AS unit_no, CAST(unit_no AS INT) AS last_no, template, common, CAST(len(a) AS INT) AS unit_bigrams, CAST(len(b) AS INT) AS template_bigrams,
   round(2 * common / (len(a) + len(b)), 6) AS dice
 FROM scored WHERE 2 * common >= {threshold} * (len(a) + len(b))
+UNION ALL
+SELECT doc_id, 'run', CAST(waiting[1].first AS INT), CAST(waiting[1].last AS INT), template, waiting[1].common, waiting[1].n, CAST(size AS INT), round(-waiting[1].rank, 6)
+FROM picks WHERE len(waiting) > 0 AND waiting[1].first < waiting[1].last
 """
 
+
 #: What reading the written archives must give: payloads by length and digest, the largest page_id of equal payloads of 1,000 bytes or more.
 WARC = """
 WITH payloads AS (
