@@ -112,11 +112,16 @@ def runs(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
         return lower.where("false").selectExpr(
             "doc_id", "'run' unit", "0 unit_no", "0 last_no", "'' template", "0 common", "0 unit_bigrams", "0 template_bigrams", "0D dice"
         )
-    split = lower.select("doc_id", "body", F.split("body", "[^a-z0-9]+").alias("words"))
-    present = F.array_intersect("words", F.array(*map(F.lit, vocabulary)))
-    split = split.select("doc_id", "body", "words", present.alias("present")).where((F.size("present") >= least) & F.col("body").contains("\n"))
-    fitting = F.filter(known, lambda t: F.size(F.array_intersect("present", t["vocabulary"])) >= t["asked"])
-    pairs = split.select("doc_id", "body", "words", F.explode(fitting).alias("t"))
+
+    def fitting(words: Column) -> Column:
+        """The templates whose words the document holds, each with the document's words."""
+        asked = lambda present: F.filter(known, lambda t: F.size(F.array_intersect(present, t["vocabulary"])) >= t["asked"])
+        chosen = lambda present: F.when(F.size(present) >= least, asked(present))
+        return F.transform(let(F.array_intersect(words, F.array(*map(F.lit, vocabulary))), chosen), lambda t: F.struct(t.alias("t"), words.alias("words")))
+
+    # Each text is split once: the lambdas hold their values, and an outer explode is not preceded by a filter on its own input.
+    held = F.when(F.col("body").contains("\n"), let(F.split("body", "[^a-z0-9]+"), fitting))
+    pairs = lower.select("doc_id", "body", F.explode_outer(held).alias("p")).where("p is not null").select("doc_id", "body", "p.words", "p.t")
     shared = F.size(F.array_intersect(neighbours(F.col("words")), F.col("t.grams")))
     pairs = pairs.where(shared + F.col("t.size") - F.size("t.grams") >= F.col("t.low"))
 
@@ -159,14 +164,15 @@ def runs(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
 
     starts = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), shares)
     passing = lined.select("doc_id", "t", F.flatten(F.transform(starts, from_line)).alias("passing"))
-    passing = passing.where(F.exists("passing", lambda r: r["first"] < r["last"]))
     ranked = F.array_sort(
         F.transform("passing", lambda r: F.struct((-2 * r["common"] / (r["n"] + size)).alias("rank"), r["first"].alias("first"), r["last"].alias("last"), r["n"].alias("n"), r["common"].alias("common")))
     )
     meets = lambda a, b: (a["first"] <= b["last"]) & (b["first"] <= a["last"])
     none = F.array().cast("array<struct<rank:double,first:int,last:int,n:int,common:int>>")
     taken = F.aggregate(ranked, none, lambda acc, r: F.when(F.exists(acc, lambda a: meets(a, r)), acc).otherwise(F.concat(acc, F.array(r))))
-    found = passing.select("doc_id", "t", F.explode(F.filter(taken, lambda r: r["first"] < r["last"])).alias("r"))
+    several = lambda r: r["first"] < r["last"]
+    chosen = F.when(F.exists("passing", several), F.filter(taken, several))
+    found = passing.select("doc_id", "t", F.explode_outer(chosen).alias("r")).where("r is not null")
     return found.select(
         "doc_id", F.lit("run").alias("unit"), F.col("r.first").alias("unit_no"), F.col("r.last").alias("last_no"), F.col("t.template").alias("template"),
         F.col("r.common").alias("common"), F.col("r.n").alias("unit_bigrams"), size.alias("template_bigrams"), F.round(-F.col("r.rank"), 6).alias("dice"),
