@@ -106,7 +106,7 @@ def test_tool_calls_of_hand_made_messages(spark):
     x, y = rows[1, 1, 0], rows[1, 1, 1]
     assert (x["status"], x["result_turn"], x["results"], x["errors"]) == ("linked", 2, 2, [])
     assert x["json"] == '{"arguments":{"a":1,"b":2.5},"id":"x","name":"add","result":"3é"}'
-    assert (y["status"], y["depends_on"], y["level"]) == ("unanswered", ["x"], 0)
+    assert (y["status"], y["depends_on"], y["level"]) == ("unanswered", ["x"], 1)
     assert rows[1, 3, 0]["status"] == "orphan" and rows[1, 0, 0]["json"] == '{"content":"hi \\"you\\"\\n","role":"system"}'
     assert [rows[2, 1, k]["level"] for k in (2, 1, 0)] == [0, 1, 2]  # c before b before a
     assert rows[2, 1, 4]["errors"] == ["cycle of references"] and rows[2, 1, 4]["level"] is None
@@ -143,8 +143,32 @@ def test_topological_order_of_random_graphs(spark):
         calls.append((conv, 0, "assistant", '{"tool_calls":[' + ",".join(listed) + "]}"))
     place = {(r["conv_id"], r["call_id"]): (r["level"], r["turn"], r["place"], r["depends_on"]) for r in linked(spark, calls).collect()}
     assert len(place) == 72
-    for (conv, _), (*at, needs) in place.items():
-        assert all(tuple(place[conv, d][:3]) < tuple(at) for d in needs)
+    for (conv, _), (level, _, _, needs) in place.items():
+        assert level == max((place[conv, d][0] + 1 for d in needs), default=0)
+
+
+def say(call, *needs):
+    return f'{{"id":"{call}","name":"say","arguments":{{"text":"x"' + "".join(f',"k{j}":"${d}"' for j, d in enumerate(needs)) + "}}"
+
+
+def test_levels_of_chains_and_cycles(spark):
+    """A chain that points backwards, one that points forward, branches, calls above cycles, references to nothing."""
+    chain = [(1, 2 * k, "assistant", '{"tool_calls":[' + (say(f"c{2 * k}", f"c{2 * k - 2}") if k else say("c0")) + "]}") for k in range(70)]
+    ahead = [(2, k, "assistant", '{"tool_calls":[' + (say(f"c{k}", f"c{k + 1}") if k < 9 else say("c9", "gone")) + "]}") for k in range(10)]
+    graph = [("a",), ("b", "a"), ("c", "b"), ("d", "a", "c"), ("e", "d"), ("f", "e", "b"), ("g", "f"), ("p", "q"), ("q", "p"), ("r", "p"), ("s", "r", "a"), ("t", "s"), ("u", "v", "a"), ("v", "u"), ("w", "w")]
+    mixed = [(3, k, "assistant", '{"tool_calls":[' + say(*row) + "]}") for k, row in enumerate(graph)]
+    out = {(r["conv_id"], r["call_id"]): r for r in linked(spark, chain + ahead + mixed).collect()}
+    assert [out[1, f"c{2 * k}"]["level"] for k in range(70)] == list(range(70))
+    assert [out[2, f"c{k}"]["level"] for k in range(10)] == list(range(9, -1, -1))
+    assert {c: out[3, c]["level"] for c in "abcdefg"} == {"a": 0, "b": 1, "c": 2, "d": 3, "e": 4, "f": 5, "g": 6}
+    for c in "pqrstuvw":
+        assert out[3, c]["level"] is None and "cycle of references" in out[3, c]["errors"]
+    assert out[2, "c9"]["errors"][-1:] == ["unknown reference $gone"]
+
+
+def test_levels_without_broadcasts(spark, monkeypatch):
+    monkeypatch.setattr(tool_calls, "BROADCAST_BYTES", 0)
+    test_levels_of_chains_and_cycles(spark)
 
 
 def bag_dice(a, b):

@@ -70,13 +70,15 @@ MIXING = mixing(0.995, 4.0, 1.0)
 
 TOOL_CALLS = """
 WITH u AS (SELECT conv_id, turn, coalesce(text, '') AS text FROM conversations WHERE role = 'user'),
-r AS (SELECT conv_id, turn - 1 AS call_turn, turn, coalesce(text, '') AS text FROM conversations WHERE role = 'assistant')
+r AS (SELECT conv_id, turn - 1 AS call_turn, turn, coalesce(text, '') AS text FROM conversations WHERE role = 'assistant'),
+chains AS (SELECT conv_id, turn, turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS chain FROM u),
+depths AS (SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id, turn % 2, chain ORDER BY turn) - 1 AS INT) AS level FROM chains)
 SELECT u.conv_id, u.turn, 'call' AS kind, 'c' || u.turn AS call_id, if(r.turn IS NULL, 'unanswered', 'linked') AS status,
   concat_ws('; ', if(length(u.text) BETWEEN 1 AND 300, NULL, 'query is out of range'), if(u.turn >= 2 AND b.turn IS NULL, 'unknown reference $c' || (u.turn - 2), NULL)) AS errors,
-  if(u.turn >= 2, 'c' || (u.turn - 2), '') AS depends_on, 0 AS level, coalesce(r.turn, -1) AS result_turn, if(r.turn IS NULL, 0, 1)::BIGINT AS results,
+  if(u.turn >= 2, 'c' || (u.turn - 2), '') AS depends_on, l.level AS level, coalesce(r.turn, -1) AS result_turn, if(r.turn IS NULL, 0, 1)::BIGINT AS results,
   '{"arguments":{' || if(u.turn >= 2, '"after":"$c' || (u.turn - 2) || '",', '') || '"query":' || to_json(u.text) || ',"turn":' || u.turn || '},"id":"c' || u.turn
     || '","name":"answer","result":' || coalesce(CAST(to_json(r.text) AS VARCHAR), 'null') || '}' AS json
-FROM u LEFT JOIN r ON u.conv_id = r.conv_id AND u.turn = r.call_turn LEFT JOIN u b ON u.conv_id = b.conv_id AND u.turn - 2 = b.turn
+FROM u LEFT JOIN r ON u.conv_id = r.conv_id AND u.turn = r.call_turn LEFT JOIN u b ON u.conv_id = b.conv_id AND u.turn - 2 = b.turn JOIN depths l ON u.conv_id = l.conv_id AND u.turn = l.turn
 UNION ALL
 SELECT r.conv_id, r.turn, 'result', 'c' || r.call_turn, 'orphan', '', '', 0, r.turn, 1, '{"content":' || to_json(r.text) || ',"role":"tool"}'
 FROM r LEFT JOIN u ON u.conv_id = r.conv_id AND u.turn = r.call_turn WHERE u.turn IS NULL

@@ -8,10 +8,11 @@ Input are messages (conv_id, turn, role, text). An assistant message whose text
   counts, the others are listed as ``duplicate``; of several results the earliest is linked and ``results``
   counts them. Both are found by aggregates that combine inside tasks, so a long conversation is never
   gathered: it spreads over its identifiers.
-* An argument string ``$id`` refers to an earlier call of the conversation. (level, turn, place) is a
-  topological order: where all references point backwards the level is 0 and (turn, place) suffices; only
-  conversations with a forward reference are peeled in rounds (a call whose references are all placed gets the
-  next level). Calls on a cycle keep a null level and an error.
+* An argument string ``$id`` refers to another call of the conversation. The level of a call is the length of the
+  longest chain of references below it, 0 without any, so (level, turn, place) is a topological order. Calls with
+  one reference point to the call below them and doubling such pointers ends at a call with none or several in as
+  many rounds as the logarithm of the chain; only calls with several references are peeled, one round for each of
+  them on the longest chain. Calls on or above a cycle keep a null level and an error.
 * Arguments are checked against rules (tool, argument, type, required, least, most): presence, type, length of
   strings or range of numbers, unexpected names, unknown tools and references.
 * Canonical JSON has sorted keys and no blanks.
@@ -22,11 +23,13 @@ errors, not failures; rows without a conv_id are listed and never linked. Empty
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklight.llm.common import fits, hinted, text_of
-from tracklight.runtime import stage
+from tracklight.runtime import BROADCAST_BYTES, Relay, stage
 
 CALLS = "tool_calls array<struct<id:string,name:string,arguments:string>>"
 RESULT = "tool_call_id string, content string"
@@ -91,21 +94,68 @@ def argument_errors(rules: DataFrame) -> Column:
     )
 
 
-def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """conv_id, call_id, level by peeling: rounds as many as the longest chain; calls on or behind a cycle get no row.
+def anchors(single: DataFrame) -> DataFrame:
+    """conv_id, call_id, anchor, steps: where the chain of single references from a call ends and its length.
 
-    ``nodes``: distinct (conv_id, call_id); ``edges``: (conv_id, call_id, dep) between them.
+    ``single`` (conv_id, call_id, dep) has one row per call. Pointers double in every round, so chains of n calls
+    take log2(n) rounds; a pointer that still moves after more steps than there are calls runs in a cycle and is
+    left out.
+    """
+    versions = Relay(single.sparkSession, "anchors")
+    heads = single.select("conv_id", F.col("call_id").alias("anchor"), F.lit(True).alias("moves"))
+    state = single.select("conv_id", "call_id", F.col("dep").alias("anchor"), F.lit(1).cast("long").alias("steps"))
+    state = versions.write(state.join(heads, ["conv_id", "anchor"], "left").withColumn("moves", F.coalesce("moves", F.lit(False))))
+    calls, reach = state.count(), 1
+    while reach <= calls and not state.where("moves").isEmpty():
+        ahead = state.select("conv_id", F.col("call_id").alias("anchor"), F.col("anchor").alias("next"), F.col("steps").alias("more"), F.col("moves").alias("still"))
+        moved = state.where("moves").join(hinted(ahead, calls * 256 <= BROADCAST_BYTES), ["conv_id", "anchor"])
+        moved = moved.select("conv_id", "call_id", F.col("next").alias("anchor"), (F.col("steps") + F.col("more")).alias("steps"), F.col("still").alias("moves"))
+        state = versions.write(state.where("not moves").unionByName(moved))
+        reach *= 2
+    return state.where("not moves").drop("moves")
+
+
+def levels(edges: DataFrame) -> DataFrame:
+    """conv_id, call_id, level of the calls that have references; null on or above a cycle.
+
+    ``edges``: distinct (conv_id, call_id, dep). Calls that only occur as ``dep`` have level 0.
     """
-    key, done, left, edges = ["conv_id", "call_id"], None, stage(nodes, "peel-nodes"), stage(edges, "peel-edges")
-    level = 0
+    key = ["conv_id", "call_id"]
+    edges = stage(edges, "edges")
+    counted = edges.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("dep").alias("dep"))
+    counted = stage(counted, "counted")
+    single, several = counted.where("n = 1").select(*key, "dep"), counted.where("n > 1").select(*key)
+    placed = stage(anchors(stage(single, "single")), "placed")
+    if several.isEmpty():
+        return counted.select(*key).join(placed.select(*key, F.col("steps").cast("int").alias("level")), key, "left")
+
+    # References of the calls with several ones, drawn together to where their chains end.
+    ends = placed.select("conv_id", F.col("call_id").alias("dep"), "anchor", "steps", F.lit(True).alias("found"))
+    alone = single.select("conv_id", F.col("call_id").alias("dep"), F.lit(True).alias("is_single"))
+    drawn = edges.join(several, key, "left_semi").join(ends, ["conv_id", "dep"], "left").join(alone, ["conv_id", "dep"], "left")
+    lost = drawn.where("is_single and found is null").select(*key).distinct()  # above a cycle of single references
+    drawn = drawn.select(*key, F.coalesce("anchor", "dep").alias("anchor"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps"))
+    drawn = stage(drawn.groupBy(*key, "anchor").agg(F.max("steps").alias("steps")), "drawn")
+    heads = several.select("conv_id", F.col("call_id").alias("anchor"))
+    waiting = stage(drawn.join(heads, ["conv_id", "anchor"], "left_semi"), "waiting")
+    reached = drawn.join(heads, ["conv_id", "anchor"], "left_anti").select(*key, F.col("steps").alias("level"))
+    left = stage(several.join(lost, key, "left_anti"), "left")
+    reached, done = stage(reached, "reached"), []
     while True:
-        ready = stage(left.join(edges, key, "left_anti").withColumn("level", F.lit(level)), "peel-ready")
+        ready = left.join(waiting, key, "left_anti").join(reached, key).groupBy(*key).agg(F.max("level").alias("level"))
+        ready = stage(ready, "ready")
         if ready.isEmpty():
-            return ready if done is None else done
-        done = ready if done is None else stage(done.unionByName(ready), "peel-done")
-        left = stage(left.join(ready, key, "left_anti"), "peel-nodes")
-        edges = stage(edges.join(ready.select("conv_id", F.col("call_id").alias("dep")), ["conv_id", "dep"], "left_anti"), "peel-edges")
-        level += 1
+            break
+        done.append(ready)
+        below = ready.select("conv_id", F.col("call_id").alias("anchor"), F.col("level").alias("below"))
+        reached = stage(reached.unionByName(waiting.join(below, ["conv_id", "anchor"]).select(*key, (F.col("below") + F.col("steps")).alias("level"))), "reached")
+        left = stage(left.join(ready, key, "left_anti"), "left")
+        waiting = stage(waiting.join(below, ["conv_id", "anchor"], "left_anti"), "waiting")
+    peeled = stage(reduce(DataFrame.unionByName, done), "peeled") if done else left.where("false").withColumn("level", F.lit(0).cast("long"))
+    base = peeled.select("conv_id", F.col("call_id").alias("anchor"), F.col("level").alias("below"))
+    chained = placed.join(base, ["conv_id", "anchor"], "left").join(heads.withColumn("peels", F.lit(True)), ["conv_id", "anchor"], "left")
+    chained = chained.select(*key, F.when(F.col("peels"), F.col("below") + F.col("steps")).otherwise(F.col("steps")).alias("level"))
+    return counted.select(*key).join(chained.unionByName(peeled).select(*key, F.col("level").cast("int").alias("level")), key, "left")
 
 
 def link(messages: DataFrame, rules: DataFrame) -> DataFrame:
@@ -137,22 +187,18 @@ def link(messages: DataFrame, rules: DataFrame) -> DataFrame:
         "checked-calls",
     )
 
-    # References: those that exist, those that point forward.
+    # References: those that exist order the calls, the others are errors.
     edges = checked.where(F.size("depends_on") > 0).select("conv_id", "call_id", F.struct("turn", "place").alias("at"), F.explode(F.array_distinct("depends_on")).alias("dep"))
     places = first.select("conv_id", F.col("call_id").alias("dep"), "first_at")
     edges = stage(edges.join(places, ["conv_id", "dep"], "left"), "references")
     unknown = edges.where("first_at is null").groupBy("conv_id", "call_id", "at").agg(F.array_sort(F.collect_set(F.concat(F.lit("unknown reference $"), "dep"))).alias("unknown"))
-    forward = edges.where("first_at >= at").select("conv_id").distinct()
+    known = edges.where("first_at is not null and call_id is not null").select(*key, "dep").distinct()
     peeled = None
-    if not forward.isEmpty():
-        forward = stage(forward, "forward")
-        small = fits(forward, 64)
-        among = first.select(*key).join(hinted(forward, small), "conv_id", "left_semi")
-        known = edges.where("first_at is not null").select(*key, "dep").distinct().join(hinted(forward, small), "conv_id", "left_semi")
-        peeled = levels(among, known).join(among, key, "right").select(*key, F.coalesce("level", F.lit(-1)).alias("peeled"))
+    if not known.isEmpty():
+        peeled = stage(levels(known).select(*key, F.coalesce("level", F.lit(-1)).alias("peeled")), "levels")
 
     out = checked.withColumn("at", F.struct("turn", "place")).join(unknown, [*key, "at"], "left").join(answers, key, "left")
-    out = out.withColumn("peeled", F.lit(None).cast("int")) if peeled is None else out.join(peeled, key, "left")
+    out = out.withColumn("peeled", F.lit(None).cast("int")) if peeled is None else out.join(hinted(peeled, fits(peeled, 256)), key, "left")
     duplicate = F.col("call_id").isNotNull() & ~F.col("counts")
     linked = ~duplicate & F.col("results").isNotNull()
     nothing = F.array().cast("array<string>")
