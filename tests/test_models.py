@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracklight.metrics import rating
-from tracklight.models import als, baseline, bpr, classifiers, content, factorization, network, reconstruction, softmax
+from tracklight.models import als, baseline, bpr, cells, classifiers, content, factorization, network, reconstruction, softmax
 from tracklight.operators import pruned, scoring, splits
 from tracklight.sources import io
 
@@ -157,7 +157,7 @@ def test_models_find_the_planted_groups(spark, plays):
     assert group_share(recs) > max(0.8, random_share)
     assert recs.join(plays, ["user_id", "track_id"]).count() == 0
     binary = splits.add_negatives(plays.withColumn("playcount", F.lit(1).cast("bigint")), 20)
-    users, tracks = factorization.fit_nonnegative(binary, 4, 10)
+    users, tracks = cells.fit_nonnegative(factorization.as_ratings(binary), 4, 10)
     assert tracks.agg(F.min(F.array_min("vector"))).first()[0] >= 0
     assert group_share(als.recommend_factors(users, tracks, plays, 5)) > 0.8
 
@@ -243,6 +243,60 @@ def test_explicit_factorization_rebuilds_the_toy(spark, toy):
     assert rating.rating_errors(scored, "rating").first()["rmse"] < 0.2
 
 
+def observed(ratings):
+    """Ratings by user and track, and start factors as dictionaries."""
+    users, tracks = factorization.start_factors(ratings, 3)
+    cells_ = sorted((r["user_id"], r["track_id"], r["rating"]) for r in ratings.collect())
+    return cells_, {r[0]: np.array(r[1]) for r in users.collect()}, {r[0]: np.array(r[1]) for r in tracks.collect()}
+
+
+@pytest.mark.parametrize("rows", [None, 3])
+def test_multiplicative_updates_by_loops(toy, rows):
+    from collections import defaultdict
+
+    rated, u, v = observed(toy)
+    losses = [cells.penalised_error(toy, *factorization.start_factors(toy, 3), 0.06)]
+    for epoch in (1, 2, 3):
+        for own, other, at, to in ((u, v, 0, 1), (v, u, 1, 0)):
+            up, down = defaultdict(lambda: np.zeros(3)), defaultdict(lambda: np.zeros(3))
+            for row in rated:
+                x, y = own[row[at]], other[row[to]]
+                up[row[at]] += row[2] * y
+                down[row[at]] += x @ y * y + 0.06 * x
+            for key, x in list(own.items()):
+                own[key] = x * up[key] / (down[key] + 1e-9)
+        ours = cells.fit_nonnegative(toy, 3, epoch, rows=rows)
+        for side, expected in zip(ours, (u, v)):
+            found = {r[0]: np.array(r[1]) for r in side.collect()}
+            assert found.keys() == expected.keys() and all((found[k] >= 0).all() and np.allclose(found[k], expected[k]) for k in found)
+        losses.append(cells.penalised_error(toy, *ours, 0.06))
+    assert losses == sorted(losses, reverse=True)
+
+
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_stochastic_steps_equal_a_loop_over_ratings(spark, toy, blocks):
+    rated, u, v = observed(toy)
+    keyed = toy.select("user_id", "track_id", scoring.block_of("user_id", blocks).alias("a"), scoring.block_of("track_id", blocks).alias("b"))
+    block = {(r["user_id"], r["track_id"]): ((r["b"] - r["a"]) % blocks, r["a"]) for r in keyed.collect()}
+    for _ in range(2):
+        for i, j, r in sorted(rated, key=lambda row: (*block[row[:2]], *row[:2])):
+            error = r - u[i] @ v[j]
+            u[i] = u[i] + 0.01 * (2 * error * v[j] - 0.04 * u[i])
+            v[j] = v[j] + 0.01 * (2 * error * u[i] - 0.04 * v[j])
+    for side, expected in zip(cells.fit_stochastic(toy, 3, 2, rate=0.01, blocks=blocks), (u, v)):
+        found = {r[0]: np.array(r[1]) for r in side.collect()}
+        assert found.keys() == expected.keys() and all(np.allclose(found[k], expected[k]) for k in found)
+
+
+def test_cell_factorizations_of_nothing_and_block_numbers(spark, toy, monkeypatch):
+    none = toy.where("false")
+    for users, tracks in (cells.fit_nonnegative(none, 3, 1), cells.fit_stochastic(none, 3, 1)):
+        assert users.count() == tracks.count() == 0
+    assert cells.blocks_of(none, 3) == 1 and cells.blocks_of(toy, 3) == 1 and cells.blocks_of(toy, 3, rows=4) == 3
+    monkeypatch.setattr(cells, "CELL_RATINGS", 2)
+    assert cells.blocks_of(toy, 3) == int(np.ceil(np.sqrt(toy.count() / 2)))
+
+
 def test_gradient_steps_lower_the_loss(spark, toy):
     users, tracks = factorization.start_factors(toy, 3)
     losses = []

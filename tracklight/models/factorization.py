@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from tracklight.functions.transforms import clip
 from tracklight.functions.vectors import dot, dot_of, map_of, random_vector, sum_of
-from tracklight.models import als
 from tracklight.models.solver import gram, solve_rows
 from tracklight.operators.scoring import best_unseen, block_rows, grid_partitions, list_column, matrix
 from tracklight.operators.skew import hot_keys
@@ -217,15 +216,3 @@ def weighted_loss(
     everywhere = float((gu * gv).sum())
     ridge = reg / 2 * (tracks.count() * np.trace(gu) + users.count() * np.trace(gv))
     return float(observed["error"] + missing * (everywhere - observed["squares"]) + ridge)
-
-
-# --- non-negative factorization ---------------------------------------------------------------
-
-
-def fit_nonnegative(
-    train: DataFrame, width: int = 10, iterations: int = 10, reg: float = 0.06, seed: int = 42
-) -> tuple[DataFrame, DataFrame]:
-    """User and track factors of the non-negative explicit factorization of the play counts."""
-    return als.fit_factors(
-        train, seed, rank=width, maxIter=iterations, regParam=reg, implicitPrefs=False, nonnegative=True
-    )

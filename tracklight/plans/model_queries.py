@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tracklight.metrics import diversity, ranking, rating, report
 from tracklight.metrics.rating import rating_errors
-from tracklight.models import als, baseline, bpr, classifiers, content, factorization, reconstruction, softmax
+from tracklight.models import als, baseline, bpr, cells, classifiers, content, factorization, reconstruction, softmax
 from tracklight.operators import features, splits
 from tracklight.operators.skew import union_all
 from tracklight.plans import shared
@@ -150,7 +150,31 @@ def flat_factors(users: DataFrame, tracks: DataFrame) -> DataFrame:
 @query("nmf")
 def nmf(spark, folder):
     train, _ = train_test(spark, folder)
-    return als.recommend_factors(*factorization.fit_nonnegative(train, 8, 3), train, shared.TOP)
+    users, tracks = cells.fit_nonnegative(factorization.as_ratings(train), 8, 3)
+    return als.recommend_factors(users, tracks, train, shared.TOP)
+
+
+MULTIPLIED = """SELECT {key}, list(x ORDER BY f) AS vec FROM (
+    SELECT t.{key}, f, any_value({own}.vec[f + 1]) * sum(t.playcount * {other}.vec[f + 1])
+      / (sum(list_dot_product(u.vec, i.vec) * {other}.vec[f + 1]) + 0.06 * count(*) * any_value({own}.vec[f + 1]) + 1e-9) AS x
+    FROM train t JOIN {users} u ON u.user_id = t.user_id JOIN ifac i ON i.track_id = t.track_id CROSS JOIN (SELECT unnest(range(8)) AS f) GROUP BY 1, 2) GROUP BY 1"""
+
+
+@query(
+    "nmf_step",
+    sql(
+        """SELECT 'user' AS side, user_id AS id, f::INTEGER AS factor, round(vec[f + 1], 6) AS value FROM uu CROSS JOIN (SELECT unnest(range(8)) AS f)
+           UNION ALL SELECT 'track', track_id, f::INTEGER, round(vec[f + 1], 6) FROM ii CROSS JOIN (SELECT unnest(range(8)) AS f)""",
+        "ufac",
+        "ifac",
+        uu=MULTIPLIED.format(key="user_id", own="u", other="i", users="ufac"),
+        ii=MULTIPLIED.format(key="track_id", own="i", other="u", users="uu"),
+    ),
+)
+def nmf_step(spark, folder):
+    """All factors after one multiplicative update of users and of tracks."""
+    ratings = factorization.as_ratings(train_test(spark, folder)[0])
+    return flat_factors(*cells.fit_nonnegative(ratings, 8, 1, start=shared.start_factors(spark, folder)))
 
 
 @query("nmf_negatives")
@@ -160,7 +184,7 @@ def nmf_negatives(spark, folder):
     binary = train.withColumn(PLAYS, F.lit(1).cast("bigint"))
     rows = []
     for n in (10, 25, 50):
-        sides = factorization.fit_nonnegative(stage(splits.add_negatives(binary, n), "negatives"), 4, 2)
+        sides = cells.fit_nonnegative(factorization.as_ratings(splits.add_negatives(binary, n)), 4, 2)
         metrics = ranking.ranking_at_k(als.recommend_factors(*sides, train, shared.TOP), test, report.KS)
         rows.append(metrics.withColumn("negatives", F.lit(n)))
     return union_all(rows)
@@ -169,8 +193,8 @@ def nmf_negatives(spark, folder):
 @query("mf_sgd")
 def mf_sgd(spark, folder):
     ratings = factorization.as_ratings(train_test(spark, folder)[0])
-    model = factorization.fit_explicit(ratings, 3, 3)
-    return model.transform(ratings).agg(F.sqrt(F.avg((F.col("rating") - F.col(PREDICTION)) ** 2)).alias("rmse"))
+    fitted = factorization.predict(ratings, *cells.fit_stochastic(ratings, 3, 3))
+    return fitted.agg(F.sqrt(F.avg((F.col("rating") - F.col(PREDICTION)) ** 2)).alias("rmse"))
 
 
 STEP = """SELECT {key}, f AS factor, round(any_value({own}.vec[f + 1]) + 0.001 * (sum(2 * e * {other}.vec[f + 1]) - 0.04 * count(*) * any_value({own}.vec[f + 1])), 6) AS value
@@ -316,7 +340,7 @@ def experiment_metrics(spark, folder):
     """Non-negative factorization after a ratio split: rating errors and list metrics averaged per user."""
     split = splits.split_ratio(history(spark, folder).select(USER, TRACK, PLAYS))
     train, test = (split.where(F.col("split") == s).select(USER, TRACK, PLAYS) for s in ("train", "test"))
-    users, tracks = factorization.fit_nonnegative(train, 8, 3)
+    users, tracks = cells.fit_nonnegative(factorization.as_ratings(train), 8, 3)
     scored = factorization.predict(test, users, tracks)
     gap = F.col(PLAYS) - F.col(PREDICTION)
     errors = scored.groupBy(USER).agg(F.avg(F.abs(gap)).alias("mae"), F.sqrt(F.avg(gap * gap)).alias("rmse"))
