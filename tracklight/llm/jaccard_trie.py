@@ -7,7 +7,8 @@ last, by their count, the others first, by their hash (the order only steers the
 1. Sets that reach the threshold share one of their first n - ceil(t * n) + 1 n-grams. These are the rows
    (token, class, size, place) that a shuffle brings together.
 2. Star round: in the group of a token every class is compared with the group's leader, the class that has the
-   token at the earliest place. Work is linear in the group, whatever its size.
+   token at the earliest place. Work is linear in the group, whatever its size. Pairs whose sizes, places or
+   parities (see below) exclude the threshold are dropped before any set is sent.
 3. Rest round: links so far give components. Only classes outside their leader's component meet the others
    of the group, on (token, size band), and only across components. Pairs whose positions, sizes, parities or number of
    common first n-grams exclude the threshold are dropped; nothing is capped. Parities are those of the n-grams in each of
@@ -368,8 +369,21 @@ def jaccard_links(docs: DataFrame, n: int, threshold: Fraction) -> tuple[DataFra
     star = shared.where("class <> leader.class").where(
         possible(F.col("size"), F.col("place"), F.col("leader.size"), F.col("leader.place"), F.least("place", "leader.place"))
     )
-    star = stage(star.select(F.col("leader.class").alias("a"), F.col("class").alias("b")).distinct(), "trie-star")
-    links = stage(_links(star, docs, reps, n, often, t).distinct(), "trie-links")
+    star = star.select(F.col("leader.class").alias("a"), F.col("class").alias("b"), F.col("leader.size").alias("size_a"), F.col("size").alias("size_b"))
+    star = stage(star.distinct(), "trie-star")
+
+    def alike(size_a, size_b, left: str, right: str):
+        """The slots that differ in parity are at most as many as the n-grams that only one of both has."""
+        differ = sum((F.bit_count(F.col(f"{left}.{p}").bitwiseXOR(F.col(f"{right}.{p}"))) for p in PARITIES), F.lit(0))
+        sizes = size_a.cast("long") + size_b
+        return (sizes - differ) * (top_ + bottom) >= sizes * 2 * top_
+
+    # Parities of both ends, before any set is sent: small rows beside the classes.
+    small, odd = fits(star, 160), reps.select("class", *PARITIES)
+    met = hinted(star, small).alias("s").join(odd.alias("x"), F.col("s.a") == F.col("x.class")).select("s.*", F.struct("x.*").alias("x"))
+    met = hinted(met, small).alias("s").join(odd.alias("y"), F.col("s.b") == F.col("y.class"))
+    near = met.where(alike(F.col("s.size_a"), F.col("s.size_b"), "s.x", "y")).select("a", "b")
+    links = stage(_links(near, docs, reps, n, often, t).distinct(), "trie-links")
 
     roots = stage(connected(links.select("a", "b")), "trie-roots")
     labelled = shared.join(hinted(roots, fits(roots, 16)).withColumnRenamed("node", "class"), "class", "left")
@@ -382,10 +396,7 @@ def jaccard_links(docs: DataFrame, n: int, threshold: Fraction) -> tuple[DataFra
     outside = open_rows.where("root <> lead_root").withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
     o, r = outside.alias("o"), open_rows.alias("r")
     across = o.join(r, (F.col("o.token") == F.col("r.token")) & (F.col("o.band") == F.col("r.band")) & (F.col("o.root") != F.col("r.root")))
-    # The slots that differ in parity are at most as many as the n-grams that only one of both has.
-    differ = sum((F.bit_count(F.col(f"o.{p}").bitwiseXOR(F.col(f"r.{p}"))) for p in PARITIES), F.lit(0))
-    sizes = F.col("o.size").cast("long") + F.col("r.size")
-    across = across.where((sizes - differ) * (top_ + bottom) >= sizes * 2 * top_)
+    across = across.where(alike(F.col("o.size"), F.col("r.size"), "o", "r"))
     # Both outside: each pair once per token.
     across = across.where((F.col("r.root") == F.col("r.lead_root")) | (F.col("o.class") < F.col("r.class")))
     across = across.where(possible(F.col("o.size"), F.col("o.place"), F.col("r.size"), F.col("r.place"), F.least("o.place", "r.place")))
