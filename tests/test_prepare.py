@@ -1,6 +1,7 @@
 """Text formats, dictionaries, filters, splits, draws and encodings, with edge rows."""
 
 import math
+import re
 from collections import Counter
 
 import pytest
@@ -201,6 +202,15 @@ def test_draws_are_unseen_distinct_and_complete(spark, plays, history_rows, n, p
         assert not set(drawn[u]) & seen[u]
 
 
+def test_walks_of_draws_are_not_broadcast(spark, plays, capsys):
+    """Exploded steps look small to the optimizer, whatever their number; they must not pass through the driver."""
+    drawn = splits.draw_unseen(plays, 5)
+    assert drawn.count()
+    drawn.explain()
+    plan = capsys.readouterr().out
+    assert re.search(r"SortMergeJoin \[idx", plan) and not re.search(r"BroadcastHashJoin \[idx", plan)
+
+
 def test_user_who_heard_everything_gets_no_draw(spark):
     df = spark.createDataFrame([(0, 0, 1), (0, 1, 1), (1, 0, 1)], INTERACTIONS)
     assert [(r[0], r[1]) for r in splits.draw_unseen(df, 5).select("user_id", "track_id").collect()] == [(1, 1)]
