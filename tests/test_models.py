@@ -297,6 +297,12 @@ def test_cell_factorizations_of_nothing_and_block_numbers(spark, toy, monkeypatc
     assert cells.blocks_of(toy, 3) == int(np.ceil(np.sqrt(toy.count() / 2)))
 
 
+def test_blocks_follow_the_bytes_of_their_factors(spark):
+    """Narrow factors make few blocks: a factor is copied once per block of the other side."""
+    wide = spark.range(140_000).select(F.lit(1).alias("user_id"), F.col("id").alias("track_id"), F.lit(1.0).alias("rating"))
+    assert cells.blocks_of(wide, 8) == 1 and cells.blocks_of(wide, 64) == 3
+
+
 def test_gradient_steps_lower_the_loss(spark, toy):
     users, tracks = factorization.start_factors(toy, 3)
     losses = []
