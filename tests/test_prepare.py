@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tracklight import runtime
 from tracklight.functions import transforms, vectors
 from tracklight.operators import aggregates, dictionary, features, filters, ranking, skew, splits
 from tracklight.schema import INTERACTIONS, RAW_INTERACTIONS
@@ -160,6 +161,15 @@ def test_split_sizes(spark, hot_rows):
     assert split.count() == df.count()
 
 
+def test_history_tasks_follow_the_rows_and_digests_are_not_sent(spark, plays, monkeypatch, capsys):
+    monkeypatch.setattr(runtime, "TASK_ROWS", 50)
+    assert runtime.by_rows(plays, plays.count(), "user_id").rdd.getNumPartitions() == math.ceil(plays.count() / 50)
+    splits.split_per_user(plays).explain()
+    lines = capsys.readouterr().out.splitlines()
+    digests, exchanges = ([i for i, line in enumerate(lines) if word in line] for word in ("md5(", "Exchange hashpartitioning(user_id"))
+    assert digests and exchanges and max(digests) < min(exchanges)
+
+
 def test_hot_users_split_and_rank_like_others(spark, plays):
     plain = splits.split_per_user(plays)
     assert skew.hot_keys(plays, "user_id", 5).count() > 0 and skew.hot_keys(plays, "user_id") is None
