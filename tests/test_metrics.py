@@ -223,3 +223,12 @@ def test_bundle_equals_row_of_metrics_by_k(spark, plays):
     many = {r["k"]: r.asDict() for r in report.metrics_by_k(recs, plays, plays, [2, 3]).collect()}
     one = report.metric_bundle(recs, plays, plays, 2).first().asDict()
     assert one == pytest.approx({k: v for k, v in many[2].items() if k != "k"})
+
+
+def test_pieces_beyond_the_limit_are_not_broadcast(spark, plays, monkeypatch, capsys):
+    monkeypatch.setattr(diversity, "BROADCAST_BYTES", 0)
+    pairs = spark.createDataFrame([(0, 2, 1.0), (1, 3, 1.0)], "track_id int, other int, k5 double")
+    counted = diversity.count_in_pieces(pairs, plays, ["k5"])
+    assert counted.count()
+    counted.explain()
+    assert "BroadcastHashJoin" not in capsys.readouterr().out
