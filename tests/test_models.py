@@ -188,6 +188,21 @@ def test_pruned_lists_skip_cells_and_lose_nothing(spark, cosine, band, high):
     assert cells["visited"] < 0.9 * cells["possible"]
 
 
+def test_block_returns_only_what_reaches_the_list_so_far():
+    """Ties at the floor stay, masked cells never return, a row without a list so far gets its best k."""
+    rng = np.random.default_rng(3)
+    scores = np.round(rng.normal(size=(30, 50)), 1)
+    scores[rng.random(scores.shape) < 0.2] = -np.inf
+    floor = np.where(np.arange(30) % 3 == 0, -np.inf, np.round(rng.normal(size=30), 1))
+    rows, cols, values, position = scoring._best(scores, 7, True, floor)
+    want = []
+    for row, least in enumerate(floor):
+        best = sorted(((s, c) for c, s in enumerate(scores[row]) if np.isfinite(s)), key=lambda x: (-x[0], -x[1]))[:7]
+        want += [(row, c, s, n + 1) for n, (s, c) in enumerate(best) if s >= least]
+    assert list(zip(rows, cols, values, position)) == want
+    assert len(want) < 30 * 7
+
+
 def test_pairwise_gradients_of_a_cell_by_loops():
     rng = np.random.default_rng(5)
     u, v = rng.normal(size=(7, 4)), rng.normal(size=(9, 4))
@@ -530,3 +545,14 @@ def test_merge_sorted_adds_across_batches():
     batches = [(np.array([1, 1, 2]), np.ones((3, 2))), (np.array([2, 2]), np.ones((2, 2))), (np.array([], dtype=int), np.ones((0, 2))), (np.array([3]), np.ones((1, 2)))]
     merged = [(k, s[0]) for keys, sums in merge_sorted(iter(batches)) for k, s in zip(keys, sums.tolist())]
     assert merged == [(1, 2.0), (2, 3.0), (3, 1.0)]
+
+
+def test_names_beyond_the_limit_are_not_broadcast(spark, plays, monkeypatch, capsys):
+    monkeypatch.setattr(baseline, "BROADCAST_BYTES", 0)
+    songs = spark.createDataFrame([(t, f"song {t}", "artist") for t in range(60)], "track_id int, name string, artist string")
+    ids = spark.createDataFrame([(f"T{t}", t) for t in range(60)], "key string, idx int")
+    recs = spark.createDataFrame([(u, t, 1, 0.5) for u in range(3) for t in range(5)], "user_id int, track_id int, rank int, prediction double")
+    named = baseline.playlist(recs, songs, ids)
+    assert named.count() == 15 and {"name", "original_id"} < set(named.columns)
+    named.explain()
+    assert "BroadcastHashJoin" not in capsys.readouterr().out
