@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklight.llm.common import slices
+from tracklight.llm.common import give_back, slices
 from tracklight.llm.jaccard_trie import KEPT_WORDS, WORDS
 from tracklight.runtime import stage
 
@@ -38,7 +38,7 @@ DEPTH = 5
 MOST_GRAMS, MOST_WORDS = 1 << 21, 1 << 20
 END = b"\n"
 GRAM, WORD, END_TOKEN, FIGURES = 0, 1, 2, 3
-SLICE, MERGED = 6 << 20, 3_000_000
+SLICE, MERGED = 2 << 20, 2_000_000
 SMALL = 4096
 HALF_TABLE = np.concatenate([[0.0], np.cumsum(np.log(np.arange(SMALL) + 0.5))])
 FULL_TABLE = np.concatenate([[0.0], np.cumsum(np.log(np.arange(SMALL) + 1.0))])
@@ -143,6 +143,8 @@ def corpus_counts(docs: DataFrame, learn: Column, depth: int = DEPTH) -> DataFra
                         if held.held > MERGED // 2:
                             yield from _in_pieces(kind, *merged)
                             held.parts, held.held = [], 0
+                        del merged
+            give_back()
         for kind, held in ((GRAM, grams), (WORD, words)):
             yield from _in_pieces(kind, *held.merge())
         if rows:
@@ -319,6 +321,7 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, most_grams: int =
                     ],
                     ["doc_id", "learned", "n_bytes", "n_tokens", "n_known", "base_score", "score", "rest"],
                 )
+            give_back()
 
     schema = "doc_id long, learned boolean, n_bytes long, n_tokens long, n_known long, base_score double, score double, rest array<struct<kind:int,key:long>>"
     parts = docs.select(F.col("doc_id").cast("long"), "text", learn.alias("learn")).mapInArrow(tasks, schema)
