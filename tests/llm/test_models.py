@@ -342,3 +342,28 @@ def test_entry_registers_all_operators():
 
     names = driver.queries()
     assert all(any(name.startswith(f"op{k}_") for name in names) for k in range(1, 11)) and "pipeline" in names
+
+
+def below_threshold(members, words=400, own=7):
+    """Texts of one family: ``own`` single words of each are its own, so that two of them stay below 0.8 over five-word shingles."""
+    rng = random.Random(31)
+    base = [f"b{k}" for k in range(words)]
+    texts = []
+    for member in range(members):
+        changed = list(base)
+        for at in rng.sample(range(words), own):
+            changed[at] = f"m{member}x{at}"
+        texts.append((member + 1, " ".join(changed)))
+    return texts
+
+
+def test_families_below_the_threshold_do_not_pass_in_pairs(spark):
+    rows = below_threshold(24)
+    sets = [jaccard_trie.ngram_set(text, 5) for _, text in rows]
+    odd = [np.array(jaccard_trie.parities(s)).view(np.uint64) for s in sets]
+    pairs = list(itertools.combinations(range(len(sets)), 2))
+    apart = [len(np.setxor1d(sets[a], sets[b])) for a, b in pairs]
+    differ = [int(np.bitwise_count(odd[a] ^ odd[b]).sum()) for a, b in pairs]
+    reach = lambda a, b, gap: (len(sets[a]) + len(sets[b]) - gap) * 9 >= (len(sets[a]) + len(sets[b])) * 8
+    assert not any(reach(a, b, gap) for (a, b), gap in zip(pairs, apart))
+    assert sum(reach(a, b, gap) for (a, b), gap in zip(pairs, differ)) <= len(pairs) // 10

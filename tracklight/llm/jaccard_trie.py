@@ -12,7 +12,8 @@ last, by their count, the others first, by their hash (the order only steers the
 3. Rest round: links so far give components. Only classes outside their leader's component meet the others
    of the group, on (token, size band), and only across components. Pairs whose positions, sizes, parities or number of
    common first n-grams exclude the threshold are dropped; nothing is capped. Parities are those of the n-grams in each of
-   256 slots: every slot in which two sets differ costs an n-gram that they do not share.
+   512 slots: every slot in which two sets differ costs an n-gram that they do not share. With fewer slots large families of
+   texts a little below the threshold pass in nearly all their pairs.
 4. Every comparison runs in a cell: one probing set and at most ``CELL`` stored ones, in several trees where the sets
    are long (``HELD_TOKENS``). The stored sets form a prefix tree
    (frequent n-grams first, so that near copies share long paths); the probe walks it once, carries the
@@ -55,7 +56,9 @@ KEPT_WORDS, HELD_TOKENS = 1 << 16, 1 << 19
 #: n-grams of a cell that are multiplied at a time.
 COLUMNS = 2048
 #: Words of 64 slots whose parities stand for a set.
-PARITIES = ["odd0", "odd1", "odd2", "odd3"]
+PARITIES = [f"odd{k}" for k in range(8)]
+#: Size bands of the rest round are this many times as wide as the sizes apart that reach the threshold.
+BAND_STEPS = 4
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
 
@@ -390,10 +393,12 @@ def jaccard_links(docs: DataFrame, n: int, threshold: Fraction) -> tuple[DataFra
     labelled = labelled.select("token", "class", "size", "place", F.coalesce("root", "class").alias("root"), F.col("leader.class").alias("lead"))
     groups = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.when(F.col("class") == F.col("lead"), F.col("root"))).alias("lead_root"))
     groups = stage(groups.where("low <> high").select("token", "lead_root"), "trie-open")
-    band = F.floor(F.log(F.col("size").cast("double")) / math.log(1 / float(t) if t < 1 else 2.0)).cast("int")
-    open_rows = labelled.join(groups, "token").withColumn("band", band).join(reps.select("class", *PARITIES), "class")
+    # Sizes that reach t lie in one band or in two, of which most sets need one. The margin covers rounded logarithms.
+    step = math.log(1 / float(t) if t < 1 else 2.0)
+    in_band = lambda steps: F.floor((F.log(F.col("size").cast("double")) / step + steps) / BAND_STEPS).cast("int")
+    open_rows = labelled.join(groups, "token").withColumn("band", in_band(0)).join(odd, "class")
     open_rows = stage(open_rows, "trie-open-rows")
-    outside = open_rows.where("root <> lead_root").withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    outside = open_rows.where("root <> lead_root").withColumn("band", F.explode(F.array_distinct(F.array(in_band(-1 - 1e-9), in_band(1 + 1e-9)))))
     o, r = outside.alias("o"), open_rows.alias("r")
     across = o.join(r, (F.col("o.token") == F.col("r.token")) & (F.col("o.band") == F.col("r.band")) & (F.col("o.root") != F.col("r.root")))
     across = across.where(alike(F.col("o.size"), F.col("r.size"), "o", "r"))
