@@ -256,3 +256,16 @@ def test_interaction_blocks_hold_every_play(spark, plays):
     blocks = features.interaction_blocks(plays, 8)
     total = sum(sum(r[f"t{i}"] for i in range(8)) for r in blocks.collect())
     assert total == plays.count()
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_catalogue_is_not_broadcast_for_its_features(spark, monkeypatch, capsys, limit):
+    """Files of a catalogue are much smaller than its rows, which must not pass through the driver to meet the dictionary."""
+    monkeypatch.setattr(features, "BROADCAST_BYTES", limit, raising=False)
+    tracks = spark.createDataFrame([(1, "rock", "a, b, a"), (2, "jazz", "b"), (3, None, "")], "track_id int, genre string, tags string")
+    for found, expected in ((features.genre_features(tracks), 2), (features.tag_features(tracks), 3)):
+        assert found.where("idx < 2 and value = 1").count() == expected
+        found.explain()
+        plan = capsys.readouterr().out
+        joins = [line for line in plan.splitlines() if re.search(r"Join \[(genre|tag)", line)]
+        assert joins and all(("BroadcastHashJoin" in line and "BuildRight" in line) if limit else "SortMergeJoin" in line for line in joins)
