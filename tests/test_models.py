@@ -233,6 +233,19 @@ def test_pairwise_ranking_in_many_cells_finds_the_groups(plays, width, rows):
     assert group_share(bpr.recommend(users, tracks, plays, 5)) > 0.8
 
 
+def test_draws_from_all_tracks_do_not_need_them_in_one_cell(plays):
+    """Cells of small blocks of users and tracks give the factors of cells that hold every track."""
+    whole, parts = (bpr.fit(plays, width=4, epochs=3, rows_per_block=rows, track_blocks=1) for rows in (None, 16))
+    for one, other in zip(whole, parts):
+        key = one.columns[0]
+        want, got = ({r[key]: r.vector for r in side.collect()} for side in (one, other))
+        assert want.keys() == got.keys()
+        for k in want:
+            assert got[k] == pytest.approx(want[k], abs=1e-9)
+    users, track_blocks = bpr.draw_shape(*parts, plays, 16)
+    assert users * 16 >= 40 and track_blocks == 4  # 60 tracks
+
+
 def test_wide_steps_equal_narrow_ones(spark):
     """The step outside generated code gives what the expressions give."""
     state = spark.createDataFrame([(i, [0.5 * i, -1.0, 2.0], float(i)) for i in range(4)], "user_id int, vector array<double>, power double")
