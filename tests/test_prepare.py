@@ -11,7 +11,7 @@ from tracklight import runtime
 from tracklight.functions import transforms, vectors
 from tracklight.operators import aggregates, dictionary, features, filters, ranking, skew, splits
 from tracklight.schema import INTERACTIONS, RAW_INTERACTIONS
-from tracklight.sources import io
+from tracklight.sources import io, tables
 
 # Toy rating matrix, 0 = missing: fixed values.
 TOY_10X5 = [
@@ -212,6 +212,15 @@ def test_draws_are_unseen_distinct_and_complete(spark, plays, history_rows, n, p
         assert not set(drawn[u]) & seen[u]
 
 
+def test_tasks_of_the_history_follow_its_rows(spark, folder, monkeypatch):
+    """The plays of a pair are added up in as many tasks as the rows ask for, whatever adaptive execution would merge."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    monkeypatch.setattr(runtime, "TASK_ROWS", 500)
+    plays = tables.collect_interactions(spark, folder)
+    assert plays.rdd.getNumPartitions() == -(-lines.count() // 500) > 4
+    assert plays.agg(F.sum("playcount")).first()[0] == lines.agg(F.sum("l_quantity").cast("bigint")).first()[0]
+
+
 def test_walks_of_draws_are_not_broadcast(spark, plays, capsys):
     """Exploded steps look small to the optimizer, whatever their number; they must not pass through the driver."""
     drawn = splits.draw_unseen(plays, 5)
