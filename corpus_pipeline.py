@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklight.llm import exact_dedup, jaccard_trie, mixing, quality_crf, sentencepiece_codec
-from tracklight.llm.common import ascii_lower, fits, held_out, hinted, table, text_of
+from tracklight.llm.common import ascii_lower, fits, held_out, hinted, small_batches, table, text_of
 from tracklight.runtime import stage
 
 
@@ -24,6 +24,7 @@ def _columns(docs: DataFrame) -> list:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the line classifier gives less than 0.3."""
+    small_batches(spark)
     labelled = table(spark, sf_dir, "labels").where(~held_out(5)).select("doc_id", "quality")
     scored = quality_crf.score(docs, quality_crf.fit(docs, labelled))
     return scored.where("quality_score >= 0.3").select(*_columns(docs))
@@ -50,6 +51,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows that repeat a doc_id are judged by their own sets of shingles: of the sets that a group's smallest doc_id has in it, the
     least class stays, once; a set outside the group stays too.
     """
+    small_batches(spark)
     found = stage(jaccard_trie.near_components(docs, 5, Fraction(8, 10), counted=False), "pipeline-near").where("class is not null")
     first = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("first_id")).agg(F.min("class").alias("first_class"), F.count_distinct("class").alias("sets"))
     several = stage(first.where("sets > 1").drop("sets"), "pipeline-several")
@@ -73,6 +75,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids, and whether decoding gives the text again."""
+    small_batches(spark)
     coded = sentencepiece_codec.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == text_of()).alias("lossless"))
 

@@ -297,6 +297,18 @@ def test_near_stage_judges_each_row_of_a_repeated_id(spark):
     assert len([k for k in kept if k[0] == 3]) == 1
 
 
+def test_stages_hand_small_batches_to_python(spark, folder):
+    """Spark's batches of 64 MB would be held several times over by an executor."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    corpus_pipeline.tokens(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    assert spark.conf.get(name, None) == str(4 << 20)
+    spark.conf.set(name, "1000000")
+    corpus_pipeline.quality(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    assert spark.conf.get(name) == "1000000"  # a size that the session names stays
+    spark.conf.unset(name)
+
+
 def test_pipeline_by_brute_force(spark, folder):
     import duckdb
     import public_tokenizers

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from tracklight.runtime import BROADCAST_BYTES
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Bytes of rows that the JVM hands to Python at a time. Spark's 64 MB are held several times over, in the JVM's growing buffers,
+#: which its pools keep, and in the worker.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark, folder: str, name: str) -> DataFrame:
@@ -45,6 +48,13 @@ def hinted(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
+def small_batches(spark) -> None:
+    """Arrow batches of ``BATCH_BYTES`` for the Python tasks of this session, unless the session names a size of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def give_back() -> None:
     """Hands freed memory of Arrow and of the C library back to the system, since Python workers live on between tasks. What
     earlier tasks leave behind are cycles of functions and their globals, which a collection frees."""
