@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tracklight.metrics import rating
 from tracklight.models import als, baseline, bpr, cells, classifiers, content, factorization, network, reconstruction, softmax
 from tracklight.operators import pruned, scoring, splits
+from tracklight.plans import model_queries
 from tracklight.sources import io
 
 from tests.test_prepare import TOY_10X5
@@ -569,3 +570,13 @@ def test_names_beyond_the_limit_are_not_broadcast(spark, plays, monkeypatch, cap
     assert named.count() == 15 and {"name", "original_id"} < set(named.columns)
     named.explain()
     assert "BroadcastHashJoin" not in capsys.readouterr().out
+
+
+def test_als_grid_fits_every_point_of_the_grid(spark, folder, monkeypatch):
+    """The query takes the whole grid with its ranks and iterations, not a few points of its own."""
+    fitted, plain = [], als.fit
+    monkeypatch.setattr(als, "GRID", {"rank": [2, 3], "maxIter": [1, 2], "regParam": [0.1], "alpha": [20.0]})
+    monkeypatch.setattr(als, "fit", lambda train, **settings: fitted.append(settings) or plain(train, **settings))
+    rows = model_queries.als_grid(spark, folder).collect()
+    assert {(r.rank, r.maxIter) for r in rows} == {(f["rank"], f["maxIter"]) for f in fitted} == {(a, b) for a in (2, 3) for b in (1, 2)}
+    assert all(0 < r.roem < 1 for r in rows)
