@@ -580,3 +580,12 @@ def test_als_grid_fits_every_point_of_the_grid(spark, folder, monkeypatch):
     rows = model_queries.als_grid(spark, folder).collect()
     assert {(r.rank, r.maxIter) for r in rows} == {(f["rank"], f["maxIter"]) for f in fitted} == {(a, b) for a in (2, 3) for b in (1, 2)}
     assert all(0 < r.roem < 1 for r in rows)
+
+
+def test_als_variants_take_the_chosen_settings(spark, folder, monkeypatch):
+    seen, plain = [], als.estimator
+    monkeypatch.setattr(als, "CHOSEN", {**als.CHOSEN, "maxIter": 1, "rank": 3})
+    monkeypatch.setattr(als, "estimator", lambda *given, **settings: seen.append(plain(*given, **settings)) or seen[-1])
+    rows = model_queries.als_variants(spark, folder).collect()
+    assert {(e.getRank(), e.getMaxIter()) for e in seen} == {(3, 1)} and len(seen) == 4
+    assert {r.algo for r in rows} == set(als.VARIANTS)
