@@ -589,3 +589,13 @@ def test_als_variants_take_the_chosen_settings(spark, folder, monkeypatch):
     rows = model_queries.als_variants(spark, folder).collect()
     assert {(e.getRank(), e.getMaxIter()) for e in seen} == {(3, 1)} and len(seen) == 4
     assert {r.algo for r in rows} == set(als.VARIANTS)
+
+
+def test_bpr_trains_with_the_published_settings(spark, folder, monkeypatch):
+    import inspect
+
+    asked, plain = [], bpr.fit
+    monkeypatch.setattr(bpr, "fit", lambda train, **settings: asked.append(settings) or plain(train, width=3, epochs=1))
+    assert model_queries.bpr_lists(spark, folder).count()
+    defaults = {n: p.default for n, p in inspect.signature(plain).parameters.items()}
+    assert [({**defaults, **a}["width"], {**defaults, **a}["epochs"]) for a in asked] == [(200, 100)]
