@@ -599,3 +599,14 @@ def test_bpr_trains_with_the_published_settings(spark, folder, monkeypatch):
     assert model_queries.bpr_lists(spark, folder).count()
     defaults = {n: p.default for n, p in inspect.signature(plain).parameters.items()}
     assert [({**defaults, **a}["width"], {**defaults, **a}["epochs"]) for a in asked] == [(200, 100)]
+
+
+def test_nmf_trains_with_the_published_settings(spark, folder, monkeypatch):
+    import inspect
+
+    asked, plain = [], cells.fit_nonnegative
+    monkeypatch.setattr(cells, "fit_nonnegative", lambda ratings, *given, **settings: asked.append((ratings, *given)) or plain(ratings, 3, 1))
+    assert model_queries.nmf(spark, folder).count()
+    taken = inspect.signature(plain).bind(*asked[0])
+    taken.apply_defaults()
+    assert (taken.arguments["width"], taken.arguments["epochs"]) == (200, 100)
