@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from tracklight import runtime
 from tracklight.functions import transforms, vectors
 from tracklight.operators import aggregates, dictionary, features, filters, ranking, skew, splits
+from tracklight.plans import prepare_queries
 from tracklight.schema import INTERACTIONS, RAW_INTERACTIONS
 from tracklight.sources import io, tables
+from tracklight.sources.tables import train_test
 
 # Toy rating matrix, 0 = missing: fixed values.
 TOY_10X5 = [
@@ -278,3 +280,19 @@ def test_catalogue_is_not_broadcast_for_its_features(spark, monkeypatch, capsys,
         plan = capsys.readouterr().out
         joins = [line for line in plan.splitlines() if re.search(r"Join \[(genre|tag)", line)]
         assert joins and all(("BroadcastHashJoin" in line and "BuildRight" in line) if limit else "SortMergeJoin" in line for line in joins)
+
+
+@pytest.mark.parametrize("block_tracks", [4096, 5])
+def test_all_unseen_is_every_track_less_the_seen_ones(spark, plays, history_rows, monkeypatch, block_tracks):
+    monkeypatch.setattr(splits, "BLOCK_TRACKS", block_tracks)
+    heard = {(u, t) for u, t, _ in history_rows}
+    expected = {(u, t) for u, _ in heard for _, t in heard} - heard
+    found = [tuple(r) for r in splits.all_unseen(plays).select("user_id", "track_id").collect()]
+    assert len(found) == len(set(found)) and set(found) == expected
+
+
+def test_difference_unseen_covers_all_pairs(spark, folder):
+    """More than the drawn lists: users times tracks less the rows of train."""
+    train = train_test(spark, folder)[0]
+    pairs = train.select("user_id").distinct().count() * train.select("track_id").distinct().count() - train.count()
+    assert prepare_queries.difference_unseen(spark, folder).join(train.select("track_id").distinct(), "track_id", "left_semi").count() == pairs
