@@ -296,3 +296,9 @@ def test_difference_unseen_covers_all_pairs(spark, folder):
     train = train_test(spark, folder)[0]
     pairs = train.select("user_id").distinct().count() * train.select("track_id").distinct().count() - train.count()
     assert prepare_queries.difference_unseen(spark, folder).join(train.select("track_id").distinct(), "track_id", "left_semi").count() == pairs
+
+
+def test_self_pairs_holds_every_pair_of_a_list(spark, folder):
+    sizes = {r["user_id"]: r["count"] for r in prepare_queries.shared.random_lists(spark, folder).groupBy("user_id").count().collect()}
+    pairs = {r["user_id"]: r["count"] for r in prepare_queries.self_pairs(spark, folder).groupBy("user_id").count().collect()}
+    assert max(sizes.values()) > 10 and pairs == {u: n * (n - 1) // 2 for u, n in sizes.items() if n > 1}
