@@ -232,3 +232,17 @@ def test_pieces_beyond_the_limit_are_not_broadcast(spark, plays, monkeypatch, ca
     assert counted.count()
     counted.explain()
     assert "BroadcastHashJoin" not in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("at_a_time", [2_000_000, 40, 1])
+def test_diversity_in_cells_forms_no_pair(spark, plays, monkeypatch, at_a_time):
+    """Beyond a broadcast, few listeners a pair: cells of lists and listeners, long matches in parts, one listener in several rows."""
+    recs = ranks.topk_per_user(plays.select("user_id", "track_id", F.col("playcount").cast("double").alias("prediction")), 6)
+    near = sorted(diversity.collaborative_diversity(recs, plays, [3, 6]).collect())
+    monkeypatch.setattr(diversity, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(diversity, "MATCHES_PER_PAIR", 1e9)
+    monkeypatch.setattr(diversity, "HEARD_BITS", 4)
+    monkeypatch.setattr(diversity, "CELL_MATCHES", at_a_time)
+    monkeypatch.setattr(diversity, "list_pairs", None)
+    for a, b in zip(near, sorted(diversity.collaborative_diversity(recs, plays, [3, 6]).collect()), strict=True):
+        assert a.k == b.k and a.diversity == pytest.approx(b.diversity)
