@@ -610,3 +610,25 @@ def test_nmf_trains_with_the_published_settings(spark, folder, monkeypatch):
     taken = inspect.signature(plain).bind(*asked[0])
     taken.apply_defaults()
     assert (taken.arguments["width"], taken.arguments["epochs"]) == (200, 100)
+
+
+@pytest.mark.parametrize("far", [0, 3, 30])
+def test_spread_step_sums_what_no_limit_touches(spark, monkeypatch, far):
+    """Pairs are formed only for tracks that may reach the limit or have almost no length."""
+    rng = np.random.default_rng(5)
+    v = rng.uniform(size=(40, 4))
+    v[0], v[1] = 0.0, [0.002, 0.0, 0.0, 0.0]
+    v[40 - far :] *= 300.0
+    if far:
+        v[2] = 1e-6
+    tdf = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(v)], "track_id int, vector array<double>").repartition(3)
+    asked, plain = [], factorization._cell_pushes
+    monkeypatch.setattr(factorization, "_cell_pushes", lambda mine, theirs, *rest: asked.append((mine.count(), theirs.count())) or plain(mine, theirs, *rest))
+    lengths = np.linalg.norm(v, axis=1)
+    similarity = (v @ v.T) / (lengths[:, None] * lengths[None, :] + 1e-10)
+    push = 0.01 * 0.04 * (1 - similarity)[:, :, None] / 4 * (v[:, None, :] - v[None, :, :])
+    assert far == 0 or (np.abs(push) > 0.01).any()
+    expected = v + np.clip(push, -0.01, 0.01).sum(axis=1)
+    moved = {r[0]: r[1] for r in factorization.spread_step(tdf, 4, 0.01, 0.04).collect()}
+    assert all(moved[i] == pytest.approx(list(expected[i]), abs=1e-12) for i in range(len(v)))
+    assert asked == ([] if not far else [(far + 1, 40), (39 - far, far + 1)])
