@@ -632,3 +632,23 @@ def test_spread_step_sums_what_no_limit_touches(spark, monkeypatch, far):
     moved = {r[0]: r[1] for r in factorization.spread_step(tdf, 4, 0.01, 0.04).collect()}
     assert all(moved[i] == pytest.approx(list(expected[i]), abs=1e-12) for i in range(len(v)))
     assert asked == ([] if not far else [(far + 1, 40), (39 - far, far + 1)])
+
+
+def test_truncated_lists_count_seen_and_unknown_tracks_only(spark):
+    """Ties, a track of no length, users with few tracks left and tracks nobody knows; scores of known unheard tracks are never counted."""
+    rng = np.random.default_rng(9)
+    v = rng.integers(0, 3, size=(40, 3)).astype(float)
+    u = rng.integers(0, 3, size=(9, 3)).astype(float) + 0.5
+    frame = lambda m, key: spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(m)], f"{key} int, vector array<double>")
+    heard = {(a, (a * 5 + 3 * j) % 28) for a in range(9) for j in range(2 + 2 * a)}
+    train = spark.createDataFrame([(a, t, 1) for a, t in sorted(heard)], "user_id int, track_id int, playcount bigint")
+    test = spark.createDataFrame([(0, t, 1) for t in range(28)], "user_id int, track_id int, playcount bigint")
+    unit = lambda m: np.divide(m, np.linalg.norm(m, axis=1, keepdims=True), out=np.zeros_like(m), where=np.linalg.norm(m, axis=1, keepdims=True) > 0)
+    scores, expected = np.round(unit(u) @ unit(v).T, 9), set()
+    for a in range(9):
+        n = sum(x == a for x, _ in heard)
+        order = sorted(range(40), key=lambda t: (-scores[a, t], -t))[: 5 + n]
+        expected |= {(a, t, i + 1) for i, t in enumerate([t for t in order if (a, t) not in heard and t < 28][:5])}
+    assert as_set(content.recommend_similar(frame(u, "user_id"), frame(v, "track_id"), train, test, 5, reference_truncation=True)) == expected
+    others = content._others_before(frame(u, "user_id"), frame(v, "track_id"), content.recommend_similar(frame(u, "user_id"), frame(v, "track_id"), train, test, 5), train, test)
+    assert others.select(F.explode("others.n").alias("n")).agg(F.sum("n")).first()[0] <= len(heard) + 9 * 12
