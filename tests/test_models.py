@@ -652,3 +652,18 @@ def test_truncated_lists_count_seen_and_unknown_tracks_only(spark):
     assert as_set(content.recommend_similar(frame(u, "user_id"), frame(v, "track_id"), train, test, 5, reference_truncation=True)) == expected
     others = content._others_before(frame(u, "user_id"), frame(v, "track_id"), content.recommend_similar(frame(u, "user_id"), frame(v, "track_id"), train, test, 5), train, test)
     assert others.select(F.explode("others.n").alias("n")).agg(F.sum("n")).first()[0] <= len(heard) + 9 * 12
+
+
+@pytest.mark.parametrize("copies", [1, 3])
+def test_spread_out_goes_by_chosen_sets(spark, monkeypatch, copies):
+    """Users share sets; equal tracks, in several blocks, are one; a user's own match decides among different ones."""
+    rng = np.random.default_rng(11)
+    v = np.repeat(np.vstack([rng.uniform(0.1, 1.0, size=(14, 3)), np.eye(3)]), copies, axis=0)
+    u = rng.uniform(0.1, 1.0, size=(30, 3)).round(1)
+    users, tracks = ([(i, [float(x) for x in row]) for i, row in enumerate(m)] for m in (u, v))
+    frame = lambda rows, key: spark.createDataFrame(rows, f"{key} int, vector array<double>").repartition(3)
+    told, plain = [], content._picked_by_set
+    monkeypatch.setattr(content, "_picked_by_set", lambda *given: told.append(plain(*given)) or told[-1])
+    ours = content.spread_out(frame(users, "user_id"), frame(tracks, "track_id"), 5, rows_per_block=9)
+    assert as_set(ours) == greedy(cosines(users, tracks), cosines(tracks, tracks), 5)
+    assert len(told) == 4 and sum(picks.count() for picks, _ in told) > 0
