@@ -667,3 +667,29 @@ def test_spread_out_goes_by_chosen_sets(spark, monkeypatch, copies):
     ours = content.spread_out(frame(users, "user_id"), frame(tracks, "track_id"), 5, rows_per_block=9)
     assert as_set(ours) == greedy(cosines(users, tracks), cosines(tracks, tracks), 5)
     assert len(told) == 4 and sum(picks.count() for picks, _ in told) > 0
+
+
+@pytest.mark.parametrize("width, k", [(1000, 7), (30, 7), (5, 7)])
+def test_best_cells_need_no_partition_of_the_rows(width, k):
+    """Ties, masked cells, floors and rows without a score, whatever the threshold is taken from."""
+    rng = np.random.default_rng(4)
+    scores = rng.normal(size=(20, width)).round(1)
+    scores[rng.uniform(size=scores.shape) < 0.2] = -np.inf
+    scores[3], scores[4], scores[5, 2:] = -np.inf, 0.5, -np.inf
+    for high in (False, True):
+        for floor in (None, np.full(20, 0.4)):
+            rows, cols, values, place = scoring._best(scores.copy(), k, high, floor)
+            expected = []
+            for r in range(20):
+                some = [c for c in range(width) if np.isfinite(scores[r, c]) and (floor is None or scores[r, c] >= floor[r])]
+                some.sort(key=lambda c: (-scores[r, c], -c if high else c))
+                expected += [(r, c, scores[r, c], i + 1) for i, c in enumerate(some[:k])]
+            assert list(zip(rows.tolist(), cols.tolist(), values.tolist(), place.tolist())) == expected
+    if width // (4 * k) > 1:  # bounds come from maxima, many fewer than the cells
+        seen, plain = [], np.partition
+        try:
+            np.partition = lambda a, *rest, **more: seen.append(a.shape) or plain(a, *rest, **more)
+            scoring._reached(scores, k)
+        finally:
+            np.partition = plain
+        assert seen and all(s[1] <= width // 8 for s in seen)
